@@ -1,0 +1,5 @@
+"""Intentionally empty: every supported workload is a scheduled batch job.
+
+The closest thing to incremental processing is the run-scoped idempotent append
+in ``riskweave.operators.maintenance.replace_run``.
+"""
