@@ -346,7 +346,7 @@ def _(t):
 
 
 @query("sales_price_view", "J02 M09", """
-SELECT s.item_id, s.store_id, strftime(s.calendar_date, '%Y-%m-%d') AS calendar_date, s.units_sold, p.sell_price, rnd(s.units_sold * p.sell_price, 2) AS estimated_sales_amount, p.sell_price > 0 AS is_valid_price
+SELECT s.item_id, s.store_id, strftime(s.calendar_date, '%Y-%m-%d') AS calendar_date, s.units_sold, rnd(p.sell_price, 2) AS sell_price, rnd(s.units_sold * p.sell_price, 2) AS estimated_sales_amount, p.sell_price > 0 AS is_valid_price
 FROM fx_sales_daily s LEFT JOIN fx_prices p USING (store_id, item_id, wm_yr_wk)
 """)
 def _(t):

@@ -1 +1,184 @@
-"""placeholder"""
+"""Events matched to suppliers.
+
+The SQL states the rules as plain pairs of every event with every supplier, so it also proves
+that the group-grain plans lose and double nothing.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskweave.catalog.registry import cte, query
+from riskweave.catalog.shape import tidy
+from riskweave.operators import matching as M
+from riskweave.plans import inputs as I
+from riskweave.plans import scoring as S
+from riskweave.session import cut_lineage
+
+
+def plain_sql(x: str) -> str:
+    return f"' ' || trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')) || ' '"
+
+
+cte("mt_texts", f"SELECT external_event_id, {plain_sql('event_title')} AS pt, {plain_sql('event_summary')} AS ps FROM fx_external_events")
+cte("mt_alias_words", f"SELECT *, {plain_sql('alias_name')} AS w FROM fx_aliases")
+cte("mt_name_words", f"SELECT DISTINCT supplier_id, supplier_name, {plain_sql('supplier_name')} AS w FROM fx_suppliers")
+cte("mt_alias", """
+SELECT DISTINCT external_event_id, supplier_id, 'alias' AS match_type, alias_name AS match_value, match_confidence
+FROM mt_texts JOIN mt_alias_words ON contains(pt, w) OR contains(ps, w)
+""")
+cte("mt_name", """
+SELECT DISTINCT external_event_id, supplier_id, 'name' AS match_type, supplier_name AS match_value, 0.85::DOUBLE AS match_confidence
+FROM mt_texts JOIN mt_name_words ON contains(pt, w) OR contains(ps, w)
+""")
+cte("mt_country", """
+SELECT external_event_id, supplier_id, 'country' AS match_type, lower(country) AS match_value, 0.65::DOUBLE AS match_confidence
+FROM fx_external_events JOIN fx_suppliers ON lower(event_country) = lower(country) WHERE source_name IN ('nws', 'gdelt', 'ofac', 'sec', 'sec_edgar')
+""")
+cte("mt_region", """
+SELECT DISTINCT external_event_id, supplier_id, 'region' AS match_type, lower(risk_region) AS match_value, 0.60::DOUBLE AS match_confidence
+FROM fx_external_events JOIN fx_routes ON contains(lower(event_region), lower(risk_region)) OR contains(lower(risk_region), lower(event_region)) WHERE source_name IN ('nws', 'gdelt')
+""")
+cte("mt_category", """
+SELECT DISTINCT e.external_event_id, supplier_id, 'category' AS match_type, lower(supplier_category) AS match_value, 0.55::DOUBLE AS match_confidence
+FROM fx_external_events e JOIN mt_texts x USING (external_event_id) JOIN fx_suppliers s
+  ON contains(pt, ' ' || lower(supplier_category) || ' ') OR contains(ps, ' ' || lower(supplier_category) || ' ') OR contains(lower(supplier_category), lower(risk_category)) WHERE source_name = 'cpsc'
+""")
+cte("mt_fuel", """
+SELECT DISTINCT external_event_id, supplier_id, 'fuel_logistics' AS match_type, 'ocean_or_truck_route' AS match_value, 0.50::DOUBLE AS match_confidence
+FROM fx_external_events, (SELECT DISTINCT supplier_id FROM fx_routes WHERE transport_mode IN ('ocean', 'truck')) WHERE source_name = 'eia'
+""")
+cte("mt_scope_pairs", "SELECT * FROM mt_country UNION ALL SELECT * FROM mt_region UNION ALL SELECT * FROM mt_category UNION ALL SELECT * FROM mt_fuel")
+cte("mt_best", """
+SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY external_event_id, supplier_id ORDER BY match_confidence DESC, match_type, match_value) AS r
+FROM (SELECT * FROM mt_alias UNION ALL SELECT * FROM mt_name UNION ALL SELECT * FROM mt_scope_pairs)) WHERE r = 1
+""")
+
+
+class Matched:
+    """Events with direct matches, groups and group members, shared by several queries.
+
+    The three narrow results are written once, as each is read several times downstream.
+    """
+
+    def __init__(self, t):
+        self.events = I.external_events(t)
+        suppliers, routes = I.suppliers(t), cut_lineage(I.routes(t), "routes")
+        direct, hits = M.match_texts(self.events, I.aliases(t), suppliers, cut_lineage)
+        self.direct = cut_lineage(direct, "direct")
+        self.groups = cut_lineage(M.event_groups(M.event_scopes(self.events, suppliers, routes, hits)), "event_groups")
+        self.members = cut_lineage(M.group_suppliers(self.groups, M.supplier_scopes(suppliers, routes)), "members")
+        self.routes = routes
+
+    @property
+    def parts(self):
+        return self.events, self.direct, self.groups, self.members
+
+
+@query("match_alias", "M28 J10", "SELECT * FROM mt_alias")
+def _(t):
+    return tidy(M.match_alias(I.external_events(t), I.aliases(t), keep=cut_lineage))
+
+
+@query("match_name", "M29 J10", "SELECT * FROM mt_name")
+def _(t):
+    return tidy(M.match_name(I.external_events(t), I.suppliers(t), keep=cut_lineage))
+
+
+def _scope_sql(block: str, members: str) -> str:
+    return f"SELECT external_event_id, match_type AS scope_type, match_value AS scope_value, count(DISTINCT supplier_id) AS supplier_count FROM {block} GROUP BY 1, 2, 3{members}"
+
+
+def _sized(scopes, t):
+    """Group matches with the number of suppliers in each scope; scopes no supplier has drop out."""
+    sizes = M.supplier_scopes(I.suppliers(t), I.routes(t)).groupBy("scope_type", "scope_value").agg(F.count(F.lit(1)).alias("supplier_count"))
+    return scopes.join(sizes, ["scope_type", "scope_value"]).select("external_event_id", "scope_type", "scope_value", "supplier_count")
+
+
+@query("match_country", "M30 J12", _scope_sql("mt_country", ""))
+def _(t):
+    return _sized(M.match_country(I.external_events(t)), t)
+
+
+@query("match_region", "M31 J11", _scope_sql("mt_region", ""))
+def _(t):
+    return _sized(M.match_region(I.external_events(t), I.routes(t)), t)
+
+
+@query("match_category", "M32 J10", _scope_sql("mt_category", ""))
+def _(t):
+    return _sized(M.match_category(I.external_events(t), I.suppliers(t), keep=cut_lineage), t)
+
+
+@query("match_fuel", "M33 J13", _scope_sql("mt_fuel", ""))
+def _(t):
+    return _sized(M.match_fuel(I.external_events(t)), t)
+
+
+@query("best_matches", "M34 W05 U02", """
+SELECT external_event_id, supplier_id, match_type, match_value, match_confidence FROM (SELECT *, row_number() OVER (PARTITION BY external_event_id, supplier_id ORDER BY match_confidence DESC, match_type, match_value) AS r
+FROM (SELECT * FROM mt_alias UNION ALL SELECT * FROM mt_name)) WHERE r = 1
+""")
+def _(t):
+    return M.match_texts(I.external_events(t), I.aliases(t), I.suppliers(t), cut_lineage)[0]
+
+
+cte("mt_mart", """
+SELECT e.*, b.supplier_id AS matched_supplier_id, coalesce(b.match_type, g.gt, 'none') AS match_type, b.match_value, coalesce(b.match_confidence, g.gc) AS match_confidence, coalesce(g.n, 0) AS group_supplier_count,
+  coalesce(k.n, 0) AS matched_sku_count, CASE WHEN b.supplier_id IS NOT NULL OR g.n IS NOT NULL THEN points END AS score_contribution, 'DOC_' || e.api_run_id AS evidence_doc_id
+FROM fx_external_events e
+LEFT JOIN (SELECT * FROM mt_best WHERE (external_event_id, supplier_id) IN (SELECT external_event_id, supplier_id FROM mt_alias UNION SELECT external_event_id, supplier_id FROM mt_name)) b USING (external_event_id)
+LEFT JOIN (SELECT external_event_id, count(DISTINCT supplier_id) AS n, max(match_confidence) AS gc, arg_max(match_type, match_confidence) AS gt FROM mt_scope_pairs GROUP BY 1) g USING (external_event_id)
+LEFT JOIN (SELECT supplier_id, count(sku_id) AS n FROM fx_sku_map GROUP BY 1) k ON b.supplier_id = k.supplier_id
+""")
+
+
+def mart(t):
+    m = Matched(t)
+    skus = t.lineitem.select("l_suppkey", "l_partkey").distinct().groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("matched_sku_count"))
+    skus = skus.select(F.concat(F.lit("SUP_"), F.col("l_suppkey").cast("string")).alias("supplier_id"), "matched_sku_count")
+    return M.event_mart(m.events, m.direct, m.groups, m.members, skus, I.evidence_documents(t))
+
+
+@query("event_mart", "M35", """
+SELECT external_event_id, source_name, severity, strftime(event_date, '%Y-%m-%d') AS event_date, matched_supplier_id, match_type, match_value, match_confidence, group_supplier_count, matched_sku_count, CAST(score_contribution AS BIGINT) AS score_contribution, evidence_doc_id FROM mt_mart
+""")
+def _(t):
+    return tidy(
+        mart(t).select("external_event_id", "source_name", "severity", "event_date", "matched_supplier_id", "match_type", "match_value", "match_confidence", "group_supplier_count", "matched_sku_count", "score_contribution", "evidence_doc_id")
+    )
+
+
+@query("match_summary", "V13", "SELECT source_name, match_type, count(*) AS row_count, count(score_contribution) AS matched_count, rnd(avg(score_contribution), 4) AS avg_points FROM mt_mart GROUP BY 1, 2")
+def _(t):
+    return tidy(M.match_summary(mart(t)))
+
+
+cte("mt_event_scores", """
+SELECT supplier_id, least(100.0, coalesce(sum(points) FILTER (event_date >= DATE '2024-01-30' - 30), 0)) AS external_event_score, count(*) FILTER (event_date >= DATE '2024-01-30' - 30) AS active_event_count,
+  count(*) FILTER (event_date >= DATE '2024-01-30' - 30 AND severity = 'critical') AS critical_event_count, CASE WHEN count(*) FILTER (source_name = 'ofac') > 0 THEN 80.0 ELSE 0.0 END AS sanctions_score,
+  count(*) FILTER (source_name = 'ofac') AS ofac_match_count, least(100.0, 10.0 * count(*) FILTER (source_name = 'cisa' AND event_date >= DATE '2024-01-30' - 90)) AS cyber_score, count(*) FILTER (source_name = 'cisa' AND event_date >= DATE '2024-01-30' - 90) AS cisa_match_count
+FROM mt_best JOIN fx_external_events USING (external_event_id) GROUP BY 1
+""")
+
+
+@query("event_scores", "R03 R05 R06", "SELECT supplier_id, rnd(external_event_score, 4) AS external_event_score, active_event_count, critical_event_count, rnd(sanctions_score, 4) AS sanctions_score, ofac_match_count, rnd(cyber_score, 4) AS cyber_score, cisa_match_count FROM mt_event_scores")
+def _(t):
+    return tidy(S.event_scores(*Matched(t).parts, I.EVENTS_AS_OF))
+
+
+cte("mt_top_events", """
+SELECT * FROM (SELECT supplier_id, external_event_id, source_name, event_title, severity, points, match_type, event_date, event_country, event_region, source_url,
+  row_number() OVER (PARTITION BY supplier_id ORDER BY points DESC, external_event_id) AS r
+FROM mt_best JOIN fx_external_events USING (external_event_id) WHERE event_date >= DATE '2024-01-30' - 30) WHERE r <= 3
+""")
+
+
+@query("top_supplier_events", "R12 W06", """
+SELECT supplier_id, string_agg(source_name || ' · ' || event_title || ' · +' || points || ' pts', chr(10) ORDER BY r) AS top_events, string_agg(external_event_id, ',' ORDER BY r) AS evidence_ids, count(*) AS evidence_count FROM mt_top_events GROUP BY 1
+""")
+def _(t):
+    top = S.top_supplier_events(*Matched(t).parts, I.EVENTS_AS_OF)
+    return tidy(
+        top.select("supplier_id", F.array_join("top_events_list", "\n").alias("top_events"), F.array_join("evidence_ids", ",").alias("evidence_ids"), "evidence_count")
+    )

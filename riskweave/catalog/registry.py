@@ -58,7 +58,7 @@ def with_blocks(sql: str) -> str:
     visit(sql)
     body = sql.strip()
     if order:
-        blocks = ",\n".join(f"{n} AS (\n{_CTES[n]}\n)" for n in order)
+        blocks = ",\n".join(f"{n} AS MATERIALIZED (\n{_CTES[n]}\n)" for n in order)
         body = f"WITH {blocks},\n{body[5:]}" if body[:5].upper() == "WITH " else f"WITH {blocks}\n{body}"
     return re.sub(r"\brnd\(", "round(1e-9 + ", body)
 

@@ -90,3 +90,9 @@ def freshness(event_date: Column, as_of: str) -> Column:
         .when(event_date >= F.date_sub(day, 30), F.lit(0.5))
         .otherwise(F.lit(0.2))
     )
+
+
+def stable_round(c: Column, digits: int) -> Column:
+    """Round with a nudge far below the last digit, so that a value meant to be an exact half
+    rounds up whatever its last binary digit is."""
+    return F.round(c + 1e-9, digits)

@@ -39,12 +39,13 @@ def question_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(kept, r"\s+", " "))
 
 
-def word_grams(words: Column, size: int) -> Column:
-    """All runs of ``size`` neighbouring words, as text."""
-    starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - (size - 1)))
-    return F.coalesce(
-        F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " ")),
-        F.array().cast("array<string>"),
+def word_runs(words: Column, size: int) -> Column:
+    """Per word the text of it and up to ``size`` - 1 following words.
+
+    Runs that reach the end are shorter, so every run is a real run of neighbouring words.
+    """
+    return F.transform(
+        words, lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, size)])
     )
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -23,7 +24,7 @@ def _stack(s: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in s])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def cosine_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     """Cosine similarity of two vector columns, one Arrow batch at a time."""
     if len(a) == 0:

@@ -10,12 +10,13 @@ rules are only produced where a caller asks for them with ``expand_pairs``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.functions.risk import severity_points
-from riskweave.functions.text import char_grams, plain, tokens, word_grams
+from riskweave.functions.text import char_grams, plain, tokens, word_runs
 from riskweave.operators.relational import top_k_per, union_all
 
 # Confidence of each rule, and the sources each group rule applies to.
@@ -28,15 +29,23 @@ FUEL_SOURCES = ("eia",)
 FUEL_MODES = ("ocean", "truck")
 FUEL_SCOPE = "ocean_or_truck_route"
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
 KEY_WORDS = 3
 KEY_CHARS = 4
 
 
-def match_phrases(texts: DataFrame, phrases: DataFrame) -> DataFrame:
+def _same(df: DataFrame, label: str = "") -> DataFrame:
+    return df
+
+
+def match_phrases(texts: DataFrame, phrases: DataFrame, keep: Keep = _same) -> DataFrame:
     """Which phrases occur in which texts, on word boundaries.
 
     ``texts`` has (text_id, text); ``phrases`` has (phrase). Returns distinct
     (text_id, phrase). Phrases of up to three words are decided by the equi join alone.
+    ``keep`` may store the dictionary, whose size then tells Spark whether to broadcast it, and
+    the narrow candidate rows, which two branches read.
     """
     words = tokens(F.col("phrase"))
     keys = (
@@ -50,12 +59,12 @@ def match_phrases(texts: DataFrame, phrases: DataFrame) -> DataFrame:
             F.when(F.size("_w") > KEY_WORDS, F.array_join("_w", " ")).alias("_rest"),
         )
     )
-    grams = F.array_distinct(F.concat(*[word_grams(F.col("_w"), n) for n in range(1, KEY_WORDS + 1)]))
+    grams = F.array_distinct(F.concat(*[word_runs(F.col("_w"), n) for n in range(1, KEY_WORDS + 1)]))
     keyed = texts.withColumn("_w", tokens(F.col("text"))).select("text_id", F.explode(grams).alias("_key"))
-    return _verified(keyed, keys, texts, plain)
+    return _verified(keyed, keys, texts, plain, " ", keep)
 
 
-def match_substrings(texts: DataFrame, phrases: DataFrame) -> DataFrame:
+def match_substrings(texts: DataFrame, phrases: DataFrame, keep: Keep = _same) -> DataFrame:
     """As ``match_phrases``, but any substring counts, ignoring case only."""
     low = F.lower(F.col("phrase"))
     keys = (
@@ -71,17 +80,19 @@ def match_substrings(texts: DataFrame, phrases: DataFrame) -> DataFrame:
     low_text = F.lower(F.col("text"))
     grams = F.array_distinct(F.concat(*[char_grams(low_text, n) for n in range(1, KEY_CHARS + 1)]))
     keyed = texts.select("text_id", F.explode(grams).alias("_key"))
-    return _verified(keyed, keys, texts, F.lower, padded=False)
+    return _verified(keyed, keys, texts, F.lower, "", keep)
 
 
-def _verified(keyed: DataFrame, keys: DataFrame, texts: DataFrame, norm, padded: bool = True) -> DataFrame:
-    hits = keyed.join(keys, "_key").select("text_id", "phrase", "_rest")
+def _verified(
+    keyed: DataFrame, keys: DataFrame, texts: DataFrame, norm: Callable[[Column], Column], edge: str, keep: Keep
+) -> DataFrame:
+    hits = keep(keyed.join(keep(keys, "phrase_keys"), "_key").select("text_id", "phrase", "_rest"), "phrase_hits")
     done = hits.filter(F.col("_rest").isNull()).select("text_id", "phrase")
-    pad = (lambda c: F.concat(F.lit(" "), c, F.lit(" "))) if padded else (lambda c: c)
+    around = lambda c: F.concat(F.lit(edge), c, F.lit(edge))
     checked = (
         hits.filter(F.col("_rest").isNotNull())
         .join(texts.select("text_id", norm(F.col("text")).alias("_text")), "text_id")
-        .filter(pad(F.col("_text")).contains(pad(F.col("_rest"))))
+        .filter(around(F.col("_text")).contains(around(F.col("_rest"))))
         .select("text_id", "phrase")
     )
     return done.unionByName(checked).distinct()
@@ -95,52 +106,65 @@ def event_texts(events: DataFrame) -> DataFrame:
     )
 
 
-def _event_phrase_hits(events: DataFrame, phrases: DataFrame, mode: str) -> DataFrame:
+def phrase_hits(events: DataFrame, phrases: DataFrame, mode: str = "word", keep: Keep = _same) -> DataFrame:
+    """Distinct (external_event_id, phrase) for any dictionary of phrases."""
     match = {"word": match_phrases, "substring": match_substrings}[mode]
-    hits = match(event_texts(events).select("text_id", "text"), phrases)
+    hits = match(event_texts(events).select("text_id", "text"), phrases, keep)
     return hits.select(F.col("text_id.external_event_id").alias("external_event_id"), "phrase").distinct()
 
 
-def match_alias(events: DataFrame, aliases: DataFrame, mode: str = "word") -> DataFrame:
-    """Events that mention an alias; the confidence is the alias's own."""
-    hits = _event_phrase_hits(events, aliases.select(F.col("alias_name").alias("phrase")), mode)
-    return hits.join(aliases, hits.phrase == aliases.alias_name).select(
-        "external_event_id",
-        "supplier_id",
+def alias_phrases(aliases: DataFrame) -> DataFrame:
+    return aliases.select(
+        F.col("alias_name").alias("phrase"),
         F.lit("alias").alias("match_type"),
+        "supplier_id",
         F.col("alias_name").alias("match_value"),
         "match_confidence",
     )
 
 
-def match_name(events: DataFrame, suppliers: DataFrame, mode: str = "word") -> DataFrame:
-    """Events that mention a supplier's name or its first two words."""
+def name_phrases(suppliers: DataFrame) -> DataFrame:
+    """Full name and, where it differs, its first two words."""
     short = F.array_join(F.slice(F.split("supplier_name", " "), 1, 2), " ")
-    names = suppliers.select(
-        "supplier_id",
-        "supplier_name",
+    return suppliers.select(
         F.explode(F.array_distinct(F.array(F.col("supplier_name"), short))).alias("phrase"),
+        F.lit("name").alias("match_type"),
+        "supplier_id",
+        F.col("supplier_name").alias("match_value"),
+        F.lit(NAME_CONFIDENCE).alias("match_confidence"),
     )
-    hits = _event_phrase_hits(events, names, mode)
-    return (
-        hits.join(names, "phrase")
-        .select(
-            "external_event_id",
-            "supplier_id",
-            F.lit("name").alias("match_type"),
-            F.col("supplier_name").alias("match_value"),
-            F.lit(NAME_CONFIDENCE).alias("match_confidence"),
-        )
-        .distinct()
-    )
 
 
-_BEST = [F.desc("match_confidence"), F.asc("match_type"), F.asc("match_value")]
+def category_phrases(suppliers: DataFrame) -> DataFrame:
+    return suppliers.select(F.lower("supplier_category").alias("phrase")).filter("phrase IS NOT NULL").distinct()
+
+
+def resolve_hits(hits: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Phrase hits turned into event x supplier matches."""
+    return hits.join(phrases, "phrase").select(
+        "external_event_id", "supplier_id", "match_type", "match_value", "match_confidence"
+    ).distinct()
+
+
+def match_alias(events: DataFrame, aliases: DataFrame, mode: str = "word", keep: Keep = _same) -> DataFrame:
+    """Events that mention an alias; the confidence is the alias's own."""
+    phrases = alias_phrases(aliases)
+    return resolve_hits(phrase_hits(events, phrases, mode, keep), phrases)
+
+
+def match_name(events: DataFrame, suppliers: DataFrame, mode: str = "word", keep: Keep = _same) -> DataFrame:
+    """Events that mention a supplier's name or its first two words."""
+    phrases = name_phrases(suppliers)
+    return resolve_hits(phrase_hits(events, phrases, mode, keep), phrases)
+
+
+def best_order() -> list[Column]:
+    return [F.desc("match_confidence"), F.asc("match_type"), F.asc("match_value")]
 
 
 def best_matches(*matches: DataFrame) -> DataFrame:
     """Highest confidence per event and supplier over all rules."""
-    return top_k_per(union_all(list(matches)), ["external_event_id", "supplier_id"], _BEST, 1)
+    return top_k_per(union_all(list(matches)), ["external_event_id", "supplier_id"], best_order(), 1)
 
 
 def _scope(df: DataFrame, key: str, kind: str, value: Column) -> DataFrame:
@@ -164,13 +188,35 @@ def supplier_scopes(suppliers: DataFrame, routes: DataFrame) -> DataFrame:
     ).filter(F.col("scope_value").isNotNull()).distinct()
 
 
+def _country_scope() -> Column:
+    hit = F.lower("source_name").isin(*COUNTRY_SOURCES)
+    return F.when(hit & F.col("event_country").isNotNull(), _scope_struct("country", F.lower("event_country")))
+
+
+def _fuel_scope() -> Column:
+    return F.when(F.lower("source_name").isin(*FUEL_SOURCES), _scope_struct("fuel_logistics", F.lit(FUEL_SCOPE)))
+
+
+def _scope_struct(kind: str, value: Column) -> Column:
+    return F.struct(F.lit(kind).alias("scope_type"), value.alias("scope_value"))
+
+
+def _exploded(events: DataFrame, scopes: list[Column]) -> DataFrame:
+    present = F.filter(F.array(*scopes), lambda s: s.isNotNull())
+    return events.select("external_event_id", F.explode(present).alias("s")).select("external_event_id", "s.*")
+
+
 def match_country(events: DataFrame) -> DataFrame:
-    hit = events.filter(F.lower("source_name").isin(*COUNTRY_SOURCES) & F.col("event_country").isNotNull())
-    return _scope(hit, "external_event_id", "country", F.lower("event_country"))
+    return _exploded(events, [_country_scope()])
 
 
-def match_region(events: DataFrame, routes: DataFrame) -> DataFrame:
-    """Either region text holds the other; decided once per distinct pair of names."""
+def match_fuel(events: DataFrame) -> DataFrame:
+    return _exploded(events, [_fuel_scope()])
+
+
+def region_pairs(events: DataFrame, routes: DataFrame) -> DataFrame:
+    """Event region names with the route regions they overlap: either text holds the other.
+    Decided once per distinct pair of names, so it does not grow with events or routes."""
     hit = events.filter(F.lower("source_name").isin(*REGION_SOURCES) & F.col("event_region").isNotNull())
     ours = routes.select(F.lower("risk_region").alias("name")).filter("name IS NOT NULL").distinct()
     theirs = hit.select(F.lower("event_region").alias("name")).distinct()
@@ -181,49 +227,70 @@ def match_region(events: DataFrame, routes: DataFrame) -> DataFrame:
             phrases.select(F.col("name").alias("phrase")),
         )
 
-    pairs = (
+    return (
         within(theirs, ours)
         .select(F.col("text_id").alias("_event"), F.col("phrase").alias("_route"))
         .unionByName(within(ours, theirs).select(F.col("phrase").alias("_event"), F.col("text_id").alias("_route")))
         .distinct()
     )
-    return _scope(
-        hit.join(pairs, F.lower(hit.event_region) == pairs._event),
-        "external_event_id",
-        "region",
-        F.col("_route"),
-    )
 
 
-def match_category(events: DataFrame, suppliers: DataFrame) -> DataFrame:
-    """Recalls whose text names a supplier category, or whose risk category is part of one."""
+def match_region(events: DataFrame, routes: DataFrame) -> DataFrame:
+    hit = events.filter(F.lower("source_name").isin(*REGION_SOURCES))
+    pairs = region_pairs(events, routes)
+    return _scope(hit.join(pairs, F.lower(hit.event_region) == pairs._event), "external_event_id", "region", F.col("_route"))
+
+
+def _risk_in_category(events: DataFrame, categories: DataFrame) -> DataFrame:
+    """Recalls whose risk category is part of a supplier category (distinct names only)."""
     recalls = events.filter(F.lower("source_name").isin(*CATEGORY_SOURCES))
-    names = suppliers.select(F.lower("supplier_category").alias("phrase")).filter("phrase IS NOT NULL").distinct()
-    in_text = _event_phrase_hits(recalls, names, "word")
-    reverse = match_substrings(
-        names.select(F.col("phrase").alias("text_id"), F.col("phrase").alias("text")),
+    pairs = match_substrings(
+        categories.select(F.col("phrase").alias("text_id"), F.col("phrase").alias("text")),
         recalls.select(F.lower("risk_category").alias("phrase")).filter("phrase IS NOT NULL"),
     ).select(F.col("phrase").alias("_risk"), F.col("text_id").alias("_category"))
-    by_risk = recalls.join(reverse, F.lower(recalls.risk_category) == reverse._risk)
+    joined = recalls.join(pairs, F.lower(recalls.risk_category) == pairs._risk)
+    return _scope(joined, "external_event_id", "category", F.col("_category"))
+
+
+def match_category(
+    events: DataFrame, suppliers: DataFrame, hits: DataFrame | None = None, keep: Keep = _same
+) -> DataFrame:
+    """Recalls whose text names a supplier category, or whose risk category is part of one.
+
+    ``hits`` may hold phrase hits of a shared text pass; they are cut to recalls and categories.
+    """
+    categories = category_phrases(suppliers)
+    recalls = events.filter(F.lower("source_name").isin(*CATEGORY_SOURCES))
+    if hits is None:
+        hits = phrase_hits(recalls, categories, keep=keep)
+    else:
+        hits = hits.join(categories, "phrase", "left_semi").join(
+            recalls.select("external_event_id"), "external_event_id", "left_semi"
+        )
     return (
-        _scope(in_text, "external_event_id", "category", F.col("phrase"))
-        .unionByName(_scope(by_risk, "external_event_id", "category", F.col("_category")))
+        _scope(hits, "external_event_id", "category", F.col("phrase"))
+        .unionByName(_risk_in_category(events, categories))
         .distinct()
     )
 
 
-def match_fuel(events: DataFrame) -> DataFrame:
-    hit = events.filter(F.lower("source_name").isin(*FUEL_SOURCES))
-    return _scope(hit, "external_event_id", "fuel_logistics", F.lit(FUEL_SCOPE))
+def match_texts(
+    events: DataFrame, aliases: DataFrame, suppliers: DataFrame, keep: Keep = _same
+) -> tuple[DataFrame, DataFrame]:
+    """Alias and name matches plus category hits from one pass over the event texts."""
+    phrases = alias_phrases(aliases).unionByName(name_phrases(suppliers))
+    categories = category_phrases(suppliers)
+    hits = phrase_hits(events, phrases.select("phrase").unionByName(categories), keep=keep)
+    return best_matches(resolve_hits(hits, phrases)), hits
 
 
-def event_scopes(events: DataFrame, suppliers: DataFrame, routes: DataFrame) -> DataFrame:
+def event_scopes(events: DataFrame, suppliers: DataFrame, routes: DataFrame, hits: DataFrame | None = None) -> DataFrame:
+    """All group scopes of each event."""
     return union_all(
         [
-            match_country(events),
+            _exploded(events, [_country_scope(), _fuel_scope()]),
             match_region(events, routes),
-            match_category(events, suppliers),
-            match_fuel(events),
+            match_category(events, suppliers, hits),
         ]
     )
 
@@ -258,7 +325,7 @@ def group_suppliers(groups: DataFrame, memberships: DataFrame) -> DataFrame:
         F.col("scope_value").alias("match_value"),
         scope_confidence(F.col("scope_type")).alias("match_confidence"),
     )
-    return top_k_per(rows, ["match_group_id", "supplier_id"], _BEST, 1)
+    return top_k_per(rows, ["match_group_id", "supplier_id"], best_order(), 1)
 
 
 def direct_pairs(direct: DataFrame, groups: DataFrame, members: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.cleaning import record_id
 from riskweave.functions.risk import common_severity
-from riskweave.sources.tables import Tables
+from riskweave.sources.tables import Tables, spread
 
 # Reference days of the two data families.
 ORDERS_AS_OF = "2001-08-01"
@@ -435,7 +435,7 @@ def raw_severity() -> Column:
 def event_rows(t: Tables) -> DataFrame:
     """Events with the attributes every derived event table shares."""
     k = F.get_json_object("props", "$.k").cast("int")
-    e = t.events.withColumn("k", k).withColumn("source_name", source_name())
+    e = spread(t.events).withColumn("k", k).withColumn("source_name", source_name())
     p = t.part.select(F.col("p_partkey").cast("int").alias("k"), "p_name")
     r = t.region.select(F.col("r_regionkey"), "r_name")
     return (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,7 @@ def local_session(app: str = "riskweave", cpus: int | str = "*") -> SparkSession
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="riskweave-wh-"))
         .getOrCreate()
     )
@@ -26,15 +28,23 @@ def local_session(app: str = "riskweave", cpus: int | str = "*") -> SparkSession
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` reliably so that later stages survive lost executors.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``;
+    only where none is named (tests on one machine) a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        named = tempfile.mkdtemp(prefix="riskweave-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where none is
-    named (tests on one machine) is a temporary folder used.
+
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Later stages then start from durable files: a lost executor re-reads them, the plan stays
+    small, and file statistics let Spark choose join strategies.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="riskweave-ckpt-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/riskweave/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

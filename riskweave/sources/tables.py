@@ -29,6 +29,16 @@ class Tables:
         return self[name]
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a plain scan at least one partition per core.
+
+    Row-wise heavy work (tokens, n-grams) right after a scan of few row groups would leave
+    cores idle. A scan with enough partitions, as any large one, is left as it is: no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
