@@ -1 +1,183 @@
-"""placeholder"""
+"""Benchmark alerts, alert events and routing over the derived scores."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskweave.catalog import scoring as CS
+from riskweave.catalog.registry import cte, query
+from riskweave.catalog.shape import tidy
+from riskweave.operators.maintenance import upsert
+from riskweave.plans import alerts as A
+from riskweave.plans import inputs as I
+from riskweave.session import cut_lineage
+
+RUN = "run_2024"
+
+cte("al_benchmarks", """
+SELECT * FROM (VALUES ('SUP_SCORE_CRITICAL','supplier','overall_risk_score',75.0,'gte','critical'), ('SUP_SCORE_HIGH','supplier','overall_risk_score',55.0,'gte','high'), ('SUP_DELTA_24H','supplier','score_delta_24h',15.0,'gte','critical'),
+  ('SKU_STOCKOUT_CRITICAL','sku','stockout_probability',0.75,'gte','critical'), ('SKU_STOCKOUT_HIGH','sku','stockout_probability',0.5,'gte','high'), ('SKU_COVER_CRITICAL','sku','days_of_cover',7.0,'lte','critical'), ('SKU_NO_ALTERNATE','sku','alternate_status',0.0,'eq_none','high'))
+  AS b(benchmark_id, entity_type, metric_name, threshold_value, comparison, severity)
+""")
+cte("al_metrics", """
+SELECT 'supplier' AS entity_type, supplier_id AS entity_id, 'overall_risk_score' AS metric_name, overall_risk_score AS v FROM sc_composite
+UNION ALL SELECT 'sku', canonical_sku_id, 'stockout_probability', stockout_probability FROM sc_stockout
+UNION ALL SELECT 'sku', canonical_sku_id, 'days_of_cover', days_of_cover FROM sc_stockout
+UNION ALL SELECT 'sku', canonical_sku_id, 'alternate_status', CASE WHEN alternate_status = 'none' THEN 1.0 ELSE 0.0 END FROM sc_stockout
+""")
+cte("al_candidates", """
+SELECT m.entity_type, entity_id, benchmark_id, m.metric_name, v AS actual_value, threshold_value, CASE WHEN comparison = 'lte' THEN threshold_value - v ELSE v - threshold_value END AS breach_amount, severity
+FROM al_metrics m JOIN al_benchmarks b ON m.entity_type = b.entity_type AND m.metric_name = b.metric_name
+WHERE CASE comparison WHEN 'gte' THEN v >= threshold_value WHEN 'lte' THEN v <= threshold_value ELSE v = 1.0 END
+""")
+
+
+def scored(t):
+    """Supplier and SKU scores, written once because several alert generators read them."""
+    sup = cut_lineage(CS.S.label_scores(CS.composite(t)), "supplier_scores")
+    return sup, cut_lineage(CS.stockout(t, sup), "sku_scores")
+
+
+def candidates(t):
+    sup, sku = scored(t)
+    metrics = A.metric_rows(sup, "supplier", "supplier_id", "supplier_name", ["overall_risk_score"], F.col("top_risk_driver")).unionByName(
+        A.metric_rows(sku, "sku", "canonical_sku_id", "canonical_sku_id", ["stockout_probability", "days_of_cover", "alternate_status"], F.col("supplier_name"))
+    )
+    return A.evaluate_benchmarks(metrics, A.benchmarks_df(t.spark))
+
+
+@query("evaluate_benchmarks", "L01 L02", "SELECT entity_type, entity_id, benchmark_id, metric_name, rnd(actual_value, 4) AS actual_value, rnd(threshold_value, 4) AS threshold_value, rnd(breach_amount, 4) AS breach_amount, severity FROM al_candidates")
+def _(t):
+    return tidy(candidates(t).drop("entity_name", "trigger_description"))
+
+
+@query("finalize_alerts", "L03 P08", "SELECT 'ALT_' || substr(sha256(entity_type || '|' || entity_id || '|' || benchmark_id), 1, 24) AS alert_id, entity_id, benchmark_id, 'triggered' AS status FROM al_candidates")
+def _(t):
+    c = candidates(t)
+    return A.finalize_alerts(c.unionByName(c), I.EVENTS_AS_OF).select("alert_id", "entity_id", "benchmark_id", "status")
+
+
+cte("al_sku", """
+SELECT 'sku_stockout' AS alert_type, 'inventory_stockout' AS risk_category, 'high' AS severity, 3 AS severity_rank, supplier_id, canonical_sku_id AS sku_id, stockout_probability AS trigger_metric_value,
+  'High stockout risk detected for ' || canonical_sku_id AS alert_title, 'sku_stockout|' || canonical_sku_id || '|2024-01-30' AS dedupe_key
+FROM (SELECT * FROM sc_stockout WHERE stockout_probability >= 0.75 ORDER BY stockout_probability DESC, canonical_sku_id LIMIT 50)
+""")
+cte("al_supplier", """
+SELECT 'supplier_risk' AS alert_type, 'supplier_risk' AS risk_category, 'high' AS severity, 3 AS severity_rank, supplier_id, NULL::VARCHAR AS sku_id, overall_risk_score AS trigger_metric_value,
+  'High supplier risk detected for ' || supplier_name AS alert_title, 'supplier_risk|' || supplier_id || '|2024-01-30' AS dedupe_key
+FROM (SELECT * FROM sc_labelled WHERE overall_risk_score >= 40 ORDER BY overall_risk_score DESC, supplier_id LIMIT 50)
+""")
+cte("al_event", """
+SELECT 'external_event' AS alert_type, risk_category, severity, CASE severity WHEN 'critical' THEN 4 ELSE 3 END AS severity_rank, NULL::VARCHAR AS supplier_id, NULL::VARCHAR AS sku_id, CASE severity WHEN 'critical' THEN 4.0 ELSE 3.0 END AS trigger_metric_value,
+  'External risk event: ' || event_title AS alert_title, 'external_event|' || external_event_id AS dedupe_key
+FROM (SELECT * FROM fx_external_events WHERE severity IN ('critical', 'high') ORDER BY CASE severity WHEN 'critical' THEN 4 ELSE 3 END DESC, event_date DESC, external_event_id LIMIT 50)
+""")
+cte("al_all", """
+SELECT *, 'alert_' || substr(sha256(dedupe_key), 1, 24) AS alert_id FROM (SELECT * FROM al_sku UNION ALL SELECT * FROM al_supplier UNION ALL SELECT * FROM al_event)
+""")
+
+SHOWN = ["alert_type", "risk_category", "severity", "severity_rank", "supplier_id", "sku_id", "trigger_metric_value", "alert_title", "dedupe_key"]
+# A lower supplier cut than the default, so that the given tables raise supplier alerts.
+SUPPLIER_40 = A.ThresholdSpec(**{**A.SUPPLIER_ALERTS.__dict__, "cut": 40.0})
+
+
+def _shown(block):
+    return f"SELECT * REPLACE (CAST(severity_rank AS BIGINT) AS severity_rank, rnd(trigger_metric_value, 4) AS trigger_metric_value) FROM {block}"
+
+
+@query("sku_threshold_alerts", "L04 T04 P10", _shown("al_sku"))
+def _(t):
+    return tidy(A.threshold_alerts(scored(t)[1], A.SKU_ALERTS, I.EVENTS_AS_OF, RUN).select(SHOWN))
+
+
+@query("supplier_threshold_alerts", "L04", _shown("al_supplier"))
+def _(t):
+    return tidy(A.threshold_alerts(CS.S.label_scores(CS.composite(t)), SUPPLIER_40, I.EVENTS_AS_OF, RUN).select(SHOWN))
+
+
+@query("event_alerts", "L05 L07", _shown("al_event"))
+def _(t):
+    return tidy(A.event_alerts(I.external_events(t), I.EVENTS_AS_OF, RUN).select(SHOWN))
+
+
+@query("health_alerts", "L06", """
+SELECT 'workflow_health' AS alert_type, 'critical' AS severity, 'workflow_health|' || d AS dedupe_key FROM (
+  SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS d, count(*) FILTER (event_type = 'error') AS failed_tasks FROM events GROUP BY 1 ORDER BY d DESC LIMIT 1) WHERE failed_tasks > 0
+""")
+def _(t):
+    runs = t.events.groupBy(F.to_date("ts").alias("run_day")).agg(F.count(F.when(F.col("event_type") == "error", 1)).alias("failed_tasks"))
+    out = A.health_alerts(runs, "workflow_health", "data_platform", "run_day", F.col("failed_tasks") > 0, I.EVENTS_AS_OF, RUN)
+    return out.select("alert_type", "severity", "dedupe_key")
+
+
+def generated(t):
+    sup, sku = scored(t)
+    return [
+        A.threshold_alerts(sku, A.SKU_ALERTS, I.EVENTS_AS_OF, RUN),
+        A.threshold_alerts(sup, SUPPLIER_40, I.EVENTS_AS_OF, RUN),
+        A.event_alerts(I.external_events(t), I.EVENTS_AS_OF, RUN),
+    ]
+
+
+@query("merge_alerts", "L08 S09", "SELECT alert_id, alert_type, CASE WHEN alert_type = 'sku_stockout' THEN 'acknowledged' ELSE 'new' END AS alert_status, rnd(trigger_metric_value, 4) AS trigger_metric_value FROM al_all")
+def _(t):
+    new = generated(t)
+    known = new[0].withColumns({"alert_status": F.lit("acknowledged"), "trigger_metric_value": F.lit(0.0)})
+    return tidy(A.merge_alerts(known, new).select("alert_id", "alert_type", "alert_status", "trigger_metric_value"))
+
+
+cte("al_rules", """
+SELECT * FROM (VALUES ('route_sanctions_high',10,'external_event','sanctions_compliance',3,'compliance_team'), ('route_cyber_high',20,'external_event','cyber',3,'security_team'), ('route_supplier_high',30,'supplier_risk','supplier_risk',3,'supplier_ops_team'),
+  ('route_sku_stockout_high',40,'sku_stockout','inventory_stockout',3,'inventory_team'), ('route_logistics_medium',50,'external_event','logistics',2,'supply_chain_ops_team'), ('route_default_high',999,'*','*',3,'default_alert_team')) AS r(routing_rule_id, rule_priority, rt, rc, mr, recipient_group)
+""")
+cte("al_matched", "SELECT a.*, r.* FROM al_all a JOIN al_rules r ON (rt = '*' OR rt = alert_type) AND (rc = '*' OR rc = risk_category) AND severity_rank >= mr")
+cte("al_routed", "SELECT *, recipient_group || '@example.com' AS recipient_email FROM (SELECT *, row_number() OVER (PARTITION BY alert_id, recipient_group ORDER BY rule_priority, routing_rule_id) AS rr FROM al_matched) WHERE rr = 1")
+
+
+@query("match_rules", "J14 L09", "SELECT alert_id, routing_rule_id, CAST(rule_priority AS BIGINT) AS rule_priority, recipient_group FROM al_matched")
+def _(t):
+    return tidy(A.match_rules(A.merge_alerts(None, generated(t)), A.routing_rules(t.spark)).select("alert_id", "routing_rule_id", "rule_priority", "recipient_group"))
+
+
+def routed(t):
+    alerts = cut_lineage(A.merge_alerts(None, generated(t)), "alerts")
+    return alerts, A.route_alerts(alerts, A.routing_rules(t.spark))
+
+
+@query("route_alerts", "L10 W07", "SELECT alert_id, routing_rule_id, recipient_email FROM al_routed")
+def _(t):
+    return routed(t)[1].select("alert_id", "routing_rule_id", "recipient_email")
+
+
+@query("inbox_items", "L11 S08", "SELECT 'inbox_' || substr(sha256(alert_id || '|' || recipient_email || '|email'), 1, 24) AS inbox_item_id, alert_id, recipient_group, severity, 'unread' AS inbox_status FROM al_routed")
+def _(t):
+    items = A.inbox_items(routed(t)[1], I.EVENTS_AS_OF)
+    return upsert(items, items, ["inbox_item_id"]).select("inbox_item_id", "alert_id", "recipient_group", "severity", "inbox_status")
+
+
+@query("delivery_log", "L12", "SELECT alert_id, recipient_email, '[' || upper(severity) || '] ' || alert_title AS subject_text, 'logged_not_sent' AS delivery_status FROM al_routed")
+def _(t):
+    return A.delivery_log(routed(t)[1], I.EVENTS_AS_OF).select("alert_id", "recipient_email", "subject_text", "delivery_status")
+
+
+@query("mark_routed", "L13", "SELECT alert_id, CASE WHEN alert_id IN (SELECT alert_id FROM al_routed) THEN 'routed' ELSE 'new' END AS alert_status FROM al_all")
+def _(t):
+    alerts, r = routed(t)
+    return A.mark_routed(alerts, r).select("alert_id", "alert_status")
+
+
+@query("alert_breakdown", "L14", """
+SELECT 'alert_type' AS grouping_name, alert_type AS grouping_value, count(*) AS alert_count FROM al_all GROUP BY 2 UNION ALL SELECT 'severity', severity, count(*) FROM al_all GROUP BY 2 UNION ALL SELECT 'alert_status', 'new', count(*) FROM al_all
+""")
+def _(t):
+    return A.alert_breakdown(A.merge_alerts(None, generated(t)))
+
+
+@query("alert_diagnostics", "L15", "SELECT count(*) AS row_count, rnd(max(stockout_probability), 4) AS max_value, rnd(avg(stockout_probability), 4) AS avg_value, count(*) FILTER (stockout_probability >= 0.5) AS at_least_0_5, count(*) FILTER (stockout_probability >= 0.75) AS at_least_0_75 FROM sc_stockout")
+def _(t):
+    return tidy(A.alert_diagnostics(CS.stockout(t), "stockout_probability", [0.5, 0.75]))
+
+
+@query("alert_summary", "L15", "SELECT alert_type, severity, count(*) AS alert_count FROM al_all GROUP BY 1, 2")
+def _(t):
+    return A.alert_summary(A.merge_alerts(None, generated(t)), ["alert_type", "severity", "not_there"])
