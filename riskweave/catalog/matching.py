@@ -66,13 +66,15 @@ class Matched:
         suppliers, routes = I.suppliers(t), cut_lineage(I.routes(t), "routes")
         direct, hits = M.match_texts(self.events, I.aliases(t), suppliers, cut_lineage)
         self.direct = cut_lineage(direct, "direct")
-        self.groups = cut_lineage(M.event_groups(M.event_scopes(self.events, suppliers, routes, hits)), "event_groups")
+        # Everything but the text pass needs only the short columns, so texts are not read again.
+        brief = cut_lineage(self.events.drop("event_summary"), "events")
+        self.groups = cut_lineage(M.event_groups(M.event_scopes(brief, suppliers, routes, hits, cut_lineage)), "event_groups")
         self.members = cut_lineage(M.group_suppliers(self.groups, M.supplier_scopes(suppliers, routes)), "members")
-        self.routes = routes
+        self.routes, self.brief = routes, brief
 
     @property
     def parts(self):
-        return self.events, self.direct, self.groups, self.members
+        return self.brief, self.direct, self.groups, self.members
 
 
 @query("match_alias", "M28 J10", "SELECT * FROM mt_alias")

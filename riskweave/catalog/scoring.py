@@ -48,22 +48,17 @@ def operational(t):
     return S.operational_score(marts.scorecard_trends(I.scorecards(t)))
 
 
-def composite(t):
+def composite(t, matched=None):
     s = I.suppliers(t)
     parts = [
         operational(t),
         S.dependency_score(s, CS.dependency(t)),
-        S.event_scores(*Matched(t).parts, I.EVENTS_AS_OF),
+        S.event_scores(*(matched or Matched(t)).parts, I.EVENTS_AS_OF),
         S.logistics_score(I.routes(t)),
     ]
     return S.composite_score(s, parts, I.EVENTS_AS_OF)
 
 
-def labelled(t):
-    """Scores with driver, action and deltas against the score history."""
-    return S.score_delta(S.label_scores(composite(t)), history(t))
-
-
 def history(t):
     """Earlier scores: the operational score of every month, dated by month."""
     w = marts.scorecard_trends(I.scorecards(t))
@@ -133,8 +128,9 @@ FROM sc_labelled l LEFT JOIN (SELECT supplier_id, count(*) AS n, string_agg(exte
 """)
 
 
-def explained(t, scores=None):
-    return S.explanation_log(scores if scores is not None else S.label_scores(composite(t)), S.top_supplier_events(*Matched(t).parts, I.EVENTS_AS_OF))
+def explained(t):
+    m = Matched(t)
+    return S.explanation_log(S.label_scores(composite(t, m)), S.top_supplier_events(*m.parts, I.EVENTS_AS_OF))
 
 
 @query("explanation_log", "R12", "SELECT supplier_id, driver_1_dimension, driver_1_detail, driver_2_dimension, driver_2_detail, driver_3_detail, evidence_count, evidence_ids FROM sc_explained")

@@ -214,46 +214,54 @@ def match_fuel(events: DataFrame) -> DataFrame:
     return _exploded(events, [_fuel_scope()])
 
 
-def region_pairs(events: DataFrame, routes: DataFrame) -> DataFrame:
+def event_names(events: DataFrame) -> DataFrame:
+    """Distinct source, region and risk category names: a small table at any number of events."""
+    return events.select(
+        F.lower("source_name").alias("source"), F.lower("event_region").alias("region"), F.lower("risk_category").alias("risk")
+    ).distinct()
+
+
+def region_pairs(names: DataFrame, routes: DataFrame) -> DataFrame:
     """Event region names with the route regions they overlap: either text holds the other.
     Decided once per distinct pair of names, so it does not grow with events or routes."""
-    hit = events.filter(F.lower("source_name").isin(*REGION_SOURCES) & F.col("event_region").isNotNull())
     ours = routes.select(F.lower("risk_region").alias("name")).filter("name IS NOT NULL").distinct()
-    theirs = hit.select(F.lower("event_region").alias("name")).distinct()
-
-    def within(texts: DataFrame, phrases: DataFrame) -> DataFrame:
-        return match_substrings(
-            texts.select(F.col("name").alias("text_id"), F.col("name").alias("text")),
-            phrases.select(F.col("name").alias("phrase")),
-        )
-
-    return (
-        within(theirs, ours)
-        .select(F.col("text_id").alias("_event"), F.col("phrase").alias("_route"))
-        .unionByName(within(ours, theirs).select(F.col("phrase").alias("_event"), F.col("text_id").alias("_route")))
-        .distinct()
+    theirs = names.filter(F.col("source").isin(*REGION_SOURCES) & F.col("region").isNotNull()).select(F.col("region").alias("name")).distinct()
+
+    # One pass serves both directions: every name is text and phrase, sides are told apart after.
+    both = ours.withColumn("side", F.lit("route")).unionByName(theirs.withColumn("side", F.lit("event")))
+    hits = match_substrings(both.select(F.struct("side", "name").alias("text_id"), F.col("name").alias("text")), both.select(F.col("name").alias("phrase")))
+    hits = hits.select(F.col("text_id.side").alias("side"), F.col("text_id.name").alias("name"), "phrase")
+    in_event = hits.filter("side = 'event'").select(F.col("name").alias("_event"), F.col("phrase").alias("_route"))
+    in_route = hits.filter("side = 'route'").select(F.col("phrase").alias("_event"), F.col("name").alias("_route"))
+    pairs = in_event.unionByName(in_route).distinct()
+    return pairs.join(ours.select(F.col("name").alias("_route")), "_route", "left_semi").join(
+        theirs.select(F.col("name").alias("_event")), "_event", "left_semi"
     )
 
 
-def match_region(events: DataFrame, routes: DataFrame) -> DataFrame:
+def match_region(events: DataFrame, routes: DataFrame, names: DataFrame | None = None) -> DataFrame:
     hit = events.filter(F.lower("source_name").isin(*REGION_SOURCES))
-    pairs = region_pairs(events, routes)
+    pairs = region_pairs(names if names is not None else event_names(events), routes)
     return _scope(hit.join(pairs, F.lower(hit.event_region) == pairs._event), "external_event_id", "region", F.col("_route"))
 
 
-def _risk_in_category(events: DataFrame, categories: DataFrame) -> DataFrame:
+def _risk_in_category(events: DataFrame, categories: DataFrame, names: DataFrame) -> DataFrame:
     """Recalls whose risk category is part of a supplier category (distinct names only)."""
     recalls = events.filter(F.lower("source_name").isin(*CATEGORY_SOURCES))
-    pairs = match_substrings(
-        categories.select(F.col("phrase").alias("text_id"), F.col("phrase").alias("text")),
-        recalls.select(F.lower("risk_category").alias("phrase")).filter("phrase IS NOT NULL"),
-    ).select(F.col("phrase").alias("_risk"), F.col("text_id").alias("_category"))
+    risks = names.filter(F.col("source").isin(*CATEGORY_SOURCES) & F.col("risk").isNotNull()).select(F.col("risk").alias("phrase")).distinct()
+    pairs = match_substrings(categories.select(F.col("phrase").alias("text_id"), F.col("phrase").alias("text")), risks).select(
+        F.col("phrase").alias("_risk"), F.col("text_id").alias("_category")
+    )
     joined = recalls.join(pairs, F.lower(recalls.risk_category) == pairs._risk)
     return _scope(joined, "external_event_id", "category", F.col("_category"))
 
 
 def match_category(
-    events: DataFrame, suppliers: DataFrame, hits: DataFrame | None = None, keep: Keep = _same
+    events: DataFrame,
+    suppliers: DataFrame,
+    hits: DataFrame | None = None,
+    names: DataFrame | None = None,
+    keep: Keep = _same,
 ) -> DataFrame:
     """Recalls whose text names a supplier category, or whose risk category is part of one.
 
@@ -269,7 +277,7 @@ def match_category(
         )
     return (
         _scope(hits, "external_event_id", "category", F.col("phrase"))
-        .unionByName(_risk_in_category(events, categories))
+        .unionByName(_risk_in_category(events, categories, names if names is not None else event_names(events)))
         .distinct()
     )
 
@@ -284,13 +292,16 @@ def match_texts(
     return best_matches(resolve_hits(hits, phrases)), hits
 
 
-def event_scopes(events: DataFrame, suppliers: DataFrame, routes: DataFrame, hits: DataFrame | None = None) -> DataFrame:
+def event_scopes(
+    events: DataFrame, suppliers: DataFrame, routes: DataFrame, hits: DataFrame | None = None, keep: Keep = _same
+) -> DataFrame:
     """All group scopes of each event."""
+    names = keep(event_names(events), "event_names")
     return union_all(
         [
             _exploded(events, [_country_scope(), _fuel_scope()]),
-            match_region(events, routes),
-            match_category(events, suppliers, hits),
+            match_region(events, routes, names),
+            match_category(events, suppliers, hits, names, keep),
         ]
     )
 

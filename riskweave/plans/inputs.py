@@ -49,7 +49,7 @@ def _id(prefix: str, c: str) -> Column:
 def lines(t: Tables) -> DataFrame:
     """Order lines with the order's date, status and the days from order to shipping."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("order_date"))
-    li = t.lineitem.withColumn("ship_date", F.to_date("l_shipdate"))
+    li = spread(t.lineitem).withColumn("ship_date", F.to_date("l_shipdate"))
     return li.join(o, li.l_orderkey == o.o_orderkey).withColumn("lead_days", F.datediff("ship_date", "order_date"))
 
 
