@@ -11,7 +11,6 @@ from riskweave.catalog.matching import Matched
 from riskweave.catalog.registry import cte, query
 from riskweave.catalog.shape import tidy
 from riskweave.operators.matching import top_events_per_supplier
-from riskweave.operators.relational import top_k_per
 from riskweave.plans import alerts as A
 from riskweave.plans import context as C
 from riskweave.plans import crosswalk as X
@@ -318,5 +317,3 @@ def _(t):
 def _(t):
     return tidy(CS.operational(t).select("supplier_id", "operational_score").orderBy(F.desc("operational_score"), "supplier_id").limit(10))
 
-
-_ = top_k_per

@@ -16,7 +16,6 @@ from riskweave.operators import profiling as PR
 from riskweave.operators import relational as R
 from riskweave.plans import inputs as I
 from riskweave.plans import marts, silver
-from riskweave.plans.events import parse_events  # noqa: F401
 from riskweave.sources import landing as L
 from riskweave.sources.tables import align_schema, table_counts
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskweave.catalog import silver as SV
 from riskweave.catalog.registry import query
 from riskweave.catalog.shape import tidy
 from riskweave.operators import profiling as P
@@ -13,7 +12,6 @@ from riskweave.operators.relational import top_values, union_all
 from riskweave.plans import events as E
 from riskweave.plans import inputs as I
 from riskweave.plans import marts, silver
-from riskweave.plans.context import contract_registry
 from riskweave.sources import landing as L
 
 CONTRACTS = {
@@ -244,5 +242,3 @@ def _(t):
 def _(t):
     return Q.check_embeddings(t.embeddings, "embeddings", "vec_id", "embedding", 64)
 
-
-_ = (SV, contract_registry)

@@ -170,8 +170,7 @@ def stockout(t, scores=None):
 
 
 @query("stockout_scores", "R14 R15", """
-SELECT canonical_sku_id, supplier_id, rnd(days_of_cover, 4) AS days_of_cover, rnd(cover_gap, 4) AS cover_gap, rnd(stockout_probability, 4) AS stockout_probability, stockout_risk_band, strftime(expected_stockout_date, '%Y-%m-%d') AS expected_stockout_date, rnd(sales_exposure_30d, 2) AS sales_exposure_30d FROM sc_stockout
+SELECT canonical_sku_id, supplier_id, rnd(days_of_cover, 4) AS days_of_cover, rnd(cover_gap, 4) AS cover_gap, rnd(stockout_probability, 4) AS stockout_probability, stockout_risk_band, strftime(expected_stockout_date, '%Y-%m-%d') AS expected_stockout_date, rnd(sales_exposure_30d, 4) AS sales_exposure_30d FROM sc_stockout
 """)
 def _(t):
-    s = tidy(stockout(t).select("canonical_sku_id", "supplier_id", "days_of_cover", "cover_gap", "stockout_probability", "stockout_risk_band", "expected_stockout_date", "sales_exposure_30d"))
-    return s.withColumn("sales_exposure_30d", F.round("sales_exposure_30d", 2))
+    return tidy(stockout(t).select("canonical_sku_id", "supplier_id", "days_of_cover", "cover_gap", "stockout_probability", "stockout_risk_band", "expected_stockout_date", "sales_exposure_30d"))

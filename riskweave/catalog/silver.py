@@ -369,10 +369,9 @@ def sales30(t):
     return marts.sales_30d(s, I.crosswalk(t), I.ORDERS_AS_OF)
 
 
-@query("sales_30d", "M20", "SELECT canonical_sku_id, rnd(avg_daily_units_sold, 4) AS avg_daily_units_sold, rnd(avg_sell_price, 3) AS avg_sell_price, rnd(total_revenue_30d, 2) AS total_revenue_30d, days_with_sales, total_units_30d FROM dm_sales_30d")
+@query("sales_30d", "M20", "SELECT canonical_sku_id, rnd(avg_daily_units_sold, 4) AS avg_daily_units_sold, rnd(avg_sell_price, 4) AS avg_sell_price, rnd(total_revenue_30d, 4) AS total_revenue_30d, days_with_sales, total_units_30d FROM dm_sales_30d")
 def _(t):
-    d = tidy(sales30(t))
-    return d.withColumn("avg_sell_price", F.round("avg_sell_price", 3)).withColumn("total_revenue_30d", F.round("total_revenue_30d", 2))
+    return tidy(sales30(t))
 
 
 cte("dm_latest_inventory", """
