@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from riskweave.llm.dedup import OP3_SQL, op3_exact_dedup
 from riskweave.llm.mixing import OP2_SQL, op2_mix_sources
+from riskweave.llm.packing import op10_pack_mixture
 from riskweave.llm.sharding import op1_shard_minimax
+from riskweave.llm.tokens import op7_count_tokens
 
 QUERIES = {
     "op1_shard_minimax": op1_shard_minimax,
     "op2_mix_sources": op2_mix_sources,
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_count_tokens": op7_count_tokens,
+    "op10_pack_mixture": op10_pack_mixture,
 }
 SQL = {"op2_mix_sources": OP2_SQL, "op3_exact_dedup": OP3_SQL}
