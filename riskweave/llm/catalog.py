@@ -6,13 +6,17 @@ from riskweave.llm.dedup import OP3_SQL, op3_exact_dedup
 from riskweave.llm.mixing import OP2_SQL, op2_mix_sources
 from riskweave.llm.packing import op10_pack_mixture
 from riskweave.llm.sharding import op1_shard_minimax
+from riskweave.llm.simhash import op5_simhash_components
 from riskweave.llm.tokens import op7_count_tokens
+from riskweave.llm.topk import OP4_SQL, op4_top_k
 
 QUERIES = {
     "op1_shard_minimax": op1_shard_minimax,
     "op2_mix_sources": op2_mix_sources,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_top_k": op4_top_k,
+    "op5_simhash_components": op5_simhash_components,
     "op7_count_tokens": op7_count_tokens,
     "op10_pack_mixture": op10_pack_mixture,
 }
-SQL = {"op2_mix_sources": OP2_SQL, "op3_exact_dedup": OP3_SQL}
+SQL = {"op2_mix_sources": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op4_top_k": OP4_SQL}
