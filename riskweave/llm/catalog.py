@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskweave.llm.dedup import OP3_SQL, op3_exact_dedup
+from riskweave.llm.lm import op8_lattice_lm
 from riskweave.llm.mixing import OP2_SQL, op2_mix_sources
 from riskweave.llm.packing import op10_pack_mixture
 from riskweave.llm.sharding import op1_shard_minimax
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_top_k": op4_top_k,
     "op5_simhash_components": op5_simhash_components,
     "op7_count_tokens": op7_count_tokens,
+    "op8_lattice_lm": op8_lattice_lm,
     "op10_pack_mixture": op10_pack_mixture,
 }
 SQL = {"op2_mix_sources": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op4_top_k": OP4_SQL}
