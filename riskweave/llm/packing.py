@@ -26,18 +26,31 @@ class CachedIds:
     def __init__(self, path: str, dtype: str):
         self.source, self.dtype, self.cache = pretokens(path), dtype, {}
 
+    def _add(self, words: list[str], to: dict[str, bytes | None], before: str) -> None:
+        odd = self.source.odd
+        ids = self.source.encode([before + w for w in words])
+        to.update((w, None if odd(w) else np.array(i, self.dtype).tobytes()) for w, i in zip(words, ids))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.source.cut(t) for t in texts]
         if len(self.cache) > CACHED:
             self.cache.clear()
-        cache = self.cache
-        new = list({w for ws in cut for w in ws if w not in cache and len(w) <= CACHED_CHARS})
-        cache.update(zip(new, [np.array(i, self.dtype).tobytes() for i in self.source.encode(new)]))
-        long = list({w for ws in cut for w in ws if len(w) > CACHED_CHARS})
-        if not long:
-            return [b"".join([cache[w] for w in ws]) for ws in cut]
-        own = dict(zip(long, [np.array(i, self.dtype).tobytes() for i in self.source.encode(long)]))
-        return [b"".join([own[w] if len(w) > CACHED_CHARS else cache[w] for w in ws]) for ws in cut]
+        cut = [self.source.words(t) for t in texts]
+        cache, opening = self.cache, {}
+        new = list(set().union(*[ws[1:] for ws in cut if ws]) - cache.keys())
+        self._add(new, cache, " ")
+        self._add(list({ws[0] for ws in cut if ws}), opening, "")
+        out = []
+        for text, words in zip(texts, cut):
+            try:
+                if words is None:
+                    raise TypeError
+                out.append(b"".join([opening[words[0]], *map(cache.__getitem__, words[1:])]))
+            except TypeError:  # runs of white space or special strings
+                out.append(np.array([i for ids in self.source.encode(self.source.cut(text)) for i in ids], self.dtype).tobytes())
+        for w in new:
+            if len(w) > CACHED_CHARS:
+                del cache[w]
+        return out
 
 
 _encoders: dict[tuple[str, str], CachedIds] = {}

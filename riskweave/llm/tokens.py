@@ -6,17 +6,19 @@ import json
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import read_table, whole_text
+from riskweave.llm.lots import ANSWERED, LOT, SENT, answer, gather, send, shard_of
 
 TOKENIZER = "byte_bpe_50k.json"
 HEAD = 100_000  # pre-tokens counted once and held by every task
 TASK_HEAD = 20_000  # candidates a task may name for the head
+LATIN_END = "\u0250"
 FLUSH = 300_000  # distinct pre-tokens a task counts at a time
 
 
@@ -44,11 +46,37 @@ class Pretokens:
         if described["model"]["type"] != "BPE" or described["normalizer"] or pre["type"] != "ByteLevel" or pre["add_prefix_space"]:
             raise ValueError(f"{path}: only byte-level BPE without a normalizer or prefix space can be cut at spaces")
         self.special = {t["content"]: t["id"] for t in described["added_tokens"]}
+        self.ranked = self._ranked(described["model"])
+
+    def _ranked(self, model: dict):
+        """The same vocabulary as ranks, which encodes short strings faster; None where the merges
+        are not in the order of the ids, so that ranks would not say the same."""
+        import public_tokenizers
+        import tiktoken
+
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+        letters = dict(zip([*own, *[b for b in range(256) if b not in set(own)]], [*map(chr, own), *map(chr, range(256, 512))]))
+        byte_of = {c: b for b, c in letters.items()}
+        merged = [a + b for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"])]
+        vocabulary = model["vocab"]
+        if [vocabulary[m] for m in merged] != list(range(256, 256 + len(merged))):
+            return None
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if t not in self.special}
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def words(self, text: str) -> list[str] | None:
+        """``text`` cut at every space, or None if a special string stands in it. Each word but the
+        first is a pre-token without its leading space, unless ``odd`` says so of any of them."""
+        return None if any(s in text for s in self.special) else text.split(" ")
+
+    @staticmethod
+    def odd(word: str) -> bool:
+        """The space behind this word belongs to a run of white space."""
+        return not word or word[-1].isspace()
 
     def cut(self, text: str) -> list[str]:
         """Pre-tokens of ``text`` in order; together they are the text, special strings apart."""
-        out = self._plain(text) if not any(s in text for s in self.special) else self._around_special(text)
-        return out
+        return self._plain(text) if not any(s in text for s in self.special) else self._around_special(text)
 
     def _around_special(self, text: str) -> list[str]:
         parts = [text]
@@ -80,7 +108,14 @@ class Pretokens:
         return [x for x in out if x]
 
     def encode(self, pretokens: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(pretokens, add_special_tokens=False)]
+        """Ids of each pre-token. Both encoders agree on Latin text; other letters, whose classes
+        depend on a library's Unicode version, and special strings always go to the library."""
+        if self.ranked is None:
+            return [e.ids for e in self.library.encode_batch_fast(pretokens, add_special_tokens=False)]
+        ranked = self.ranked.encode_ordinary
+        plain = [max(w, default="") < LATIN_END and w not in self.special for w in pretokens]
+        rest = iter(self.library.encode_batch_fast([w for w, p in zip(pretokens, plain) if not p], add_special_tokens=False))
+        return [ranked(w) if p else next(rest).ids for w, p in zip(pretokens, plain)]
 
 
 @lru_cache(maxsize=2)
@@ -88,11 +123,23 @@ def pretokens(path: str) -> Pretokens:
     return Pretokens(path)
 
 
+def frequencies(p: Pretokens, text: str) -> dict[str, int]:
+    """How often each pre-token stands in ``text``."""
+    words = p.words(text)
+    if words is not None:
+        counts = Counter(words[1:])
+        if not any(map(p.odd, counts)) and not p.odd(words[0]):
+            out = {" " + w: n for w, n in counts.items()}
+            out[words[0]] = out.get(words[0], 0) + 1
+            return out
+    return Counter(p.cut(text))
+
+
 def _named_heads(path: str, task_head: int):
     """Per task: the most frequent pre-tokens of what it reads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, counts = pretokens(path).cut, Counter()
+        p, counts = pretokens(path), Counter()
 
         def emit():
             top = counts.most_common(task_head)
@@ -100,10 +147,11 @@ def _named_heads(path: str, task_head: int):
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts.update(cut(text))
-            if len(counts) > FLUSH:
-                yield emit()
-                counts.clear()
+                words = p.words(text)
+                counts.update([" " + w for w in words[1:]] if words is not None else p.cut(text))
+                if len(counts) > FLUSH:
+                    yield emit()
+                    counts.clear()
         yield emit()
 
     return run
@@ -120,66 +168,48 @@ def _count_pieces(path: str):
 
 
 def _document_frequencies(path: str, head, shards: int):
-    """Per document: one row with the sum over the head, and per shard its other pre-tokens."""
+    """Per lot of documents: what the head gives them, and per shard their other pre-tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, known = pretokens(path).cut, head.value
+        p, known = pretokens(path), head.value
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            for row, doc, size, text in zip(*(c.to_pylist() for c in batch.columns)):
-                total, rest = 0, {}
-                for word, n in Counter(cut(text)).items():
-                    pieces = known.get(word)
-                    if pieces is not None:
-                        total += pieces * n
-                    else:
-                        rest.setdefault(crc32(word.encode()) % shards, []).append((word, n))
-                first = True
-                for shard, words in rest.items() or [(row % shards, [])]:
-                    out[0].append(row)
-                    out[1].append(shard)
-                    out[2].append(doc)
-                    out[3].append(size if first else 0)
-                    out[4].append(total if first else 0)
-                    out[5].append(_pack(words))
-                    first = False
-            kinds = (pa.int64(), pa.int32(), batch.schema.field(1).type, pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(*x) for x in zip(out, kinds)], ["row", "shard", "id", "n_bytes", "n", "words"])
+            for at in range(0, batch.num_rows, LOT):
+                part = batch.slice(at, LOT)
+                totals, rest = [], [{} for _ in range(shards)]
+                for doc, text in enumerate(part.column(3).to_pylist()):
+                    total = 0
+                    for word, n in frequencies(p, text).items():
+                        pieces = known.get(word)
+                        if pieces is not None:
+                            total += pieces * n
+                        else:
+                            uses = rest[shard_of(word, shards)].setdefault(word, [])
+                            uses += (doc, n)
+                    totals.append(total)
+                plain = pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(totals, pa.int64())], ["id", "n_bytes", "n"])
+                yield send(part.column(0)[0].as_py(), rest, plain)
 
     return run
 
 
-def _pack(words: list[tuple[str, int]]) -> str:
-    """One string of pre-tokens with their frequencies, each preceded by the length of its text."""
-    return "".join(f"{len(w)},{n}:{w}" for w, n in words)
-
-
-def _unpack(packed: str) -> Iterator[tuple[str, int]]:
-    at = 0
-    while at < len(packed):
-        comma, colon = packed.index(",", at), packed.index(":", at)
-        end = colon + 1 + int(packed[at:comma])
-        yield packed[colon + 1 : end], int(packed[comma + 1 : colon])
-        at = end
-
-
 def _sum_shards(path: str):
     """A shard meets every document's frequencies of its pre-tokens and counts each of them once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, pieces = pretokens(path), {}
         for batch in batches:
-            rows, _, docs, sizes, totals, packed = (c.to_pylist() for c in batch.columns)
-            wanted = [list(_unpack(x)) for x in packed]
-            new = list({w for ws in wanted for w, _ in ws} - pieces.keys())
+            new = list({w for ws in batch.column("words").to_pylist() for w in ws} - pieces.keys())
             pieces.update(zip(new, map(len, p.encode(new))))
-            sums = [n + sum(pieces[w] * k for w, k in ws) for n, ws in zip(totals, wanted)]
-            kinds = (pa.int64(), batch.schema.field(2).type, pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(*x) for x in zip((rows, docs, sizes, sums), kinds)], ["row", "id", "n_bytes", "n_tokens"])
+            yield answer(batch, lambda words: np.array([pieces[w] for w in words], float).reshape(-1, 1))
 
     return run
 
 
+def _with_sums(plain: pa.Table, sums: np.ndarray) -> pa.Table:
+    tokens = plain["n"].to_numpy() + sums[:, 0].astype(np.int64)
+    return pa.table({"id": plain["id"], "n_bytes": plain["n_bytes"], "n_tokens": tokens})
+
+
 def count_tokens(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD, task_head: int = TASK_HEAD
 ) -> DataFrame:
@@ -188,10 +218,11 @@ def count_tokens(
     Texts are cut into pre-tokens and only frequencies travel. The most frequent pre-tokens, at most
     ``head``, are encoded once and held by every task, so no hot pre-token is shuffled; which ones
     they are has no bearing on the result. All others meet in shards by hash: a shard encodes each
-    of its pre-tokens once, multiplies by the documents' frequencies and sums. No ids are kept.
+    of its pre-tokens once, multiplies by the documents' frequencies and sums, and the sums go back to
+    the documents, which travel in lots of 1,000. No ids are kept.
 
     Null texts count as empty and have no tokens. Rows that repeat an id are counted one by one.
-    Very long texts are one row of frequencies per shard. Other columns are not read.
+    Other columns are not read.
     """
     spark = docs.sparkSession
     text = whole_text(text_col)
@@ -210,12 +241,12 @@ def count_tokens(
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     return (
         docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
-        .mapInArrow(_document_frequencies(path, held, shards), f"row long, shard int, id {id_type}, n_bytes long, n long, words string")
+        .mapInArrow(_document_frequencies(path, held, shards), SENT)
         .repartition("shard")
-        .mapInArrow(_sum_shards(path), f"row long, id {id_type}, n_bytes long, n_tokens long")
-        .groupBy("row")
-        .agg(F.max("id").alias(id_col), F.sum("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
-        .drop("row")
+        .mapInArrow(_sum_shards(path), ANSWERED)
+        .repartition("lot")
+        .mapInArrow(gather(1, _with_sums), f"id {id_type}, n_bytes long, n_tokens long")
+        .withColumnRenamed("id", id_col)
     )
 
 
