@@ -9,6 +9,7 @@ from riskweave.llm.packing import op10_pack_mixture
 from riskweave.llm.sharding import op1_shard_minimax
 from riskweave.llm.simhash import op5_simhash_components
 from riskweave.llm.tokens import op7_count_tokens
+from riskweave.llm.toxicity import op6_toxicity
 from riskweave.llm.topk import OP4_SQL, op4_top_k
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_top_k": op4_top_k,
     "op5_simhash_components": op5_simhash_components,
+    "op6_toxicity": op6_toxicity,
     "op7_count_tokens": op7_count_tokens,
     "op8_lattice_lm": op8_lattice_lm,
     "op10_pack_mixture": op10_pack_mixture,
