@@ -41,7 +41,8 @@ def source_rates(sizes: DataFrame, max_repeats: int = MAX_REPEATS, cycle: tuple[
     ) / F.sum("weight").over(rest)
     leveled = stops.withColumn("level", level)
     # The level of the first source that does not fill holds for all after it.
-    open_level = F.min(F.when(F.col("level") * F.col("weight") < F.col("stop"), F.col("level"))).over(everything)
+    fills_at = F.struct(F.col("stop") / F.col("weight"), F.col("source").isNull(), "source", "level")
+    open_level = F.min(F.when(F.col("level") * F.col("weight") < F.col("stop"), fills_at)).over(everything)["level"]
     target = F.least(F.col("stop").cast("double"), F.coalesce(F.col("open") * F.col("weight"), F.col("stop").cast("double")))
     return (
         leveled.withColumn("open", open_level)
@@ -115,7 +116,8 @@ WITH sized AS (
             / sum(weight) OVER (ORDER BY stop::DOUBLE / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM stops
 ), opened AS (
-  SELECT *, min(CASE WHEN level * weight < stop THEN level END) OVER () AS opening FROM leveled
+  SELECT *, (SELECT level FROM leveled WHERE level * weight < stop ORDER BY stop::DOUBLE / weight, source NULLS LAST LIMIT 1) AS opening
+  FROM leveled
 ), rates AS (
   SELECT source, source_size, least(stop::DOUBLE, coalesce(opening * weight, stop::DOUBLE)) AS target FROM opened
 ), rated AS (
