@@ -55,10 +55,25 @@ def dedup_exact(
     one and exactly one of them is kept. An empty table gives an empty result. Other columns of
     ``docs`` are not read.
     """
+    found, _ = _deduped(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")), bucket_rows, prefix_bits)
+    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", "text_sha256")
+
+
+def keep_exact_once(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``dedup_exact`` keeps, with the same columns."""
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    named = F.struct(F.col(id_col).isNull().alias("late"), F.col(id_col).alias("id"), F.col("__row").alias("row")).alias("id")
+    found, _ = _deduped(rows.select(named, whole_text(text_col).alias("text")), BUCKET_ROWS, PREFIX_BITS)
+    kept = found.filter("kept").select(F.col("id.row").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+
+
+def _deduped(docs: DataFrame, bucket_rows: int, prefix_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Decisions per row of ``(id, text)``, and the index they come from."""
     spark = docs.sparkSession
-    text = single_spaced(whole_text(text_col))
+    text = single_spaced(F.col("text"))
     entries = stage(
-        docs.select(F.col(id_col).alias("id"), text.alias("bytes"))
+        docs.select("id", text.alias("bytes"))
         .withColumn("key", F.xxhash64("bytes"))
         .withColumn("sha", F.unhex(F.sha2("bytes", 256)))
         .withColumn("row", F.monotonically_increasing_id()),
@@ -87,17 +102,18 @@ def dedup_exact(
     )
     index = stage(chains.repartition("bucket").sortWithinPartitions("bucket", "key"), "chains")
     copied = index.filter("group_size > 1").select("key", "sha", "keep_id", "keep_row", "group_size")
-    return (
+    found = (
         entries.select("id", "row", "key", "sha")
         .join(copied, ["key", "sha"], "left")
         .select(
-            F.col("id").alias(id_col),
+            "id",
             F.when(F.col("keep_row").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
             F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
             F.coalesce(F.col("keep_row") == F.col("row"), F.lit(True)).alias("kept"),
             F.lower(F.hex("sha")).alias("text_sha256"),
         )
     )
+    return found, index
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -246,3 +246,13 @@ def near_classes(
 def op5_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     found = near_classes(read_table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` that stay when one row of each near-duplicate class does: the one with
+    the smallest id, null ids last; of rows that repeat it, one. Same columns."""
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    named = F.struct(F.col(id_col).isNull().alias("late"), F.col(id_col).alias("id"), F.col("__row").alias("row")).alias("__name")
+    classes = near_classes(rows.select(named, F.col(text_col).alias("__text")), "__name", "__text", radius, width)
+    kept = classes.select(F.col("component_id.row").alias("__row")).distinct()
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
