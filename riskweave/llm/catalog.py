@@ -6,6 +6,7 @@ from riskweave.llm.dedup import OP3_SQL, op3_exact_dedup
 from riskweave.llm.lm import op8_lattice_lm
 from riskweave.llm.mixing import OP2_SQL, op2_mix_sources
 from riskweave.llm.packing import op10_pack_mixture
+from riskweave.llm.passages import OP9_SQL, op9_remove_repeats
 from riskweave.llm.sharding import op1_shard_minimax
 from riskweave.llm.simhash import op5_simhash_components
 from riskweave.llm.tokens import op7_count_tokens
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_count_tokens": op7_count_tokens,
     "op8_lattice_lm": op8_lattice_lm,
+    "op9_remove_repeats": op9_remove_repeats,
     "op10_pack_mixture": op10_pack_mixture,
 }
-SQL = {"op2_mix_sources": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op4_top_k": OP4_SQL}
+SQL = {"op2_mix_sources": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op4_top_k": OP4_SQL, "op9_remove_repeats": OP9_SQL}
