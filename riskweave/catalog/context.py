@@ -66,9 +66,9 @@ def _(t):
 
 
 cte("cx_top_skus", """
-SELECT supplier_id, string_agg(canonical_sku_id, ',' ORDER BY r) AS skus, count(*) AS top_affected_skus_count, count(*) FILTER (stockout_risk_band IN ('critical', 'high')) AS high_risk_sku_count FROM (
+SELECT supplier_id, string_agg(canonical_sku_id, ',' ORDER BY r) FILTER (r <= 10) AS skus, count(*) AS top_affected_skus_count, count(*) FILTER (stockout_risk_band IN ('critical', 'high')) AS high_risk_sku_count FROM (
   SELECT d.supplier_id, d.canonical_sku_id, stockout_risk_band, row_number() OVER (PARTITION BY d.supplier_id ORDER BY coalesce(stockout_probability, 0) DESC, d.dependency_percent DESC, d.canonical_sku_id) AS r
-  FROM dm_dependency d LEFT JOIN sc_stockout s ON d.canonical_sku_id = s.canonical_sku_id) WHERE r <= 10 GROUP BY 1
+  FROM dm_dependency d LEFT JOIN sc_stockout s ON d.canonical_sku_id = s.canonical_sku_id) GROUP BY 1
 """)
 
 
@@ -80,8 +80,8 @@ def _(t):
 
 
 cte("cx_events", """
-SELECT supplier_id, string_agg(external_event_id || ':' || match_type, ',' ORDER BY r) AS events, count(*) AS active_external_event_count, count(*) FILTER (severity IN ('critical', 'high')) AS high_severity_event_count, max(event_date) AS latest_external_event_date FROM (
-  SELECT supplier_id, external_event_id, match_type, severity, event_date, row_number() OVER (PARTITION BY supplier_id ORDER BY points DESC, external_event_id) AS r FROM mt_best JOIN fx_external_events USING (external_event_id) WHERE event_date >= DATE '2024-01-30' - 30) WHERE r <= 10 GROUP BY 1
+SELECT supplier_id, string_agg(external_event_id || ':' || match_type, ',' ORDER BY r) FILTER (r <= 10) AS events, count(*) AS active_external_event_count, count(*) FILTER (severity IN ('critical', 'high')) AS high_severity_event_count, max(event_date) FILTER (r <= 10) AS latest_external_event_date FROM (
+  SELECT supplier_id, external_event_id, match_type, severity, event_date, row_number() OVER (PARTITION BY supplier_id ORDER BY points DESC, external_event_id) AS r FROM mt_best JOIN fx_external_events USING (external_event_id) WHERE event_date >= DATE '2024-01-30' - 30) GROUP BY 1
 """)
 
 
@@ -89,20 +89,20 @@ SELECT supplier_id, string_agg(external_event_id || ':' || match_type, ',' ORDER
 def _(t):
     m = Matched(t)
     top = top_events_per_supplier(S.recent_points(m.brief, I.EVENTS_AS_OF), m.direct, m.groups, m.members, S.event_order(), 10)
-    x = C.active_events(top)
+    x = C.active_events(top, S.active_event_totals(*m.parts, I.EVENTS_AS_OF))
     text = F.array_join(F.transform("active_external_events", lambda e: F.concat_ws(":", e["external_event_id"], e["match_type"])), ",")
     return tidy(x.select("supplier_id", text.alias("events"), "active_external_event_count", "high_severity_event_count", "latest_external_event_date"))
 
 
 cte("cx_alerts", """
-SELECT supplier_id, string_agg(alert_id, ',' ORDER BY r) AS alerts, count(*) AS open_alerts_count, count(*) FILTER (severity IN ('critical', 'high')) AS critical_or_high_alert_count FROM (
-  SELECT *, row_number() OVER (PARTITION BY supplier_id ORDER BY severity_rank DESC, alert_id) AS r FROM al_all WHERE supplier_id IS NOT NULL) WHERE r <= 10 GROUP BY 1
+SELECT supplier_id, string_agg(alert_id, ',' ORDER BY r) FILTER (r <= 10) AS alerts, count(*) AS open_alerts_count, count(*) FILTER (severity IN ('critical', 'high')) AS critical_or_high_alert_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY supplier_id ORDER BY severity_rank DESC, alert_id) AS r FROM al_all WHERE supplier_id IS NOT NULL) GROUP BY 1
 """)
 
 
 @query("open_alerts", "V06 F07", "SELECT * FROM cx_alerts")
 def _(t):
-    x = C.open_alerts(A.merge_alerts(None, CA.generated(t)))
+    x = C.open_alerts(cut_lineage(A.merge_alerts(None, CA.generated(t)), "alerts"))
     return tidy(x.select("supplier_id", F.array_join(F.transform("open_alerts", lambda a: a["alert_id"]), ",").alias("alerts"), "open_alerts_count", "critical_or_high_alert_count"))
 
 
@@ -113,7 +113,7 @@ def snapshot(t):
         None, [A.threshold_alerts(sku, A.SKU_ALERTS, I.EVENTS_AS_OF, CA.RUN), A.threshold_alerts(x.scores, CA.SUPPLIER_40, I.EVENTS_AS_OF, CA.RUN)]
     )
     return x, C.context_snapshot(
-        x.scores, C.risk_narrative(x.explained), C.top_skus(SV.dependency(t), sku), C.active_events(x.top_events(10)), C.open_alerts(alerts), I.EVENTS_AS_OF
+        x.scores, C.risk_narrative(x.explained), C.top_skus(SV.dependency(t), sku), C.active_events(x.top_events(10), S.active_event_totals(*x.m.parts, I.EVENTS_AS_OF)), C.open_alerts(cut_lineage(alerts, "alerts")), I.EVENTS_AS_OF
     )
 
 
@@ -181,7 +181,7 @@ cte("cx_answers", """
 SELECT supplier_id, risk_band, supplier_name, concat_ws(chr(10), CASE WHEN risk_band NOT IN ('high', 'critical') THEN supplier_name || ' is not classified as high risk; it is classified as ' || risk_band || '.' END,
   supplier_name || ' (' || supplier_id || ') has a risk score of ' || printf('%.1f', overall_risk_score) || ' and is in the ' || risk_band || ' risk band.', 'Top risk driver: ' || top_risk_driver,
   'Active events: ' || active_external_event_count || '; affected SKUs: ' || top_affected_skus_count || '; open alerts: ' || open_alerts_count,
-  CASE WHEN skus IS NOT NULL THEN 'Affected SKUs:' || chr(10) || '- ' || array_to_string(string_split(skus, ',')[1:6], chr(10) || '- ') END, 'Recommendation: ' || recommended_action) AS final_answer FROM cx_snapshot
+  CASE WHEN skus IS NOT NULL THEN 'Affected SKUs:' || chr(10) || '- ' || array_to_string(string_split(skus, ','), chr(10) || '- ') END, 'Recommendation: ' || recommended_action) AS final_answer FROM cx_snapshot
 """)
 
 

@@ -459,8 +459,8 @@ def _(t):
 
 
 @query("ranked_structs", "A09", """
-SELECT l_suppkey, string_agg(l_partkey || ':' || CAST(CAST(q AS BIGINT) AS VARCHAR), ',' ORDER BY r) AS top_parts, count(*) AS top_parts_count FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY q DESC, l_partkey) AS r FROM (SELECT l_suppkey, l_partkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2)) WHERE r <= 10 GROUP BY 1
+SELECT l_suppkey, string_agg(l_partkey || ':' || CAST(CAST(q AS BIGINT) AS VARCHAR), ',' ORDER BY r) FILTER (r <= 10) AS top_parts, count(*) AS top_parts_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY q DESC, l_partkey) AS r FROM (SELECT l_suppkey, l_partkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2)) GROUP BY 1
 """)
 def _(t):
     g = t.lineitem.groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").cast("long").alias("q"))

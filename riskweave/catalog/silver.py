@@ -474,17 +474,17 @@ def _(t):
 
 
 @query("primary_listing", "V12", """
-SELECT m.supplier_id, sku_id, rnd(dependency_percent, 4) AS dependency_percent, supplier_name, criticality_tier FROM fx_sku_map m JOIN fx_suppliers s ON m.supplier_id = s.supplier_id WHERE is_primary_supplier ORDER BY criticality_tier, m.dependency_percent DESC, sku_id, m.supplier_id LIMIT 50
+SELECT m.supplier_id, sku_id, rnd(dependency_percent, 4) AS dependency_percent, supplier_name, criticality_tier FROM fx_sku_map m JOIN fx_suppliers s ON m.supplier_id = s.supplier_id WHERE is_primary_supplier 
 """)
 def _(t):
-    return tidy(marts.primary_listing(I.sku_map(t), I.suppliers(t), 50))
+    return tidy(marts.primary_listing(I.sku_map(t), I.suppliers(t)))
 
 
 @query("deteriorating_listing", "V12", """
-SELECT c.supplier_id, strftime(scorecard_month, '%Y-%m-%d') AS scorecard_month, rnd(fill_rate, 4) AS fill_rate, rnd(on_time_delivery_rate, 4) AS on_time_delivery_rate, supplier_name FROM fx_scorecards c JOIN fx_suppliers s ON c.supplier_id = s.supplier_id WHERE is_deteriorating ORDER BY c.supplier_id, c.scorecard_month DESC LIMIT 50
+SELECT c.supplier_id, strftime(scorecard_month, '%Y-%m-%d') AS scorecard_month, rnd(fill_rate, 4) AS fill_rate, rnd(on_time_delivery_rate, 4) AS on_time_delivery_rate, supplier_name FROM fx_scorecards c JOIN fx_suppliers s ON c.supplier_id = s.supplier_id WHERE is_deteriorating 
 """)
 def _(t):
-    return tidy(marts.deteriorating_listing(I.scorecards(t), I.suppliers(t), 50))
+    return tidy(marts.deteriorating_listing(I.scorecards(t), I.suppliers(t)))
 
 
 @query("distribution_counts", "V14", "SELECT source_name, risk_category, count(*) AS event_count FROM fx_external_events GROUP BY 1, 2")

@@ -62,8 +62,8 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
-def clean_evidence_text(c: Column, max_chars: int = 700, min_prefix: int = 30) -> Column:
-    """Readable evidence: payloads and markup removed, blanks collapsed, long text cut."""
+def clean_evidence_text(c: Column, max_chars: int | None = None, min_prefix: int = 30) -> Column:
+    """Readable evidence: payloads and markup removed, blanks collapsed; cut only if the caller says where."""
     text = F.coalesce(c, F.lit(""))
     double_at = F.instr(text, '"raw_text"')
     at = F.when(double_at > 0, double_at).otherwise(F.instr(text, "'raw_text'"))
@@ -75,6 +75,8 @@ def clean_evidence_text(c: Column, max_chars: int = 700, min_prefix: int = 30) -
     )
     text = F.regexp_replace(text, r"(?s)<\?xml.*", XML_PLACEHOLDER)
     text = collapse(F.regexp_replace(text, r"<[^>]+>", " "))
+    if max_chars is None:
+        return text
     return F.when(
         F.length(text) > max_chars, F.concat(F.rtrim(F.substring(text, 1, max_chars)), F.lit("..."))
     ).otherwise(text)

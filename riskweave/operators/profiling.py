@@ -15,6 +15,8 @@ from riskweave.functions.predicates import any_null
 # Name parts that mark a column as personal data.
 PII_TOKENS = (
     "email",
+    "zip",
+    "customer",
     "password",
     "fname",
     "lname",

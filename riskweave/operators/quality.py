@@ -146,11 +146,14 @@ class GateError(RuntimeError):
     """A check with status FAIL stopped a write."""
 
 
-def gate(results: DataFrame, max_listed: int = 50) -> None:
-    """Raise when any check failed; WARN and INFO pass. Check rows are few by construction."""
-    failed = results.filter(F.col("status") == "FAIL").limit(max_listed).collect()
-    if failed:
-        raise GateError("; ".join(f"{r.table_name}.{r.check_name}={r.actual_value}" for r in failed))
+def gate(results: DataFrame) -> None:
+    """Raise when any check failed; WARN and INFO pass. The message counts the failures of every
+    check, one entry per table and check."""
+    failed = results.filter(F.col("status") == "FAIL")
+    per_check = failed.groupBy("table_name", "check_name").agg(F.count(F.lit(1)).alias("n"), F.min("actual_value").alias("v"))
+    listed = per_check.orderBy("table_name", "check_name").collect()
+    if listed:
+        raise GateError(f"{sum(r.n for r in listed)} failed: " + "; ".join(f"{r.table_name}.{r.check_name}={r.v}" for r in listed))
 
 
 def check_readback(spark: SparkSession, name: str, expected: DataFrame) -> DataFrame:

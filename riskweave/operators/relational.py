@@ -44,20 +44,19 @@ def having(df: DataFrame, keys: list[str], aggs: dict[str, Column], condition: s
 
 
 def ranked_structs(
-    df: DataFrame, keys: list[str], order: list[Column], k: int, fields: list[str], name: str
+    df: DataFrame, keys: list[str], order: list[Column], k: int, fields: list[str], name: str, counts: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Per key a list of at most ``k`` structs in rank order, plus the list length.
+    """Per key a list of at most ``k`` structs in rank order, plus counts over all its rows.
+
+    ``{name}_count`` counts every row of the key; ``counts`` names more, each for a condition.
 
     The rank travels inside the struct and the list is sorted by it, so element 0 is rank 1.
     """
     top = top_k_per(df, keys, order, k, rank_col="_rank")
     packed = F.array_sort(F.collect_list(F.struct(F.col("_rank"), *[quoted(f) for f in fields])))
-    return top.groupBy(*keys).agg(
-        F.transform(
-            packed, lambda s: F.struct(*[s.getField(f).alias(f) for f in fields])
-        ).alias(name),
-        F.count(F.lit(1)).alias(f"{name}_count"),
-    )
+    lists = top.groupBy(*keys).agg(F.transform(packed, lambda s: F.struct(*[s.getField(f).alias(f) for f in fields])).alias(name))
+    hits = [F.count(F.when(c, 1)).alias(n) for n, c in (counts or {}).items()]
+    return lists.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{name}_count"), *hits), keys)
 
 
 def one_row_per(df: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:

@@ -27,11 +27,10 @@ BENCHMARKS = (
 )
 BENCHMARK_SCHEMA = "benchmark_id string, entity_type string, metric_name string, threshold_value double, comparison string, severity string, description string"
 
-# Alert thresholds and the number of alerts kept per type.
+# Alert thresholds.
 SUPPLIER_CUT = 70.0
 SKU_CUT = 0.75
 EVENT_RANK_CUT = 3
-ALERTS_PER_TYPE = 50
 
 # Routing rules (alert type, risk category, least rank, team, priority, minutes).
 ROUTES = (
@@ -154,12 +153,16 @@ def _alerts(df: DataFrame, cols: dict[str, Column], run_id: str, stamp: str) ->
     return align_schema(df.select(*[c.alias(n) for n, c in cols.items()]), StructType.fromDDL(ALERT_SCHEMA))
 
 
-def threshold_alerts(df: DataFrame, spec: ThresholdSpec, as_of: str, run_id: str, limit: int = ALERTS_PER_TYPE) -> DataFrame:
-    """The worst ``limit`` entities at or over the cut, as alerts."""
+def worst_first(df: DataFrame, order: list[Column], limit: int | None) -> DataFrame:
+    return df if limit is None else df.orderBy(*order).limit(limit)
+
+
+def threshold_alerts(df: DataFrame, spec: ThresholdSpec, as_of: str, run_id: str, limit: int | None = None) -> DataFrame:
+    """All entities at or over the cut as alerts; the worst ``limit`` if the caller names one."""
     metric = first_existing(df, spec.metric_names, "double")
     entity = F.col(spec.entity).cast("string")
     name = F.coalesce(first_existing(df, ["supplier_name"]), entity) if spec.entity == "supplier_id" else entity
-    worst = df.withColumn("_m", metric).filter(F.col("_m") >= spec.cut).orderBy(F.desc("_m"), entity).limit(limit)
+    worst = worst_first(df.withColumn("_m", metric).filter(F.col("_m") >= spec.cut), [F.desc("_m"), entity], limit)
     return _alerts(
         worst,
         {
@@ -184,10 +187,10 @@ def threshold_alerts(df: DataFrame, spec: ThresholdSpec, as_of: str, run_id: str
     )
 
 
-def event_alerts(events: DataFrame, as_of: str, run_id: str, limit: int = ALERTS_PER_TYPE) -> DataFrame:
-    """The most severe, newest events of rank 3 and over."""
+def event_alerts(events: DataFrame, as_of: str, run_id: str, limit: int | None = None) -> DataFrame:
+    """All events of rank 3 and over; the most severe, newest ``limit`` if the caller names one."""
     ranked = events.withColumn("_s", alert_severity(common_severity(F.col("severity")))).withColumn("_r", severity_rank(F.col("_s")))
-    worst = ranked.filter(F.col("_r") >= EVENT_RANK_CUT).orderBy(F.desc("_r"), F.desc("event_date"), "external_event_id").limit(limit)
+    worst = worst_first(ranked.filter(F.col("_r") >= EVENT_RANK_CUT), [F.desc("_r"), F.desc("event_date"), F.col("external_event_id")], limit)
     return _alerts(
         worst,
         {

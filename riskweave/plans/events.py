@@ -191,7 +191,7 @@ def parse_events(raw: DataFrame, feeds: tuple[Feed, ...] = ITEM_FEEDS) -> DataFr
     return union_all(parts)
 
 
-def snapshot_events(raw: DataFrame, feeds: dict[str, dict[str, str]] = SNAPSHOT_FEEDS, summary_chars: int = 1000) -> DataFrame:
+def snapshot_events(raw: DataFrame, feeds: dict[str, dict[str, str]] = SNAPSHOT_FEEDS) -> DataFrame:
     """One row per successful payload of the snapshot sources."""
     parts = []
     for source, spec in feeds.items():
@@ -202,7 +202,7 @@ def snapshot_events(raw: DataFrame, feeds: dict[str, dict[str, str]] = SNAPSHOT_
             "event_type": F.expr(spec["event_type"]),
             "event_timestamp": F.try_to_timestamp("fetched_at"),
             "event_title": F.expr(spec["event_title"]),
-            "event_summary": F.substring(F.expr(spec["event_summary"]), 1, summary_chars),
+            "event_summary": F.expr(spec["event_summary"]),
             "source_url": F.col("request_url"),
             "source_domain": F.expr(spec["source_domain"]),
             "event_country": F.lit("US"),

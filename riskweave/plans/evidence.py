@@ -37,7 +37,6 @@ DRIVER_CATEGORIES = (
     "weather",
     "energy",
 )
-RERANK_CANDIDATES = 2000
 
 
 def event_chunks(mart: DataFrame, as_of: str) -> DataFrame:
@@ -90,19 +89,19 @@ def explanation_chunks(explanations: DataFrame) -> DataFrame:
 
 
 def clean_chunks(chunks: DataFrame, max_chars: int = MAX_CHUNK_CHARS) -> DataFrame:
-    """Chunk text cut to the embedder's limit, blanks collapsed, empty chunks dropped, stable id.
-
-    The cut is the reference limit of an embedding input, not a sampling of the text.
-    """
+    """Whole texts as numbered parts no longer than an embedder's input, blanks collapsed, empty
+    parts dropped, stable id."""
+    text = F.coalesce(first_existing(chunks, ["chunk_text_clean", "chunk_text"]), F.lit(""))
+    parts = F.ceil(F.length(text) / max_chars).cast("int")
     x = chunks.select(
         first_existing(chunks, ["chunk_id"]).alias("original_chunk_id"),
         *[first_existing(chunks, [c]).alias(c) for c in ("chunk_type", "supplier_id", "sku_id", "source_name", "risk_category", "severity", "source_url", "evidence_doc_id")],
         first_existing(chunks, ["event_date"], "date").alias("event_date"),
         F.coalesce(first_existing(chunks, ["freshness_weight"], "float"), F.lit(DEFAULT_FRESHNESS).cast("float")).alias("freshness_weight"),
-        collapse(F.substring(F.coalesce(first_existing(chunks, ["chunk_text_clean", "chunk_text"]), F.lit("")), 1, max_chars)).alias("chunk_text_clean"),
-    )
+        F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1), lambda n: F.substring(text, n * max_chars + 1, F.lit(max_chars)))).alias("part", "_text"),
+    ).withColumn("chunk_text_clean", collapse(F.col("_text"))).drop("_text")
     return x.filter(F.length("chunk_text_clean") > 0).withColumn(
-        "chunk_id", record_id("original_chunk_id", "supplier_id", "sku_id", "source_name", "risk_category", "event_date")
+        "chunk_id", record_id("original_chunk_id", "supplier_id", "sku_id", "source_name", "risk_category", "event_date", "part")
     )
 
 
@@ -170,8 +169,14 @@ def _scoped(queries: DataFrame, index: DataFrame) -> DataFrame:
     return q.join(i, "_scope").drop("_scope")
 
 
+def _with_vectors(pairs: DataFrame) -> DataFrame:
+    """Pairs that can be compared. A condition around a Python function would not keep NULL vectors
+    out of its batches, so they are filtered before."""
+    return pairs.filter(F.col("query_embedding").isNotNull() & F.col("embedding").isNotNull())
+
+
 def _cosine() -> Column:
-    return F.when(F.col("query_embedding").isNotNull() & F.col("embedding").isNotNull(), cosine_batch("query_embedding", "embedding"))
+    return cosine_batch("query_embedding", "embedding")
 
 
 _TEXT_LAST = ("chunk_text", "source_url", "evidence_doc_id")
@@ -204,7 +209,7 @@ def retrieve(queries: DataFrame, index: DataFrame, as_of: str, k: int, mode: str
     hit = queries.select("query_id").join(pairs.filter("strict").select("query_id").distinct(), "query_id", "left_semi").withColumn("_any", F.lit(True))
     kept = pairs.join(hit, "query_id", "left").filter(F.col("strict") | F.col("_any").isNull())
     fresh = F.coalesce(F.col("freshness_weight").cast("double"), F.lit(DEFAULT_FRESHNESS))
-    scored = kept.withColumn("semantic_score", _cosine()).filter("semantic_score IS NOT NULL")
+    scored = _with_vectors(kept).withColumn("semantic_score", _cosine())
     formula = {
         "boost": F.col("semantic_score") * (1 + FRESHNESS_BOOST * fresh),
         "blend": BLEND[0] * F.col("semantic_score") + BLEND[1] * fresh,
@@ -216,17 +221,14 @@ def retrieve(queries: DataFrame, index: DataFrame, as_of: str, k: int, mode: str
     return _top(scored, index, [F.desc("retrieval_score"), F.asc("chunk_id")], k)
 
 
-def rerank(queries: DataFrame, index: DataFrame, as_of: str, k: int = 8, candidates: int = RERANK_CANDIDATES) -> DataFrame:
-    """Business re-ranking: the freshest ``candidates`` chunks of the query's supplier, scored
-    by similarity, freshness, severity, recency, source and category."""
+def rerank(queries: DataFrame, index: DataFrame, as_of: str, k: int = 8) -> DataFrame:
+    """Business re-ranking: all chunks of the query's supplier, scored by similarity, freshness,
+    severity, recency, source and category."""
     narrow = index.drop(*_TEXT_LAST)
     q = queries.select("query_id", "supplier_id", "query_embedding")
-    pairs = q.join(narrow, "supplier_id")
-    head = top_k_per(
-        pairs, ["query_id"], [F.desc_nulls_last("freshness_weight"), F.desc_nulls_last("event_date"), F.asc("chunk_id")], candidates
-    )
+    pairs = _with_vectors(q.join(narrow, "supplier_id"))
     age = F.datediff(F.lit(as_of).cast("date"), "event_date")
-    scored = head.withColumns(
+    scored = pairs.withColumns(
         {
             "cosine_similarity": _cosine(),
             "fresh": F.coalesce(F.col("freshness_weight").cast("double"), F.lit(DEFAULT_FRESHNESS)),
@@ -252,7 +254,7 @@ def rerank(queries: DataFrame, index: DataFrame, as_of: str, k: int = 8, candida
     return _top(scored, index, [*order, F.asc("chunk_id")], k)
 
 
-def format_evidence(ranked: DataFrame, max_chars: int = 700) -> DataFrame:
+def format_evidence(ranked: DataFrame, max_chars: int | None = None) -> DataFrame:
     """Numbered evidence block per query; lists hold at most the retrieved k entries."""
     line = F.concat(
         F.lit("["), F.col("evidence_rank").cast("string"), F.lit("] "), F.coalesce("source_name", F.lit("Unknown")), F.lit(" · "),
@@ -344,23 +346,21 @@ def context_packet(resolved: DataFrame, snapshot: DataFrame, evidence: DataFrame
 def templated_answer(packets: DataFrame) -> DataFrame:
     """Grounded answer text from a packet with the columns of a context snapshot.
 
-    The first sentence corrects a question that presumes a high risk band. Lists are cut to
-    the first five events, six SKUs and six evidence lines they show.
+    The first sentence corrects a question that presumes a high risk band. All lines the packet
+    holds are listed.
     """
     num = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("0"))
     presumes = F.lower("question").contains("high risk") & ~F.lower(F.coalesce("risk_band", F.lit(""))).isin("high", "critical")
-    listed = lambda title, c, n: F.when(
-        F.size(c) > 0, F.concat(F.lit(f"{title}:\n- "), F.array_join(F.slice(c, 1, n), "\n- "))
-    )
+    listed = lambda title, c: F.when(F.size(c) > 0, F.concat(F.lit(f"{title}:\n- "), F.array_join(c, "\n- ")))
     known = F.concat_ws(
         "\n",
         F.when(presumes, F.concat("supplier_name", F.lit(" is not classified as high risk; it is classified as "), "risk_band", F.lit("."))),
         F.concat("supplier_name", F.lit(" ("), "supplier_id", F.lit(") has a risk score of "), F.format_string("%.1f", F.col("overall_risk_score")), F.lit(" and is in the "), "risk_band", F.lit(" risk band.")),
         F.concat(F.lit("Top risk driver: "), "top_risk_driver"),
         F.concat(F.lit("Active events: "), num("event_count"), F.lit("; affected SKUs: "), num("sku_count"), F.lit("; open alerts: "), num("alert_count")),
-        listed("Top events", "event_lines", 5),
-        listed("Affected SKUs", "sku_lines", 6),
-        listed("Evidence", "evidence_lines", 6),
+        listed("Top events", "event_lines"),
+        listed("Affected SKUs", "sku_lines"),
+        listed("Evidence", "evidence_lines"),
         F.concat(F.lit("Recommendation: "), "recommended_action"),
     )
     unknown = F.lit("Could not identify the supplier. Please include a supplier ID or a specific supplier name.")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.cleaning import record_id
 from riskweave.functions.risk import common_severity
-from riskweave.sources.tables import Tables, spread
+from riskweave.sources.tables import Tables
 
 # Reference days of the two data families.
 ORDERS_AS_OF = "2001-08-01"
@@ -49,7 +49,7 @@ def _id(prefix: str, c: str) -> Column:
 def lines(t: Tables) -> DataFrame:
     """Order lines with the order's date, status and the days from order to shipping."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("order_date"))
-    li = spread(t.lineitem).withColumn("ship_date", F.to_date("l_shipdate"))
+    li = t.lineitem.withColumn("ship_date", F.to_date("l_shipdate"))
     return li.join(o, li.l_orderkey == o.o_orderkey).withColumn("lead_days", F.datediff("ship_date", "order_date"))
 
 
@@ -434,9 +434,9 @@ def raw_severity() -> Column:
 
 def event_rows(t: Tables) -> DataFrame:
     """Events with the attributes every derived event table shares."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    e = spread(t.events).withColumn("k", k).withColumn("source_name", source_name())
-    p = t.part.select(F.col("p_partkey").cast("int").alias("k"), "p_name")
+    k = F.get_json_object("props", "$.k").cast("long")
+    e = t.events.withColumn("k", k).withColumn("source_name", source_name())
+    p = t.part.select(F.col("p_partkey").cast("long").alias("k"), "p_name")
     r = t.region.select(F.col("r_regionkey"), "r_name")
     return (
         e.join(p, "k", "left")

@@ -308,21 +308,24 @@ def po_exposure(pos: DataFrame, suppliers: DataFrame, limit: int | None = None)
     return out.limit(limit) if limit else out
 
 
-def primary_listing(mapping: DataFrame, suppliers: DataFrame, limit: int) -> DataFrame:
-    return (
+def first_rows(df: DataFrame, order: list, limit: int | None) -> DataFrame:
+    """All rows, or the first ``limit`` in ``order`` if the caller names one."""
+    return df if limit is None else df.orderBy(*order).limit(limit)
+
+
+def primary_listing(mapping: DataFrame, suppliers: DataFrame, limit: int | None = None) -> DataFrame:
+    listed = (
         mapping.filter("is_primary_supplier")
         .select("supplier_id", "sku_id", "dependency_percent")
         .join(suppliers.select("supplier_id", "supplier_name", "criticality_tier"), "supplier_id")
-        .orderBy("criticality_tier", F.desc("dependency_percent"), "sku_id", "supplier_id")
-        .limit(limit)
     )
+    return first_rows(listed, ["criticality_tier", F.desc("dependency_percent"), "sku_id", "supplier_id"], limit)
 
 
-def deteriorating_listing(scorecards: DataFrame, suppliers: DataFrame, limit: int) -> DataFrame:
-    return (
+def deteriorating_listing(scorecards: DataFrame, suppliers: DataFrame, limit: int | None = None) -> DataFrame:
+    listed = (
         scorecards.filter("is_deteriorating")
         .select("supplier_id", "scorecard_month", "fill_rate", "on_time_delivery_rate")
         .join(suppliers.select("supplier_id", "supplier_name"), "supplier_id")
-        .orderBy("supplier_id", F.desc("scorecard_month"))
-        .limit(limit)
     )
+    return first_rows(listed, ["supplier_id", F.desc("scorecard_month")], limit)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -15,6 +16,7 @@ def local_session(app: str = "riskweave", cpus: int | str = "*") -> SparkSession
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.files.minPartitionNum", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -28,13 +30,21 @@ def local_session(app: str = "riskweave", cpus: int | str = "*") -> SparkSession
     return spark
 
 
+#: Of sessions on one machine, by application.
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``;
-    only where none is named (tests on one machine) a temporary one."""
+    """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``. A
+    session on one machine that names none, as in tests, gets a temporary one; a cluster must name
+    one, since its executors share no local folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = tempfile.mkdtemp(prefix="riskweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
+        if spark.sparkContext.applicationId not in _own_folders:
+            _own_folders[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="riskweave-ckpt-")
+        named = _own_folders[spark.sparkContext.applicationId]
     return named.rstrip("/")
 
 

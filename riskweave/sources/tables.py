@@ -32,16 +32,6 @@ class Tables:
         return self[name]
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a plain scan at least one partition per core.
-
-    Row-wise heavy work (tokens, n-grams) right after a scan of few row groups would leave
-    cores idle. A scan with enough partitions, as any large one, is left as it is: no shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
@@ -100,9 +90,18 @@ def seed_if_absent(df: DataFrame, name: str) -> bool:
     return True
 
 
-def create_table_as(spark: SparkSession, query: str, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    write_table(spark.sql(query), name)
+def create_table_as(spark: SparkSession, query: str, name: str) -> str:
+    """The result of ``query`` as the next version of ``name``. The old version stays until the new
+    one is written, so a failing query, or one that reads ``name``, loses nothing. A plain table of
+    that name is kept under a backup name, which later versions no longer touch."""
+    result = spark.sql(query)
+    if table_exists(spark, name) and spark.catalog.getTable(name).tableType != "VIEW":
+        version = f"{name}__v1"
+        write_table(result, version)
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__v0")
+        spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {version}")
+        return version
+    return publish(result, name)
 
 
 def align_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
