@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskweave.catalog import scoring as CS
+from riskweave.catalog.matching import Matched, mart
 from riskweave.catalog.registry import cte, query
 from riskweave.catalog.shape import tidy
 from riskweave.operators.maintenance import upsert
@@ -21,6 +22,7 @@ SELECT * FROM (VALUES ('SUP_SCORE_CRITICAL','supplier','overall_risk_score',75.0
 """)
 cte("al_metrics", """
 SELECT 'supplier' AS entity_type, supplier_id AS entity_id, 'overall_risk_score' AS metric_name, overall_risk_score AS v FROM sc_composite
+UNION ALL SELECT 'supplier', supplier_id, 'score_delta_24h', d FROM sc_delta
 UNION ALL SELECT 'sku', canonical_sku_id, 'stockout_probability', stockout_probability FROM sc_stockout
 UNION ALL SELECT 'sku', canonical_sku_id, 'days_of_cover', days_of_cover FROM sc_stockout
 UNION ALL SELECT 'sku', canonical_sku_id, 'alternate_status', CASE WHEN alternate_status = 'none' THEN 1.0 ELSE 0.0 END FROM sc_stockout
@@ -32,15 +34,16 @@ WHERE CASE comparison WHEN 'gte' THEN v >= threshold_value WHEN 'lte' THEN v <=
 """)
 
 
-def scored(t):
+def scored(t, matched=None):
     """Supplier and SKU scores, written once because several alert generators read them."""
-    sup = cut_lineage(CS.S.label_scores(CS.composite(t)), "supplier_scores")
+    sup = cut_lineage(CS.S.label_scores(CS.composite(t, matched)), "supplier_scores")
     return sup, cut_lineage(CS.stockout(t, sup), "sku_scores")
 
 
 def candidates(t):
     sup, sku = scored(t)
-    metrics = A.metric_rows(sup, "supplier", "supplier_id", "supplier_name", ["overall_risk_score"], F.col("top_risk_driver")).unionByName(
+    jumped = sup.join(CS.deltas(t).select("supplier_id", "score_delta_24h"), "supplier_id")
+    metrics = A.metric_rows(jumped, "supplier", "supplier_id", "supplier_name", ["overall_risk_score", "score_delta_24h"], F.col("top_risk_driver")).unionByName(
         A.metric_rows(sku, "sku", "canonical_sku_id", "canonical_sku_id", ["stockout_probability", "days_of_cover", "alternate_status"], F.col("supplier_name"))
     )
     return A.evaluate_benchmarks(metrics, A.benchmarks_df(t.spark))
@@ -68,9 +71,9 @@ SELECT 'supplier_risk' AS alert_type, 'supplier_risk' AS risk_category, 'high' A
 FROM sc_labelled WHERE overall_risk_score >= 40
 """)
 cte("al_event", """
-SELECT 'external_event' AS alert_type, risk_category, severity, CASE severity WHEN 'critical' THEN 4 ELSE 3 END AS severity_rank, NULL::VARCHAR AS supplier_id, NULL::VARCHAR AS sku_id, CASE severity WHEN 'critical' THEN 4.0 ELSE 3.0 END AS trigger_metric_value,
-  'External risk event: ' || event_title AS alert_title, 'external_event|' || external_event_id AS dedupe_key
-FROM fx_external_events WHERE severity IN ('critical', 'high')
+SELECT 'external_event' AS alert_type, risk_category, severity, CASE severity WHEN 'critical' THEN 4 ELSE 3 END AS severity_rank, matched_supplier_id AS supplier_id, NULL::VARCHAR AS sku_id, CASE severity WHEN 'critical' THEN 4.0 ELSE 3.0 END AS trigger_metric_value,
+  'External risk event: ' || event_title AS alert_title, concat_ws('|', 'external_event', external_event_id, matched_supplier_id) AS dedupe_key
+FROM mt_mart WHERE severity IN ('critical', 'high')
 """)
 cte("al_all", """
 SELECT *, 'alert_' || substr(sha256(dedupe_key), 1, 24) AS alert_id FROM (SELECT * FROM al_sku UNION ALL SELECT * FROM al_supplier UNION ALL SELECT * FROM al_event)
@@ -97,7 +100,7 @@ def _(t):
 
 @query("event_alerts", "L05 L07", _shown("al_event"))
 def _(t):
-    return tidy(A.event_alerts(I.external_events(t), I.EVENTS_AS_OF, RUN).select(SHOWN))
+    return tidy(A.event_alerts(mart(t), I.EVENTS_AS_OF, RUN).select(SHOWN))
 
 
 @query("health_alerts", "L06", """
@@ -111,11 +114,12 @@ def _(t):
 
 
 def generated(t):
-    sup, sku = scored(t)
+    matched = Matched(t)
+    sup, sku = scored(t, matched)
     return [
         A.threshold_alerts(sku, A.SKU_ALERTS, I.EVENTS_AS_OF, RUN),
         A.threshold_alerts(sup, SUPPLIER_40, I.EVENTS_AS_OF, RUN),
-        A.event_alerts(I.external_events(t), I.EVENTS_AS_OF, RUN),
+        A.event_alerts(mart(t, matched), I.EVENTS_AS_OF, RUN),
     ]
 
 
@@ -149,10 +153,11 @@ def _(t):
     return routed(t)[1].select("alert_id", "routing_rule_id", "recipient_email")
 
 
-@query("inbox_items", "L11 S08", "SELECT 'inbox_' || substr(sha256(alert_id || '|' || recipient_email || '|email'), 1, 24) AS inbox_item_id, alert_id, recipient_group, severity, 'unread' AS inbox_status FROM al_routed")
+@query("inbox_items", "L11 S08", "SELECT 'inbox_' || substr(sha256(alert_id || '|' || recipient_email || '|email'), 1, 24) AS inbox_item_id, alert_id, recipient_group, severity, CASE WHEN severity = 'critical' THEN 'read' ELSE 'unread' END AS inbox_status FROM al_routed")
 def _(t):
     items = A.inbox_items(routed(t)[1], I.EVENTS_AS_OF)
-    return upsert(items, items, ["inbox_item_id"]).select("inbox_item_id", "alert_id", "recipient_group", "severity", "inbox_status")
+    known = items.filter("severity = 'critical'").withColumn("inbox_status", F.lit("read"))
+    return upsert(known, items, ["inbox_item_id"], update_cols=["severity", "alert_title"]).select("inbox_item_id", "alert_id", "recipient_group", "severity", "inbox_status")
 
 
 @query("delivery_log", "L12", "SELECT alert_id, recipient_email, '[' || upper(severity) || '] ' || alert_title AS subject_text, 'logged_not_sent' AS delivery_status FROM al_routed")

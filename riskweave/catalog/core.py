@@ -107,19 +107,12 @@ def _(t):
 
 
 @query("field_dictionary", "P18", """
-SELECT trim(role) AS field_name, trim(text, ' ') AS field_description, regexp_replace(regexp_replace(lower(trim(text, ' ')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS field_name_snake,
-  regexp_matches(regexp_replace(regexp_replace(lower(trim(text, ' ')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), 'email|password|fname|lname|first_name|last_name|street|zipcode|phone|address|latitude|longitude') AS pii_signal
+SELECT trim(text, ' ') AS field_name, trim(text, ' ') AS field_description, regexp_replace(regexp_replace(lower(trim(text, ' ')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS field_name_snake,
+  regexp_matches(regexp_replace(regexp_replace(lower(trim(text, ' ')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), 'email|zip|customer|password|fname|lname|first_name|last_name|street|phone|address|latitude|longitude') AS pii_signal
 FROM conversations
 """)
 def _(t):
-    d = PR.field_dictionary(t.conversations.select("role", "text"), "text", "text")
-    # the role is kept as the short label of the described text
-    c = t.conversations
-    name = C.snake_case(F.col("text"))
-    signal = P.any_of(name.contains(x) for x in PR.PII_TOKENS)
-    return c.select(
-        F.trim("role").alias("field_name"), F.trim("text").alias("field_description"), name.alias("field_name_snake"), signal.alias("pii_signal")
-    ).select(d.columns)
+    return PR.field_dictionary(t.conversations.select("role", "text"), "text", "text")
 
 
 @query("drop_pii", "P19", "SELECT l_orderkey AS \"Order Id\", l_linenumber AS \"Order Item Id\", c_mktsegment AS \"Customer Segment\" FROM fx_lines JOIN customer ON o_custkey = c_custkey")
@@ -208,11 +201,17 @@ def _(t):
 # ---- S: maintenance and landing ---------------------------------------------------------------
 
 
+ALL_TABLES = (
+    "region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
 @query("read_tables_count", "S01 U03", "\nUNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events", "documents", "pages")
+    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in ALL_TABLES
 ))
 def _(t):
-    return table_counts({n: t[n] for n in ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events", "documents", "pages")})
+    return table_counts({n: t[n] for n in ALL_TABLES})
 
 
 @query("replace_run", "S07", """

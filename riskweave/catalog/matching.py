@@ -135,8 +135,8 @@ LEFT JOIN (SELECT supplier_id, count(sku_id) AS n FROM fx_sku_map GROUP BY 1) k
 """)
 
 
-def mart(t):
-    m = Matched(t)
+def mart(t, matched=None):
+    m = matched or Matched(t)
     skus = t.lineitem.select("l_suppkey", "l_partkey").distinct().groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("matched_sku_count"))
     skus = skus.select(F.concat(F.lit("SUP_"), F.col("l_suppkey").cast("string")).alias("supplier_id"), "matched_sku_count")
     return M.event_mart(m.events, m.direct, m.groups, m.members, skus, I.evidence_documents(t))

@@ -61,9 +61,8 @@ def composite(t, matched=None):
 
 def history(t):
     """Earlier scores: the operational score of every month, dated by month."""
-    w = marts.scorecard_trends(I.scorecards(t))
-    points = (1 - F.col("fill_rate")) * 35.0 + (1 - F.col("on_time_delivery_rate")) * 30.0
-    return w.select("supplier_id", F.col("scorecard_month").alias("score_date"), points.alias("overall_risk_score"))
+    months = S.monthly_operational_score(marts.scorecard_trends(I.scorecards(t)))
+    return months.select("supplier_id", F.col("scorecard_month").alias("score_date"), F.col("operational_score").alias("overall_risk_score"))
 
 
 @query("rank_suppliers", "R01 R08 W01 M25", """
@@ -101,17 +100,25 @@ def _(t):
     return tidy(composite(t).select("supplier_id", "overall_risk_score", "risk_band"))
 
 
-cte("sc_history", "SELECT supplier_id, scorecard_month AS score_date, (1 - fill_rate) * 35.0 + (1 - on_time_delivery_rate) * 30.0 AS overall_risk_score FROM dm_trends")
+cte("sc_history", "SELECT supplier_id, scorecard_month AS score_date, least(100.0, greatest(0.0, (1 - fill_rate) * 35.0 + (1 - on_time_delivery_rate) * 30.0 + defect_rate * 100.0 + CASE WHEN deterioration_flag THEN 2.25 ELSE 0.0 END)) AS overall_risk_score FROM dm_trends")
 
 
-@query("score_delta", "R09 J17", """
-SELECT o.supplier_id, rnd(coalesce(rnd(operational_score - p1, 1), 0), 4) AS score_delta_24h, rnd(coalesce(rnd(operational_score - p7, 1), 0), 4) AS score_delta_7d FROM sc_operational o LEFT JOIN (
+cte("sc_delta", """
+SELECT o.supplier_id, coalesce(rnd(operational_score - p1, 1), 0) AS d, coalesce(rnd(operational_score - p7, 1), 0) AS d7 FROM sc_operational o LEFT JOIN (
   SELECT h.supplier_id, arg_max(overall_risk_score, score_date) AS p1, arg_max(overall_risk_score, score_date) FILTER (score_date <= scorecard_month - 7) AS p7
   FROM sc_history h JOIN sc_operational c USING (supplier_id) WHERE score_date < scorecard_month GROUP BY 1) p USING (supplier_id)
 """)
-def _(t):
+
+
+def deltas(t):
+    """Change of the operational score against its own earlier months."""
     cur = operational(t).select("supplier_id", F.col("scorecard_month").alias("score_date"), F.col("operational_score").alias("overall_risk_score"))
-    return tidy(S.score_delta(cur, history(t)).select("supplier_id", "score_delta_24h", "score_delta_7d"))
+    return S.score_delta(cur, history(t))
+
+
+@query("score_delta", "R09 J17", "SELECT supplier_id, rnd(d, 4) AS score_delta_24h, rnd(d7, 4) AS score_delta_7d FROM sc_delta")
+def _(t):
+    return tidy(deltas(t).select("supplier_id", "score_delta_24h", "score_delta_7d"))
 
 
 @query("driver_and_action", "R10 R11", "SELECT supplier_id, rnd(overall_risk_score, 4) AS overall_risk_score, top_risk_driver, recommended_action FROM sc_labelled")

@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 from riskweave.functions.cleaning import quoted, snake_case
 from riskweave.functions.predicates import any_null
 
-# Name parts that mark a column as personal data.
+# Name parts of columns that are dropped as personal data.
 PII_TOKENS = (
     "email",
     "zip",
-    "customer",
+    "customer_name",
     "password",
     "fname",
     "lname",
@@ -29,6 +29,8 @@ PII_TOKENS = (
     "latitude",
     "longitude",
 )
+#: A profile reports these as well; segments and ids of customers are no personal data by themselves.
+PII_SIGNALS = (*PII_TOKENS, "customer")
 
 
 @dataclass(frozen=True)
@@ -55,12 +57,12 @@ def contracts_df(spark: SparkSession, contracts: list[Contract]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def detect_pii(cols: list[str]) -> list[str]:
+def detect_pii(cols: list[str], tokens: tuple[str, ...] = PII_TOKENS) -> list[str]:
     """Columns whose snake-cased name holds a personal-data token."""
     def key(c: str) -> str:
         return "".join(ch if ch.isalnum() else "_" for ch in c.lower())
 
-    return [c for c in cols if any(t in key(c) for t in PII_TOKENS)]
+    return [c for c in cols if any(t in key(c) for t in tokens)]
 
 
 def drop_pii(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -71,7 +73,7 @@ def field_dictionary(df: DataFrame, name_col: str, text_col: str) -> DataFrame:
     """Documented fields with a snake-case name and a personal-data signal."""
     key = snake_case(F.col(name_col))
     signal = F.lit(False)
-    for t in PII_TOKENS:
+    for t in PII_SIGNALS:
         signal = signal | key.contains(t)
     return df.select(
         F.trim(F.col(name_col)).alias("field_name"),

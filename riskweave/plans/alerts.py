@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskweave.functions.cleaning import all_of, first_existing, short_id
+from riskweave.functions.cleaning import first_existing, short_id
 from riskweave.functions.risk import alert_severity, common_severity, severity_rank
 from riskweave.operators.maintenance import upsert
 from riskweave.operators.relational import top_k_per, union_all
@@ -89,9 +89,8 @@ def metric_rows(df: DataFrame, entity_type: str, entity: str, name: str, metrics
 
 
 def evaluate_benchmarks(metrics: DataFrame, benchmarks: DataFrame) -> DataFrame:
-    """Every active benchmark that a metric breaches. Benchmarks are a handful of
-    configuration rows, so they are broadcast."""
-    b = F.broadcast(benchmarks.filter("active").select("benchmark_id", "entity_type", "metric_name", "threshold_value", "comparison", "severity"))
+    """Every active benchmark that a metric breaches."""
+    b = benchmarks.filter("active").select("benchmark_id", "entity_type", "metric_name", "threshold_value", "comparison", "severity")
     actual, cut = F.col("actual_value"), F.col("threshold_value")
     breached = (
         F.when(F.col("comparison") == "gte", actual >= cut)
@@ -250,18 +249,20 @@ def merge_alerts(existing: DataFrame | None, generated: Iterable[DataFrame]) ->
 def match_rules(alerts: DataFrame, rules: DataFrame) -> DataFrame:
     """Alerts with every active rule that fits. A rule value of ``*`` or NULL fits anything.
 
-    Rules are a handful of configuration rows, so they are broadcast.
+    Each alert is looked up under its own value and ``*`` in every dimension, so this is an equi
+    join, however many rules name single suppliers or SKUs.
     """
     dims = ("alert_type", "risk_category", "supplier_id", "sku_id")
     r = rules.filter("is_active").select(
         "routing_rule_id", "rule_priority", "minimum_severity_rank", "recipient_group", "recipient_email", "channel", "send_enabled", "escalation_minutes",
-        *[F.col(d).alias(f"_r_{d}") for d in dims],
+        *[F.coalesce(F.col(d), F.lit("*")).alias(f"_r_{d}") for d in dims],
     )
-    fits = all_of(
-        [F.col(f"_r_{d}").isNull() | (F.col(f"_r_{d}") == "*") | (F.col(f"_r_{d}") == F.col(d)) for d in dims]
-        + [F.col("severity_rank") >= F.col("minimum_severity_rank")]
-    )
-    return alerts.join(F.broadcast(r), fits).drop(*[f"_r_{d}" for d in dims])
+    asked = alerts
+    for d in dims:  # an alert's own value never is '*' twice
+        own = F.filter(F.array(F.col(d)), lambda v: v.isNotNull() & (v != "*"))
+        asked = asked.withColumn(f"_r_{d}", F.explode(F.concat(F.array(F.lit("*")), own)))
+    keys = [f"_r_{d}" for d in dims]
+    return asked.join(r, keys).filter(F.col("severity_rank") >= F.col("minimum_severity_rank")).drop(*keys)
 
 
 def route_alerts(alerts: DataFrame, rules: DataFrame) -> DataFrame:
