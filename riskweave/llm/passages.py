@@ -37,7 +37,7 @@ class WindowKeys:
         known = self.known
         if len(known) > KNOWN_WORDS:
             known.clear()
-        for w in set(words) - known.keys():
+        for w in [w for w in set(words) if w not in known]:
             known[w] = xxh64_intdigest(w, self.seed)
         each = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         v = np.zeros(len(words) - self.width + 1, np.uint64)
