@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.common import read_table, stage, whole_text
 from riskweave.llm.lattice import MARK, LONGEST, Lattice, existing_model, vocabulary
-from riskweave.llm.lots import ANSWERED, LOT, SENT, answer, gather, send, shard_of
+from riskweave.llm.lots import ANSWERED, LOT, SENT, answer, frequent, gather, send, shard_of
 from riskweave.llm.tokens import tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
-HEAD = 100_000  # frequent words: pieces of their own, scored once, held by every task
+HEAD = 60_000  # frequent words: pieces of their own, scored once, held by every task
 SETS = 8  # score sets: the largest classes of documents; the last set holds all other classes
 LEARN_FROM = 2  # training count from which a word's segmentations are learned from
 SMOOTH = 0.01
@@ -238,8 +238,8 @@ def lattice_scores(
     words = stage(counted.groupBy("word").agg(F.array(*per_class).alias("c"), F.sum("n").alias("n")), "words")
     distinct, total = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
 
-    frequent = words.orderBy(F.desc("n"), "word").limit(head).select("word", "n").collect()  # at most `head`
-    voc = Vocabulary(path, [r["word"] for r in frequent])
+    top = frequent(words, head).select("word", "n").collect()  # at most `head`
+    voc = Vocabulary(path, sorted(r["word"] for r in top))
     learned = words.filter(F.col("n") >= LEARN_FROM).select("word", "c")
 
     def summed(count) -> np.ndarray:
@@ -260,7 +260,7 @@ def lattice_scores(
     logp, log_end = scores(summed(lambda ws, c: _held_lattice(first).expected_counts([MARK + w for w in ws], c)))
     model = spark.sparkContext.broadcast((voc, logp))
 
-    top = spark.createDataFrame(frequent, "word string, n long").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    top = spark.createDataFrame(top, "word string, n long").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     scored = top.mapInArrow(_score_head(model), "word string, found array<double>").collect()
     values = np.array([r["found"] for r in scored], float).reshape(-1, width + 2)
     known = spark.sparkContext.broadcast(({r["word"]: i for i, r in enumerate(scored)}, values))

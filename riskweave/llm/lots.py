@@ -12,6 +12,8 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 LOT = 1_000
 SENT = "shard int, lot long, words array<string>, sizes binary, uses binary, plain binary"
@@ -22,6 +24,21 @@ def shard_of(word: str, shards: int) -> int:
     return crc32(word.encode()) % shards
 
 
+def frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The rows of ``counted`` with the largest ``n``, at most ``most``: all over a cut that a small
+    histogram of ``n`` gives, so no task sends its own top rows to the driver. ``counted`` is read
+    twice and should be a written table."""
+    bucket = F.floor(F.log2("n") * 16)
+    sizes = counted.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("n")).collect()
+    cut, held = None, 0
+    for r in sorted(sizes, key=lambda r: -r["b"]):
+        held += r["rows"]
+        if held > most:
+            break
+        cut = r["n"]
+    return counted.filter(F.col("n") >= cut) if cut is not None else counted.limit(0)
+
+
 def _written(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema) as out:

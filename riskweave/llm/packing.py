@@ -36,7 +36,7 @@ class CachedIds:
             self.cache.clear()
         cut = [self.source.words(t) for t in texts]
         cache, opening = self.cache, {}
-        new = list(set().union(*[ws[1:] for ws in cut if ws]) - cache.keys())
+        new = [w for w in set().union(*[ws[1:] for ws in cut if ws]) if w not in cache]
         self._add(new, cache, " ")
         self._add(list({ws[0] for ws in cut if ws}), opening, "")
         out = []

@@ -190,7 +190,7 @@ class WindowScorer:
         self.rows = {d: np.zeros((4096, 3 * HIDDEN), np.float32) for d in "fb"}
 
     def _number(self, texts: list[list[str]]) -> None:
-        new = list(set().union(*texts) - self.at.keys())
+        new = [w for w in set().union(*texts) if w not in self.at]
         if len(self.at) + len(new) > self.cached and self.at:
             self._clear()
             new = list(set().union(*texts))

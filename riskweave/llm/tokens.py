@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import read_table, whole_text
-from riskweave.llm.lots import ANSWERED, LOT, SENT, answer, gather, send, shard_of
+from riskweave.llm.common import read_table, stage, whole_text
+from riskweave.llm.lots import ANSWERED, LOT, SENT, answer, frequent, gather, send, shard_of
 
 TOKENIZER = "byte_bpe_50k.json"
 HEAD = 100_000  # pre-tokens counted once and held by every task
@@ -198,7 +198,7 @@ def _sum_shards(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, pieces = pretokens(path), {}
         for batch in batches:
-            new = list({w for ws in batch.column("words").to_pylist() for w in ws} - pieces.keys())
+            new = [w for w in {w for ws in batch.column("words").to_pylist() for w in ws} if w not in pieces]
             pieces.update(zip(new, map(len, p.encode(new))))
             yield answer(batch, lambda words: np.array([pieces[w] for w in words], float).reshape(-1, 1))
 
@@ -226,16 +226,9 @@ def count_tokens(
     """
     spark = docs.sparkSession
     text = whole_text(text_col)
-    named = (
-        docs.select(text.alias("text"))
-        .mapInArrow(_named_heads(path, task_head), "pretoken string, n long")
-        .groupBy("pretoken")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "pretoken")
-        .limit(head)
-        .select("pretoken")
-    )
-    counted = named.mapInArrow(_count_pieces(path), "pretoken string, pieces int").collect()
+    named = docs.select(text.alias("text")).mapInArrow(_named_heads(path, task_head), "pretoken string, n long")
+    named = stage(named.groupBy("pretoken").agg(F.sum("n").alias("n")), "heads")
+    counted = frequent(named, head).select("pretoken").mapInArrow(_count_pieces(path), "pretoken string, pieces int").collect()
     held = spark.sparkContext.broadcast({r["pretoken"]: r["pieces"] for r in counted})  # at most `head` entries
     shards = 2 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
