@@ -90,18 +90,13 @@ def seed_if_absent(df: DataFrame, name: str) -> bool:
     return True
 
 
-def create_table_as(spark: SparkSession, query: str, name: str) -> str:
-    """The result of ``query`` as the next version of ``name``. The old version stays until the new
-    one is written, so a failing query, or one that reads ``name``, loses nothing. A plain table of
-    that name is kept under a backup name, which later versions no longer touch."""
-    result = spark.sql(query)
-    if table_exists(spark, name) and spark.catalog.getTable(name).tableType != "VIEW":
-        version = f"{name}__v1"
-        write_table(result, version)
-        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__v0")
-        spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {version}")
-        return version
-    return publish(result, name)
+def create_table_as(spark: SparkSession, query: str, name: str) -> None:
+    """The result of ``query`` as table ``name``. It is written beside the old table first, so a
+    failing query, or one that reads ``name``, loses nothing."""
+    fresh = f"{name}__next"
+    write_table(spark.sql(query), fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
 
 
 def align_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -134,7 +134,7 @@ def test_contract_audit_and_profile(spark):
 def test_ranked_structs_are_in_rank_order(spark):
     df = spark.createDataFrame([("k", i, f"n{i}") for i in range(8)], "k string, v int, n string")
     got = R.ranked_structs(df, ["k"], [F.desc("v")], 3, ["n"], "top").first()
-    assert [s.n for s in got.top] == ["n7", "n6", "n5"] and got.top_count == 3
+    assert [s.n for s in got.top] == ["n7", "n6", "n5"] and got.top_count == 8
 
 
 def test_orphans_and_top_values(spark):
