@@ -62,17 +62,17 @@ def _(t):
 
 cte("al_sku", """
 SELECT 'sku_stockout' AS alert_type, 'inventory_stockout' AS risk_category, 'high' AS severity, 3 AS severity_rank, supplier_id, canonical_sku_id AS sku_id, stockout_probability AS trigger_metric_value,
-  'High stockout risk detected for ' || canonical_sku_id AS alert_title, 'sku_stockout|' || canonical_sku_id || '|2024-01-30' AS dedupe_key
+  'Stock may run out: ' || canonical_sku_id AS alert_title, 'sku_stockout|' || canonical_sku_id || '|2024-01-30' AS dedupe_key
 FROM sc_stockout WHERE stockout_probability >= 0.75
 """)
 cte("al_supplier", """
 SELECT 'supplier_risk' AS alert_type, 'supplier_risk' AS risk_category, 'high' AS severity, 3 AS severity_rank, supplier_id, NULL::VARCHAR AS sku_id, overall_risk_score AS trigger_metric_value,
-  'High supplier risk detected for ' || supplier_name AS alert_title, 'supplier_risk|' || supplier_id || '|2024-01-30' AS dedupe_key
+  'Supplier over the risk cut: ' || supplier_name AS alert_title, 'supplier_risk|' || supplier_id || '|2024-01-30' AS dedupe_key
 FROM sc_labelled WHERE overall_risk_score >= 40
 """)
 cte("al_event", """
 SELECT 'external_event' AS alert_type, risk_category, severity, CASE severity WHEN 'critical' THEN 4 ELSE 3 END AS severity_rank, matched_supplier_id AS supplier_id, NULL::VARCHAR AS sku_id, CASE severity WHEN 'critical' THEN 4.0 ELSE 3.0 END AS trigger_metric_value,
-  'External risk event: ' || event_title AS alert_title, concat_ws('|', 'external_event', external_event_id, matched_supplier_id) AS dedupe_key
+  'Event: ' || event_title AS alert_title, concat_ws('|', 'external_event', external_event_id, matched_supplier_id) AS dedupe_key
 FROM mt_mart WHERE severity IN ('critical', 'high')
 """)
 cte("al_all", """

@@ -55,7 +55,7 @@ def _(t):
 
 
 cte("cx_narrative", """
-SELECT supplier_id, concat_ws(' ', 'Supplier ' || supplier_name || ' has an overall risk score of ' || printf('%.1f', overall_risk_score) || ' with risk band ' || risk_band || '.', 'The top risk driver is ' || top_risk_driver || '.',
+SELECT supplier_id, concat_ws(' ', 'Supplier ' || supplier_name || ' scores ' || printf('%.1f', overall_risk_score) || ' overall, band ' || risk_band || '.', 'Most of it comes from ' || top_risk_driver || '.',
   'Driver 1: ' || driver_1_detail || '.', 'Driver 2: ' || driver_2_detail || '.', 'Driver 3: ' || driver_3_detail || '.', 'Evidence count: ' || evidence_count || '.', 'Recommended action: ' || recommended_action) AS risk_explanation FROM sc_explained
 """)
 
@@ -124,10 +124,10 @@ def snapshot(t):
 
 cte("cx_snapshot", """
 SELECT l.supplier_id, l.supplier_name, l.risk_band, l.overall_risk_score, l.top_risk_driver, l.recommended_action, coalesce(open_alerts_count, 0) AS open_alerts_count, coalesce(active_external_event_count, 0) AS active_external_event_count, coalesce(top_affected_skus_count, 0) AS top_affected_skus_count, events, skus,
-  'Supplier: ' || l.supplier_name || ' (' || l.supplier_id || ')' || chr(10) || chr(10) || 'Current supplier risk score: ' || printf('%.1f', l.overall_risk_score) || ' | Risk band: ' || l.risk_band || chr(10) || chr(10) || 'Criticality tier: ' || l.criticality_tier || chr(10) || chr(10)
-  || 'Top risk driver: ' || l.top_risk_driver || chr(10) || chr(10) || 'Recommended action: ' || l.recommended_action || chr(10) || chr(10) || 'Open alerts: ' || coalesce(open_alerts_count, 0) || ' | Critical/high alerts: ' || coalesce(critical_or_high_alert_count, 0) || chr(10) || chr(10)
-  || 'Active external events: ' || coalesce(active_external_event_count, 0) || ' | High-severity events: ' || coalesce(high_severity_event_count, 0) || ' | Latest event date: ' || coalesce(strftime(latest_external_event_date, '%Y-%m-%d'), 'none') || chr(10) || chr(10)
-  || 'Top affected SKU count: ' || coalesce(top_affected_skus_count, 0) || ' | High-risk affected SKUs: ' || coalesce(high_risk_sku_count, 0) || chr(10) || chr(10) || 'Risk explanation: ' || risk_explanation AS chat_context_text
+  'Supplier: ' || l.supplier_name || ' (' || l.supplier_id || ')' || chr(10) || chr(10) || 'Overall score now: ' || printf('%.1f', l.overall_risk_score) || ' | Band: ' || l.risk_band || chr(10) || chr(10) || 'Tier: ' || l.criticality_tier || chr(10) || chr(10)
+  || 'Top risk driver: ' || l.top_risk_driver || chr(10) || chr(10) || 'Recommended action: ' || l.recommended_action || chr(10) || chr(10) || 'Open alerts: ' || coalesce(open_alerts_count, 0) || ', of these severe: ' || coalesce(critical_or_high_alert_count, 0) || chr(10) || chr(10)
+  || 'Events of the last 30 days: ' || coalesce(active_external_event_count, 0) || ', of these severe: ' || coalesce(high_severity_event_count, 0) || ', newest: ' || coalesce(strftime(latest_external_event_date, '%Y-%m-%d'), 'none') || chr(10) || chr(10)
+  || 'SKUs it supplies: ' || coalesce(top_affected_skus_count, 0) || ', of these at risk: ' || coalesce(high_risk_sku_count, 0) || chr(10) || chr(10) || 'Why: ' || risk_explanation AS chat_context_text
 FROM sc_labelled l LEFT JOIN cx_narrative USING (supplier_id) LEFT JOIN cx_top_skus USING (supplier_id) LEFT JOIN cx_events USING (supplier_id) LEFT JOIN cx_alerts USING (supplier_id)
 """)
 

@@ -127,9 +127,9 @@ def _(t):
 
 
 cte("sc_explained", """
-SELECT l.*, top_risk_driver AS driver_1_dimension, coalesce(e1, 'No recent external events') AS driver_1_detail,
+SELECT l.*, top_risk_driver AS driver_1_dimension, coalesce(e1, 'No event in the last 30 days') AS driver_1_detail,
   CASE WHEN deterioration_flag THEN 'Operational performance decline' WHEN dependency_score > 50 THEN 'High supplier dependency' ELSE 'Logistics risk' END AS driver_2_dimension,
-  coalesce(e2, CASE WHEN deterioration_flag THEN 'Scorecard deterioration detected in last 3 months' END, 'Route / logistics risk') AS driver_2_detail, e3 AS driver_3_detail, coalesce(n, 0) AS evidence_count, ids AS evidence_ids
+  coalesce(e2, CASE WHEN deterioration_flag THEN 'Scorecards have fallen for three months' END, 'Routes and transport') AS driver_2_detail, e3 AS driver_3_detail, coalesce(n, 0) AS evidence_count, ids AS evidence_ids
 FROM sc_labelled l LEFT JOIN (SELECT supplier_id, count(*) AS n, string_agg(external_event_id, ',' ORDER BY r) AS ids, max(line) FILTER (r = 1) AS e1, max(line) FILTER (r = 2) AS e2, max(line) FILTER (r = 3) AS e3
   FROM (SELECT *, source_name || ' · ' || event_title || ' · +' || points || ' pts' AS line FROM mt_top_events) GROUP BY 1) USING (supplier_id)
 """)

@@ -131,11 +131,11 @@ class ThresholdSpec:
 
 SUPPLIER_ALERTS = ThresholdSpec(
     "supplier_risk", "supplier_risk", SCORE_NAMES, SUPPLIER_CUT, "supplier_id",
-    "High supplier risk detected for ", " has risk score ", "Review supplier risk drivers and mitigation options.",
+    "Supplier over the risk cut: ", " has risk score ", "Go through the drivers and ways to reduce them.",
 )
 SKU_ALERTS = ThresholdSpec(
     "sku_stockout", "inventory_stockout", PROBABILITY_NAMES, SKU_CUT, "canonical_sku_id",
-    "High stockout risk detected for ", " has stockout probability ", "Review inventory cover and expedite replenishment.",
+    "Stock may run out: ", " has stockout probability ", "Check the cover and bring orders forward.",
 )
 
 
@@ -202,9 +202,9 @@ def event_alerts(events: DataFrame, as_of: str, run_id: str, limit: int | None =
             "trigger_metric_value": F.col("_r").cast("double"),
             "trigger_threshold": F.lit(float(EVENT_RANK_CUT)),
             "event_date": F.col("event_date").cast("string"),
-            "alert_title": F.concat(F.lit("External risk event: "), F.col("event_title")),
+            "alert_title": F.concat(F.lit("Event: "), F.col("event_title")),
             "alert_message": F.concat_ws(" | ", "source_name", "event_title"),
-            "recommended_action": F.lit("Review the event and the suppliers it touches."),
+            "recommended_action": F.lit("Read the event and check its suppliers."),
             "dedupe_key": F.concat_ws("|", F.lit("external_event"), "external_event_id", *[first_existing(events, EVENT_SUPPLIER_NAMES)]),
         },
         run_id,
