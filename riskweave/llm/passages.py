@@ -16,39 +16,42 @@ from riskweave.llm.common import read_table, stage, whole_text
 WIDTH = 13
 LOT = 1_000
 KNOWN_WORDS = 400_000
-LOW = np.uint64(2**48 - 1)
 MAX_SHARDS = 2**16
 NO_ID = 2**63 - 1  # a null id comes after all others
 ASKED_CHARS = 4_000_000  # text one task holds against the automaton of a reference
-SEEDS = 4
+KEY_BITS = 56  # sent as seven bytes
 
 
 class WindowKeys:
-    """64-bit keys of all windows of a text: 16 bits name a shard, 48 the window in it."""
+    """Keys of all windows of a text, and by another hash the shard in which each is met."""
 
-    def __init__(self, shards: int, seed: int, width: int):
-        self.shards, self.seed, self.width, self.known = shards, seed, width, {}
+    def __init__(self, shards: int, width: int, bits: int):
+        self.shards, self.width, self.known = shards, width, {}
+        self.low = np.uint64(2**bits - 1)
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         from xxhash import xxh64_intdigest
 
         if len(words) < self.width:
-            return np.zeros(0, np.uint64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         known = self.known
         if len(known) > KNOWN_WORDS:
             known.clear()
         for w in [w for w in set(words) if w not in known]:
-            known[w] = xxh64_intdigest(w, self.seed)
+            known[w] = xxh64_intdigest(w)
         each = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        v = np.zeros(len(words) - self.width + 1, np.uint64)
+        key, other = (self._mixed(each, np.uint64(m)) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
+        return key & self.low, (other % np.uint64(self.shards)).astype(np.int64)
+
+    def _mixed(self, each: np.ndarray, by: np.uint64) -> np.ndarray:
+        v = np.zeros(len(each) - self.width + 1, np.uint64)
         for k in range(self.width):
-            v *= np.uint64(0x9E3779B97F4A7C15)
+            v *= by
             v += each[k : k + len(v)]
         v ^= v >> np.uint64(31)
         v *= np.uint64(0xD6E8FEB86659FD93)
         v ^= v >> np.uint64(29)
-        shard = ((v >> np.uint64(48)) * np.uint64(self.shards)) >> np.uint64(16)
-        return shard << np.uint64(48) | v & LOW
+        return v
 
 
 def _short(values: np.ndarray) -> bytes:
@@ -65,35 +68,35 @@ SENT = "shard int, base long, count int, docs binary, sizes binary, keys binary,
 MARKS = "doc long, keys binary, refs binary"
 
 
-def _send_windows(shards: int, seed: int, width: int):
+def _send_windows(shards: int, width: int, bits: int, lot: int):
     """Per lot and shard: each distinct window once, under the smallest document of the lot. What
     the lot settles by itself rides along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_of = WindowKeys(shards, seed, width)
+        keys_of = WindowKeys(shards, width, bits)
         for batch in batches:
-            for at in range(0, batch.num_rows, LOT):
-                part = batch.slice(at, LOT)
+            for at in range(0, batch.num_rows, lot):
+                part = batch.slice(at, lot)
                 docs = part.column(0).to_numpy()
                 order = np.argsort(docs, kind="stable")
                 docs, texts = docs[order], part.column(1).to_pylist()
                 found = [keys_of(texts[i].encode().split()) for i in order]
-                keys, of = np.concatenate(found), np.repeat(np.arange(len(docs)), [len(k) for k in found])
+                keys, to = (np.concatenate(x) for x in zip(*found))
+                of = np.repeat(np.arange(len(docs)), [len(k) for k, _ in found])
                 if not len(keys):
                     continue
                 distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
                 owner = of[first]
                 later = docs[of] > docs[owner[back]]
                 own = _marks(docs[of[later]], keys[later], docs[owner[back[later]]])
-                shard = (distinct >> np.uint64(48)).astype(np.int64)
-                by = np.argsort(shard * LOT + owner, kind="stable")
+                shard = to[first]
+                by = np.argsort(shard * lot + owner, kind="stable")
                 shard, owner, distinct = shard[by], owner[by], distinct[by]
                 cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
                 rows: tuple[list, ...] = tuple([] for _ in range(7))
                 for lo, hi in zip(cuts, np.append(cuts[1:], len(shard))):
                     who, size = np.unique(owner[lo:hi], return_counts=True)
-                    low = np.ascontiguousarray(distinct[lo:hi]).view(np.uint8).reshape(-1, 8)[:, :6]
-                    values = (int(shard[lo]), int(docs[who[0]]), len(who), _short(docs[who] - docs[who[0]]), _short(size), low.tobytes(), own if lo == 0 else b"")
+                    values = (int(shard[lo]), int(docs[who[0]]), len(who), _short(docs[who] - docs[who[0]]), _short(size), distinct[lo:hi].view(np.uint8).reshape(-1, 8)[:, :7].tobytes(), own if lo == 0 else b"")
                     for column, value in zip(rows, values):
                         column.append(value)
                 kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
@@ -109,9 +112,9 @@ def _marks(docs: np.ndarray, keys: np.ndarray, refs: np.ndarray) -> bytes:
 def _mark_shard(key: tuple, table: pa.Table) -> pa.Table:
     """The windows of a shard that several documents hold, with the smallest of these."""
     keys, docs, settled = [], [], []
-    for base, count, who, sizes, low, own in zip(*(table[c].to_pylist() for c in ("base", "count", "docs", "sizes", "keys", "own"))):
-        wide = np.zeros((len(low) // 6, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(low, np.uint8).reshape(-1, 6)
+    for base, count, who, sizes, sent, own in zip(*(table[c].to_pylist() for c in ("base", "count", "docs", "sizes", "keys", "own"))):
+        wide = np.zeros((len(sent) // 7, 8), np.uint8)
+        wide[:, :7] = np.frombuffer(sent, np.uint8).reshape(-1, 7)
         keys.append(wide.view("<u8").ravel())
         docs.append(np.repeat(base + _long(who, count), _long(sizes, count)))
         if own:
@@ -123,7 +126,7 @@ def _mark_shard(key: tuple, table: pa.Table) -> pa.Table:
     sizes = np.diff(np.append(heads, len(keys)))
     least, most = np.minimum.reduceat(docs, heads), np.maximum.reduceat(docs, heads)
     shared = np.repeat(least < most, sizes)
-    parts = [np.stack([docs[shared], (keys[shared] | np.uint64(key[0].as_py() << 48)).view(np.int64), np.repeat(least, sizes)[shared]])]
+    parts = [np.stack([docs[shared], keys[shared].view(np.int64), np.repeat(least, sizes)[shared]])]
     for s in settled:  # the document of the lot that holds it is a reference too
         parts += [s, np.unique(np.stack([s[2], s[1], s[2]]), axis=1)]
     doc, window, ref = np.concatenate(parts, axis=1)
@@ -148,15 +151,16 @@ def _runs(at: np.ndarray, label: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(at[a]), int(at[b - 1]), int(label[a])
 
 
-def _remove(shards: int, seed: int, width: int):
-    """Per document its result, the passages it takes from references, and those it is one for."""
+def _remove(shards: int, width: int, bits: int):
+    """Per document its result, the passages it takes from references, and those it is one for.
+    Windows listed in ``false`` are not taken."""
     span = pa.list_(pa.struct([("ref", pa.int64()), ("text", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_of = WindowKeys(shards, seed, width)
+        keys_of = WindowKeys(shards, width, bits)
         for batch in batches:
-            counts, removed, shas, asked, given = [], [], [], [], []
-            for doc, text, keys, refs in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "keys", "refs"))):
+            counts, removed, shas, asked, given, known = [], [], [], [], [], set()
+            for doc, text, keys, refs, false in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "keys", "refs", "false"))):
                 words = text.encode().split()
                 gone, asks, gives = np.zeros(len(words) + 1, np.int64), [], []
                 if keys and len(words) >= width:
@@ -164,14 +168,17 @@ def _remove(shards: int, seed: int, width: int):
                     ref = np.frombuffer(b"".join(refs), "<i8")
                     order = np.lexsort((ref, mark))
                     mark, ref = mark[order], ref[order]
-                    own = keys_of(words)
+                    own = keys_of(words)[0]
                     at = np.searchsorted(mark, own)
                     hit = np.flatnonzero(mark[np.minimum(at, len(mark) - 1)] == own)
                     of = ref[at[hit]]
+                    text_of = lambda a, b: b" ".join(words[a : b + width]).decode()  # noqa: B023, E731
                     take = of < doc
+                    if false:
+                        wrong = set(false)
+                        take &= np.array([text_of(a, a) not in wrong for a in hit.tolist()], bool)
                     np.add.at(gone, hit[take], 1)
                     np.add.at(gone, np.minimum(hit[take] + width, len(words)), -1)
-                    text_of = lambda a, b: b" ".join(words[a : b + width]).decode()  # noqa: B023, E731
                     asks = [{"ref": r, "text": text_of(a, b)} for a, b, r in _runs(hit[take], of[take])]
                     # A document may settle a window for its lot though a smaller one holds it elsewhere.
                     holds = np.isin(own, mark[ref == doc])
@@ -182,11 +189,13 @@ def _remove(shards: int, seed: int, width: int):
                 counts.append(len(words))
                 removed.append(int(gone.sum()))
                 shas.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-                asked.append(asks)
+                new = [a for a in asks if (a["ref"], a["text"]) not in known]  # copies ask once a batch
+                known.update((a["ref"], a["text"]) for a in new)
+                asked.append(new)
                 given.append(gives)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas), pa.array(asked, span), pa.array(given, span)],
-                ["id", "n_words", "n_removed", "kept_sha256", "asked", "given"],
+                [batch.column("id"), batch.column("doc"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas), pa.array(asked, span), pa.array(given, span)],
+                ["id", "doc", "n_words", "n_removed", "kept_sha256", "asked", "given"],
             )
 
     return run
@@ -197,24 +206,24 @@ def _unconfirmed(width: int):
 
     def run(key: tuple, given: pa.Table, asked: pa.Table) -> pa.Table:
         automaton = SuffixAutomaton()
-        for ref, text in zip(given["ref"].to_pylist(), given["text"].to_pylist()):
+        for ref, text in sorted(set(zip(given["ref"].to_pylist(), given["text"].to_pylist()))):
             automaton.add(text.split(" "), ref)
         automaton.finish()
-        bad = []
-        for ref, text in zip(asked["ref"].to_pylist(), asked["text"].to_pylist()):
+        bad: tuple[list, list] = ([], [])
+        for ref, text in set(zip(asked["ref"].to_pylist(), asked["text"].to_pylist())):
             if any(h is None or h > ref for h in automaton.holders(text.split(" "), width)):
-                bad.append(ref)
-        return pa.table({"ref": pa.array(bad, pa.int64())})
+                bad[0].append(ref)
+                bad[1].append(text)
+        return pa.table({"ref": pa.array(bad[0], pa.int64()), "text": pa.array(bad[1], pa.string())})
 
     return run
 
 
 def confirm(spans: DataFrame, width: int = WIDTH, chars: int = ASKED_CHARS) -> DataFrame:
-    """References of the ``asked`` passages that do not hold against the suffix automata of the
-    ``given`` ones. An automaton is built per group of references; a reference with more than
+    """The ``asked`` passages that do not hold against the suffix automata of the ``given`` ones. An automaton is built per group of references; a reference with more than
     ``chars`` of asked text is given to several tasks, each with a share of what is asked."""
-    asked = spans.select(F.explode("asked").alias("s")).select("s.ref", "s.text").distinct()  # copies ask once
-    given = spans.select(F.explode("given").alias("s")).select("s.ref", "s.text").distinct()
+    asked = spans.select(F.explode("asked").alias("s")).select("s.ref", "s.text")
+    given = spans.select(F.explode("given").alias("s")).select("s.ref", "s.text")
     load = asked.groupBy("ref").agg(F.sum(F.length("text")).alias("chars")).filter(F.col("chars") > chars)
     load = stage(load.select("ref", F.ceil(F.col("chars") / chars).cast("int").alias("parts")), "loads")
     groups = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -222,18 +231,51 @@ def confirm(spans: DataFrame, width: int = WIDTH, chars: int = ASKED_CHARS) -> D
     group = F.pmod(F.xxhash64("ref", "part"), F.lit(groups)).cast("int").alias("group")
     held = given.join(load, "ref", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select(group, "ref", "text")
     tested = asked.join(load, "ref", "left").withColumn("part", F.pmod(F.xxhash64("text"), parts).cast("int")).select(group, "ref", "text")
-    return held.groupBy("group").cogroup(tested.groupBy("group")).applyInArrow(_unconfirmed(width), "ref long")
+    return held.groupBy("group").cogroup(tested.groupBy("group")).applyInArrow(_unconfirmed(width), "ref long, text string")
+
+
+def _windows(text: str, width: int) -> list[str]:
+    words = text.split(" ")
+    return [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)]
+
+
+def _holders(wanted, width: int):
+    """Documents that hold any of the wanted windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, found = [], []
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns)):
+                held = wanted.value.intersection(_windows(b" ".join(text.encode().split()).decode(), width))
+                docs += [doc] * len(held)
+                found += held
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.string())], ["doc", "window"])
+
+    return run
+
+
+def _false_windows(rows: DataFrame, bad: DataFrame, width: int) -> DataFrame:
+    """``(doc, false)``: windows that a document would lose although no smaller one holds them.
+
+    Keys that join different windows are rare, so the passages they leave are few. All documents
+    are asked which of these windows they hold, and the smallest holder of each keeps it.
+    """
+    windows = {w for r in bad.select("text").distinct().collect() for w in _windows(r["text"], width)}
+    wanted = rows.sparkSession.sparkContext.broadcast(windows)
+    held = rows.select("doc", "text").mapInArrow(_holders(wanted, width), "doc long, window string").distinct()
+    least = held.groupBy("window").agg(F.min("doc").alias("least"))
+    return held.join(least, "window").filter("doc = least").groupBy("doc").agg(F.collect_list("window").alias("false"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, key_bits: int = KEY_BITS, lot: int = LOT) -> DataFrame:
     """One row per input row: id, ``n_words``, ``n_removed``, ``kept_sha256``.
 
     A word goes when a window of ``width`` words over it also starts in a document with a smaller
     id. Keys of all windows meet by hash, each once per lot of documents, so a passage that many
     documents share sends few rows. That names, per window, the smallest document that may hold it.
     The decision is by whole words: the named passages of every reference form a suffix automaton,
-    and everything taken out is streamed through it for its matching statistics. Should a key have
-    joined two different windows, all is done again with other keys, so the result is exact.
+    and everything taken out is streamed through it for its matching statistics. Where a key has joined
+    two different windows, the whole words of all holders decide, so the result is exact.
 
     Null texts have no words. Texts under ``width`` words stay whole. Null ids come last and take
     nothing from each other; rows that repeat an id are judged one by one and never against each
@@ -245,19 +287,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), whole_text(text_col).alias("text"))
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     span = "array<struct<ref: bigint, text: string>>"
-    for seed in range(SEEDS):
-        sent = rows.select("doc", "text").mapInArrow(_send_windows(shards, seed, width), SENT)
-        marks = sent.groupBy("shard").applyInArrow(_mark_shard, MARKS)
-        marks = marks.groupBy("doc").agg(F.collect_list("keys").alias("keys"), F.collect_list("refs").alias("refs"))
-        done = stage(
-            rows.join(marks, "doc", "left").select("id", "doc", "text", "keys", "refs").mapInArrow(
-                _remove(shards, seed, width), f"id {id_type}, n_words long, n_removed long, kept_sha256 string, asked {span}, given {span}"
-            ),
-            "passages",
-        )
-        if not confirm(done.select("asked", "given"), width).head(1):
-            return done.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept_sha256")
-    raise RuntimeError("window keys collide under every seed")
+    sent = rows.select("doc", "text").mapInArrow(_send_windows(shards, width, key_bits, lot), SENT)
+    marks = sent.groupBy("shard").applyInArrow(_mark_shard, MARKS)
+    marks = marks.groupBy("doc").agg(F.collect_list("keys").alias("keys"), F.collect_list("refs").alias("refs"))
+    columns = f"id {id_type}, doc long, n_words long, n_removed long, kept_sha256 string, asked {span}, given {span}"
+    result = ("id", "n_words", "n_removed", "kept_sha256")
+    none = F.lit(None).cast("array<string>").alias("false")
+    marked = rows.join(marks, "doc", "left").select("id", "doc", "text", "keys", "refs")
+    done = stage(marked.select("*", none).mapInArrow(_remove(shards, width, key_bits), columns), "passages")
+    bad = stage(confirm(done.select("asked", "given"), width), "unconfirmed")
+    if bad.head(1):
+        false = stage(_false_windows(rows, bad, width), "false-windows")
+        again = marked.join(false, "doc").mapInArrow(_remove(shards, width, key_bits), columns)
+        done = done.join(false, "doc", "left_anti").select(*result).union(again.select(*result))
+    return done.select(*result).withColumnRenamed("id", id_col)
 
 
 def op9_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,10 +44,10 @@ def rows():
 
 @pytest.mark.parametrize(("width", "lot", "chars"), [(13, 1000, 10**9), (13, 3, 500), (2, 7, 50)])
 def test_matches_brute_force(spark, monkeypatch, width, lot, chars):
-    monkeypatch.setattr(passages, "LOT", lot)
+    monkeypatch.setattr(passages, "ASKED_CHARS", chars)
     data = rows()
     docs = spark.createDataFrame([(*r, 1) for r in data], "doc_id long, text string, n_words int").repartition(3)
-    got = remove_repeats(docs, width=width).collect()
+    got = remove_repeats(docs, width=width, lot=lot).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == plain(data, width)
     assert remove_repeats(docs.limit(0), width=width).count() == 0
 
@@ -57,7 +57,15 @@ def test_a_false_passage_is_not_confirmed(spark):
         [([], [(1, "a b c d"), (2, "b c d e")]), ([(1, "a b c"), (2, "b c d e")], []), ([(1, "b c d e")], []), ([(9, "x y z")], [])],
         "asked array<struct<ref: bigint, text: string>>, given array<struct<ref: bigint, text: string>>",
     )
-    assert sorted(r.ref for r in confirm(spans, 3, 4).collect()) == [1, 9]
+    assert sorted((r.ref, r.text) for r in confirm(spans, 3, 4).collect()) == [(1, "b c d e"), (9, "x y z")]
+
+
+@pytest.mark.parametrize(("bits", "lot"), [(5, 1000), (9, 2)])
+def test_colliding_keys_do_no_harm(spark, bits, lot):
+    data = rows()[:12] + rows()[40:50] + rows()[70:73]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(2)
+    got = remove_repeats(docs, key_bits=bits, lot=lot).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == plain(data, 13)
 
 
 def test_automaton_matches_search():
