@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +30,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = [F.xxhash64("id"), "id"]
     toxic = named.filter("y = 1").orderBy(*order).limit(most_toxic)
     clean = named.filter("y = 0").orderBy(*order).limit(most_clean)
-    rows = texts.join(F.broadcast(toxic.union(clean)), "id").select("text", "y").distinct().collect()  # bounded by the limits
-    rows = sorted(rows, key=lambda r: (r["text"], r["y"]))
-    return fit([words_of(r["text"]) for r in rows], np.array([r["y"] for r in rows], np.int64))
+    rows = texts.join(F.broadcast(toxic.union(clean)), "id").select("text", "y").distinct()  # bounded by the limits
+    fitted = rows.repartition(1).mapInArrow(_fit, "model binary").collect()  # one task holds the bounded sample
+    return pickle.loads(fitted[0]["model"]) if fitted else fit([], np.zeros(0, np.int64))
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sorted((t, y) for b in batches for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+    model = fit([[intern(w) for w in words_of(t)] for t, _ in rows], np.array([y for _, y in rows], np.int64))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
 
 def _scores(model):
