@@ -25,6 +25,11 @@ TESTED = {
     "Q19": "`gate`, tests/test_tables_and_maintenance.py",
     "Q20": "`check_readback`, tests/test_tables_and_maintenance.py",
 }
+# Parts of covered ids that are not there yet.
+GAPS = """Known gaps, by what the reference offers: `supplier_network` lacks the latest quality issue rate and lead-time columns and reads
+lineitem several times; `orders_table` lacks product, geography and benefit columns; `land_raw` compares payload hashes of one
+of seven sources; `context_packet` and `templated_answer` carry no event and evidence lines yet; the event family writes its
+matches while a query is built; approximate functions and contract listings have no SQL."""
 FAMILIES = {"S": 19, "P": 21, "F": 10, "J": 18, "A": 15, "W": 8, "T": 6, "U": 5, "Q": 25, "M": 35, "R": 15, "L": 15, "E": 15, "V": 15, "N": 9}
 
 
@@ -42,7 +47,7 @@ def main() -> None:
             if not what:
                 open_ids.append(i)
             lines.append(f"| {i} | {what or 'open'} |")
-    lines += ["", f"Open: {', '.join(open_ids) or 'none'}."]
+    lines += ["", f"Without a query or test: {', '.join(open_ids) or 'none'}.", "", GAPS]
     (ROOT / "COVERAGE.md").write_text("\n".join(lines) + "\n")
     print("open:", open_ids, "queries:", len(load_all()), "with sql:", sum(bool(q.sql) for q in load_all().values()))
 
