@@ -87,7 +87,7 @@ def test_word_runs(spark):
         ('short "raw_text": {}', T.PAYLOAD_ONLY),
         ("x" * 40 + ' "raw_text": {}', "x" * 40 + T.PAYLOAD_SUFFIX),
         ("a <?xml version='1.0'?>\n<b/>", "a " + T.XML_PLACEHOLDER),
-        ("y" * 701, "y" * 700 + "..."),
+        ("y" * 701, "y" * 701),
         (None, ""),
     ],
 )
@@ -95,6 +95,10 @@ def test_clean_evidence_text(spark, raw, want):
     assert one(spark, raw, T.clean_evidence_text) == want
 
 
+def test_evidence_is_cut_only_where_the_caller_says(spark):
+    assert one(spark, "y" * 701, lambda c: T.clean_evidence_text(c, 700)) == "y" * 700 + "..."
+
+
 def test_labelled_value_and_leaks(spark):
     text = "Supplier: ACME\n  risk band:  High \nRecommendation:\nNone"
     assert one(spark, text, lambda c: T.labelled_value(c, "Risk band")) == "High"
