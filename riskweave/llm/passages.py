@@ -17,7 +17,7 @@ WIDTH = 13
 LOT = 1_000
 KNOWN_WORDS = 400_000
 MAX_SHARDS = 2**16
-NO_ID = 2**63 - 1  # a null id comes after all others
+NO_ID = 2**62  # null ids stand from here on, after all others, and take nothing from each other
 ASKED_CHARS = 4_000_000  # text one task holds against the automaton of a reference
 KEY_BITS = 56  # sent as seven bytes
 
@@ -65,7 +65,7 @@ def _long(data: bytes, count: int) -> np.ndarray:
 
 
 SENT = "shard int, base long, count int, docs binary, sizes binary, keys binary, own binary"
-MARKS = "doc long, keys binary, refs binary"
+MARKS = "bucket int, docs binary, keys binary, refs binary"
 
 
 def _send_windows(shards: int, width: int, bits: int, lot: int):
@@ -109,8 +109,17 @@ def _marks(docs: np.ndarray, keys: np.ndarray, refs: np.ndarray) -> bytes:
     return docs.astype("<i8").tobytes() + keys.astype("<u8").tobytes() + refs.astype("<i8").tobytes()
 
 
-def _mark_shard(key: tuple, table: pa.Table) -> pa.Table:
-    """The windows of a shard that several documents hold, with the smallest of these."""
+def _bucket(docs: np.ndarray, buckets: int) -> np.ndarray:
+    return (docs ^ (docs >> 17)) % buckets
+
+
+def _mark_shard(buckets: int):
+    return lambda key, table: _marked(table, buckets)
+
+
+def _marked(table: pa.Table, buckets: int) -> pa.Table:
+    """The windows of a shard that several documents hold, with the smallest of these, by buckets of
+    documents."""
     keys, docs, settled = [], [], []
     for base, count, who, sizes, sent, own in zip(*(table[c].to_pylist() for c in ("base", "count", "docs", "sizes", "keys", "own"))):
         wide = np.zeros((len(sent) // 7, 8), np.uint8)
@@ -130,17 +139,13 @@ def _mark_shard(key: tuple, table: pa.Table) -> pa.Table:
     for s in settled:  # the document of the lot that holds it is a reference too
         parts += [s, np.unique(np.stack([s[2], s[1], s[2]]), axis=1)]
     doc, window, ref = np.concatenate(parts, axis=1)
-    order = np.lexsort((window, doc))
-    doc, window, ref = doc[order], window[order], ref[order]
-    cuts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
+    bucket = _bucket(doc, buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket, doc, window, ref = bucket[order], doc[order], window[order], ref[order]
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(doc) else np.zeros(0, np.int64)
     ends = np.append(cuts[1:], len(doc))
-    return pa.table(
-        {
-            "doc": pa.array(doc[cuts], pa.int64()),
-            "keys": pa.array([window[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-            "refs": pa.array([ref[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-        }
-    )
+    packed = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())
+    return pa.table({"bucket": pa.array(bucket[cuts], pa.int32()), "docs": packed(doc), "keys": packed(window), "refs": packed(ref)})
 
 
 def _runs(at: np.ndarray, label: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -156,47 +161,47 @@ def _remove(shards: int, width: int, bits: int):
     Windows listed in ``false`` are not taken."""
     span = pa.list_(pa.struct([("ref", pa.int64()), ("text", pa.string())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(key: tuple, batch: pa.Table, marks: pa.Table) -> pa.Table:
         keys_of = WindowKeys(shards, width, bits)
-        for batch in batches:
-            counts, removed, shas, asked, given, known = [], [], [], [], [], set()
-            for doc, text, keys, refs, false in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "keys", "refs", "false"))):
-                words = text.encode().split()
-                gone, asks, gives = np.zeros(len(words) + 1, np.int64), [], []
-                if keys and len(words) >= width:
-                    mark = np.frombuffer(b"".join(keys), "<u8")
-                    ref = np.frombuffer(b"".join(refs), "<i8")
-                    order = np.lexsort((ref, mark))
-                    mark, ref = mark[order], ref[order]
-                    own = keys_of(words)[0]
-                    at = np.searchsorted(mark, own)
-                    hit = np.flatnonzero(mark[np.minimum(at, len(mark) - 1)] == own)
-                    of = ref[at[hit]]
-                    text_of = lambda a, b: b" ".join(words[a : b + width]).decode()  # noqa: B023, E731
-                    take = of < doc
-                    if false:
-                        wrong = set(false)
-                        take &= np.array([text_of(a, a) not in wrong for a in hit.tolist()], bool)
-                    np.add.at(gone, hit[take], 1)
-                    np.add.at(gone, np.minimum(hit[take] + width, len(words)), -1)
-                    asks = [{"ref": r, "text": text_of(a, b)} for a, b, r in _runs(hit[take], of[take])]
-                    # A document may settle a window for its lot though a smaller one holds it elsewhere.
-                    holds = np.isin(own, mark[ref == doc])
-                    mine = np.flatnonzero(holds)
-                    gives = [{"ref": doc, "text": text_of(a, b)} for a, b, _ in _runs(mine, np.zeros(len(mine)))]
-                gone = np.cumsum(gone[:-1]) > 0
-                kept = [w for w, g in zip(words, gone) if not g] if gone.any() else words
-                counts.append(len(words))
-                removed.append(int(gone.sum()))
-                shas.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-                new = [a for a in asks if (a["ref"], a["text"]) not in known]  # copies ask once a batch
-                known.update((a["ref"], a["text"]) for a in new)
-                asked.append(new)
-                given.append(gives)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("doc"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas), pa.array(asked, span), pa.array(given, span)],
-                ["id", "doc", "n_words", "n_removed", "kept_sha256", "asked", "given"],
-            )
+        joined = [np.frombuffer(b"".join(marks[c].to_pylist()), k) for c, k in (("docs", "<i8"), ("keys", "<u8"), ("refs", "<i8"))]
+        order = np.lexsort((joined[2], joined[1], joined[0]))
+        owner, marked, named = (x[order] for x in joined)
+        counts, removed, shas, asked, given, known = [], [], [], [], [], set()
+        for doc, text, false in zip(*(batch[c].to_pylist() for c in ("doc", "text", "false"))):
+            words = text.encode().split()
+            gone, asks, gives = np.zeros(len(words) + 1, np.int64), [], []
+            low, high = np.searchsorted(owner, [doc, doc + 1])
+            if high > low and len(words) >= width:
+                mark, ref = marked[low:high], named[low:high]
+                own = keys_of(words)[0]
+                at = np.searchsorted(mark, own)
+                hit = np.flatnonzero(mark[np.minimum(at, len(mark) - 1)] == own)
+                of = ref[at[hit]]
+                text_of = lambda a, b: b" ".join(words[a : b + width]).decode()  # noqa: B023, E731
+                take = (of < doc) & (of < NO_ID)
+                if false:
+                    wrong = set(false)
+                    take &= np.array([text_of(a, a) not in wrong for a in hit.tolist()], bool)
+                np.add.at(gone, hit[take], 1)
+                np.add.at(gone, np.minimum(hit[take] + width, len(words)), -1)
+                asks = [{"ref": r, "text": text_of(a, b)} for a, b, r in _runs(hit[take], of[take])]
+                # A document may settle a window for its lot though a smaller one holds it elsewhere.
+                holds = np.isin(own, mark[ref == doc])
+                mine = np.flatnonzero(holds)
+                gives = [{"ref": doc, "text": text_of(a, b)} for a, b, _ in _runs(mine, np.zeros(len(mine)))]
+            gone = np.cumsum(gone[:-1]) > 0
+            kept = [w for w, g in zip(words, gone) if not g] if gone.any() else words
+            counts.append(len(words))
+            removed.append(int(gone.sum()))
+            shas.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+            new = [a for a in asks if (a["ref"], a["text"]) not in known]  # copies ask once a batch
+            known.update((a["ref"], a["text"]) for a in new)
+            asked.append(new)
+            given.append(gives)
+        return pa.table(
+            [batch["id"], batch["doc"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas, pa.string()), pa.array(asked, span), pa.array(given, span)],
+            names=["id", "doc", "n_words", "n_removed", "kept_sha256", "asked", "given"],
+        )
 
     return run
 
@@ -279,26 +284,33 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null texts have no words. Texts under ``width`` words stay whole. Null ids come last and take
     nothing from each other; rows that repeat an id are judged one by one and never against each
-    other. Very long texts are one row. An empty table gives an empty result. Other columns are not
+    other. Documents are judged in buckets of a few thousand at most, sized by the number of shuffle
+    partitions. An empty table gives an empty result. Other columns are not
     read.
     """
     spark = docs.sparkSession
     shards = min(MAX_SHARDS, max(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), whole_text(text_col).alias("text"))
+    buckets = 4 * shards
+    text, doc = whole_text(text_col), F.col("doc")
+    null_doc = F.lit(NO_ID) + F.pmod(F.xxhash64(text), F.lit(2**61))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), null_doc).alias("doc"), text.alias("text"))
+    bucket = F.pmod(doc.bitwiseXOR(F.shiftright(doc, 17)), F.lit(buckets)).cast("int").alias("bucket")
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     span = "array<struct<ref: bigint, text: string>>"
     sent = rows.select("doc", "text").mapInArrow(_send_windows(shards, width, key_bits, lot), SENT)
-    marks = sent.groupBy("shard").applyInArrow(_mark_shard, MARKS)
-    marks = marks.groupBy("doc").agg(F.collect_list("keys").alias("keys"), F.collect_list("refs").alias("refs"))
+    marks = sent.groupBy("shard").applyInArrow(_mark_shard(buckets), MARKS)
     columns = f"id {id_type}, doc long, n_words long, n_removed long, kept_sha256 string, asked {span}, given {span}"
     result = ("id", "n_words", "n_removed", "kept_sha256")
-    none = F.lit(None).cast("array<string>").alias("false")
-    marked = rows.join(marks, "doc", "left").select("id", "doc", "text", "keys", "refs")
-    done = stage(marked.select("*", none).mapInArrow(_remove(shards, width, key_bits), columns), "passages")
+
+    def removed(judged: DataFrame) -> DataFrame:
+        asked = judged.select("id", "doc", "text", "false", bucket)
+        return asked.groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInArrow(_remove(shards, width, key_bits), columns)
+
+    done = stage(removed(rows.withColumn("false", F.lit(None).cast("array<string>"))), "passages")
     bad = stage(confirm(done.select("asked", "given"), width), "unconfirmed")
     if bad.head(1):
         false = stage(_false_windows(rows, bad, width), "false-windows")
-        again = marked.join(false, "doc").mapInArrow(_remove(shards, width, key_bits), columns)
+        again = removed(rows.join(false, "doc"))
         done = done.join(false, "doc", "left_anti").select(*result).union(again.select(*result))
     return done.select(*result).withColumnRenamed("id", id_col)
 
