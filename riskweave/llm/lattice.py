@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,25 +40,31 @@ class Lattice:
 
     ``logp`` has a row per piece and a column per score set. A character that is no piece is spelled
     by its byte pieces, so every word has a segmentation. Words of equal length are walked together,
-    edge by edge; words over ``LONG`` characters are walked alone and hold only the last few values,
-    so memory does not depend on the longest word.
+    edge by edge; words over ``LONG`` characters are walked alone and hold only the last few values
+    (for learning, those before every stretch of ``LONG``).
     """
 
     LONG = 256
 
     def __init__(self, pieces: dict[str, int], byte_ids: np.ndarray, logp: np.ndarray):
-        self.pieces, self.byte_ids, self.logp = pieces, byte_ids, logp
+        self.pieces, self.byte_ids, self.logp, self.size = pieces, byte_ids, logp, len(logp)
         self.spelled: dict[str, int] = {}
+        self._room = logp  # holds ``logp`` and rows to spare
 
     def _spell(self, char: str) -> int:
         """Number of a row that scores ``char`` by its bytes."""
         at = self.spelled.get(char)
         if at is None:
             at = self.spelled[char] = len(self.logp)
-            rows = self.logp[self.byte_ids[list(char.encode("utf-8", "replace"))]]
-            self.logp = np.vstack([self.logp, rows.sum(0)])
+            if at == len(self._room):
+                self._room = np.vstack([self._room, np.empty((max(1024, at // 8), self.logp.shape[1]))])
+            self._room[at] = self.logp[self._bytes(char)].sum(0)
+            self.logp = self._room[: at + 1]
         return at
 
+    def _bytes(self, char: str) -> np.ndarray:
+        return self.byte_ids[list(char.encode("utf-8", "replace"))]
+
     def edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
         """End, word, start and piece of every edge, by end and word, for words of one length."""
         get, n, keys, found = self.pieces.get, len(words[0]), [], []
@@ -106,20 +113,33 @@ class Lattice:
         return beta
 
     def expected_counts(self, words: list[str], counts: np.ndarray) -> np.ndarray:
-        """Expected uses of every piece over all segmentations of each word, times its counts.
-        Words over ``LONG`` characters take no part in learning; spelled characters count for none."""
-        size, sets = len(self.logp), self.logp.shape[1]
-        total = np.zeros((size, sets))
+        """Expected uses of every piece over all segmentations of each word, times its counts; a
+        spelled character uses its byte pieces."""
+        sets = self.logp.shape[1]
+        total = np.zeros((self.size, sets))
+
+        def add(piece: np.ndarray, use: np.ndarray) -> None:
+            nonlocal total
+            if len(self.logp) > len(total):  # characters spelled for the first time
+                total = np.vstack([total, np.zeros((len(self.logp) - len(total), sets))])
+            for z in range(sets):
+                total[:, z] += np.bincount(piece, use[:, z], len(total))
+
         for at, lot in self._lots(words):
             alpha, edges = self.forward(lot)
             beta = self._backward(edges, alpha.shape)
             end, word, start, piece = edges
             share = np.exp(np.minimum(alpha[start, word] + self.logp[piece] + beta[end, word] - alpha[-1, word], 0))
-            use = share * counts[at][word]
-            known = piece < size
-            for z in range(sets):
-                total[:, z] += np.bincount(piece[known], use[known, z], size)
-        return total
+            add(piece, share * counts[at][word])
+        for i, w in enumerate(words):
+            if len(w) > self.LONG:
+                for piece, share in self._long_shares(w):
+                    add(piece, share * counts[i])
+        out = total[: self.size].copy()
+        for char, row in self.spelled.items():
+            if row < len(total):
+                np.add.at(out, self._bytes(char), total[row])
+        return out
 
     def _lots(self, words: list[str]):
         by_length: dict[int, list[int]] = {}
@@ -141,15 +161,45 @@ class Lattice:
                 out[i] = self._long(w)
         return out
 
+    def _into(self, word: str, j: int) -> Iterator[tuple[int, int]]:
+        """Length and piece of every edge that ends at ``j``."""
+        for k in range(1, min(j, LONGEST) + 1):
+            piece = self.pieces.get(word[j - k : j], -1)
+            if piece >= 0:
+                yield k, piece
+            elif k == 1:
+                yield k, self._spell(word[j - 1])
+
+    def _walk(self, word: str, first: int, last: int, before: list[np.ndarray]) -> list[np.ndarray]:
+        """alpha up to ``last``, from the values that end at ``first``."""
+        alpha = list(before)
+        for j in range(first + 1, last + 1):
+            alpha.append(np.logaddexp.reduce([alpha[-k] + self.logp[p] for k, p in self._into(word, j)]))
+        return alpha
+
     def _long(self, word: str) -> np.ndarray:
         last = [np.zeros(self.logp.shape[1])]
-        for j in range(1, len(word) + 1):
-            terms = []
-            for k in range(1, min(j, LONGEST) + 1):
-                piece = self.pieces.get(word[j - k : j], -1)
-                if piece >= 0:
-                    terms.append(last[-k] + self.logp[piece])
-                elif k == 1:
-                    terms.append(last[-1] + self.logp[self._spell(word[j - 1])])
-            last = [*last[-LONGEST + 1 :], np.logaddexp.reduce(terms)]
+        for at in range(0, len(word), self.LONG):
+            last = self._walk(word, at, min(at + self.LONG, len(word)), last)[-LONGEST:]
         return last[-1]
+
+    def _long_shares(self, word: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pieces and their expected uses in one long word, stretch by stretch from its end. Only the
+        values before each stretch are held; those inside it are walked again."""
+        starts = list(range(0, len(word), self.LONG))
+        before = [[np.zeros(self.logp.shape[1])]]
+        for at in starts:
+            before.append(self._walk(word, at, min(at + self.LONG, len(word)), before[-1])[-LONGEST:])
+        whole = before.pop()[-1]
+        beta = {len(word): np.zeros_like(whole)}
+        for at, held in zip(reversed(starts), reversed(before)):
+            end = min(at + self.LONG, len(word))
+            alpha, pieces, shares = self._walk(word, at, end, held), [], []
+            for j in range(end, at, -1):
+                after = beta.pop(j)
+                for k, piece in self._into(word, j):
+                    step = self.logp[piece] + after
+                    beta[j - k] = np.logaddexp(beta[j - k], step) if j - k in beta else step
+                    pieces.append(piece)
+                    shares.append(np.exp(np.minimum(alpha[len(held) - 1 + j - k - at] + step - whole, 0)))
+            yield np.array(pieces, np.int64), np.array(shares)

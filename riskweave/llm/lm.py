@@ -220,9 +220,8 @@ def lattice_scores(
     scored map-side, all others in shards by hash, so no hot word is shuffled per document.
 
     Null texts count as empty: one end token. A null class is a class. Null ids belong to the
-    training side. Rows that repeat an id are scored one by one and counted each. Words over 256
-    characters are scored but not learned from. Without training texts all scores come from the
-    smoothing alone. An empty table gives an empty result. Other columns are not read.
+    training side. Rows that repeat an id are scored one by one and counted each. Without training
+    texts all scores come from the smoothing alone. An empty table gives an empty result. Other columns are not read.
     """
     spark = docs.sparkSession
     text, kind = whole_text(text_col), F.col(class_col).cast("string")

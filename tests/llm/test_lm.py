@@ -79,3 +79,46 @@ def test_scores(spark, head):
     untrained = lattice_scores(docs, F.lit(True), tokenizer_path(MODEL)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in untrained)
     assert vocabulary(tokenizer_path(MODEL))[0][MARK + "the"] >= 0
+
+
+def test_spelled_characters_count_for_their_bytes():
+    rng = np.random.default_rng(3)
+    pieces = {"a": 0, "b": 1, "ab": 2}
+    logp = np.log(rng.dirichlet(np.ones(3 + 256), 2).T)
+    lattice = Lattice(pieces, np.arange(3, 259), logp.copy())
+    for chars in ("한국", "漢字한", "😀é"):  # new ones in every call
+        words = [f"a{c}b" for c in chars] * 2 + [chars[0] * 3]
+        uses = lattice.expected_counts(words, np.full((len(words), 2), 2.0))
+        assert uses.shape == (259, 2)
+        want = Counter(b + 3 for w in words for c in w if c not in "ab" for b in c.encode())
+        for piece in range(3, 259):
+            assert uses[piece] == pytest.approx([2.0 * want[piece]] * 2)
+    assert lattice.log_probability(["a한b"])[0] == pytest.approx(logp[0] + logp[[3 + b for b in "한".encode()]].sum(0) + logp[1])
+
+
+def test_long_words_are_learned_from():
+    rng = np.random.default_rng(6)
+    pieces = {"a": 0, "b": 1, "ab": 2, "bab": 3, "ba": 4}
+    lattice = Lattice(pieces, np.arange(5, 261), np.log(rng.dirichlet(np.ones(261), 2).T))
+    words = ["".join(rng.choice(list("ab한"), n)) for n in (300, 512, 777, 20)]
+    counts = rng.integers(1, 5, (4, 2)).astype(float)
+    got = lattice.expected_counts(words, counts)
+    Lattice.LONG, keep = 1000, Lattice.LONG
+    try:
+        want = lattice.expected_counts(words, counts)
+    finally:
+        Lattice.LONG = keep
+    assert got == pytest.approx(want) and got[:5].min() > 0
+
+
+def test_repeated_words_outside_the_vocabulary_in_many_batches(spark):
+    known = vocabulary(tokenizer_path(MODEL))[0]
+    odd = [chr(c) for c in range(0xAC00, 0xAC00 + 2000) if chr(c) not in known][:300]
+    rows = [(i, " ".join(odd[(i * 7 + k) % 300] + "x" for k in range(30)), "ko") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        got = lattice_scores(docs, in_fold("doc_id", 7, 2), tokenizer_path(MODEL), head=3).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 60 and all(math.isfinite(r.score) for r in got)
