@@ -18,7 +18,6 @@ from riskweave.llm.tokens import tokenizer_path
 MODEL = "piece_bpe_32k.model"
 HEAD = 60_000  # frequent words: pieces of their own, scored once, held by every task
 SETS = 8  # score sets: the largest classes of documents; the last set holds all other classes
-LEARN_FROM = 2  # training count from which a word's segmentations are learned from
 SMOOTH = 0.01
 WHOLE = 0.8  # share of a frequent word's count that starts on its own piece
 FLUSH = 200_000
@@ -239,7 +238,7 @@ def lattice_scores(
 
     top = frequent(words, head).select("word", "n").collect()  # at most `head`
     voc = Vocabulary(path, sorted(r["word"] for r in top))
-    learned = words.filter(F.col("n") >= LEARN_FROM).select("word", "c")
+    learned = words.select("word", "c")
 
     def summed(count) -> np.ndarray:
         uses = [F.sum(F.col("uses")[z]).alias(f"u{z}") for z in range(width)]

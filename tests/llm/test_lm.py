@@ -122,3 +122,18 @@ def test_repeated_words_outside_the_vocabulary_in_many_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(got) == 60 and all(math.isfinite(r.score) for r in got)
+
+
+def test_words_seen_once_are_learned_from(spark):
+    rng = np.random.default_rng(5)
+    tails = ["".join(rng.choice(list("bdfgkmpv"), 4)) + str(i) for i in range(900)]
+    ids = [i for i in range(200) if crc32(str(i).encode()) % 7 != 2][:30]
+    held = next(i for i in range(200) if crc32(str(i).encode()) % 7 == 2)
+
+    def score(times):
+        rows = [(i, " ".join(f"inter{t}" for t in tails[30 * k : 30 * k + 30] * times), "en") for k, i in enumerate(ids)]
+        docs = spark.createDataFrame([*rows, (held, "inter inter inter inter", "en")], "doc_id long, text string, lang string")
+        found = lattice_scores(docs, in_fold("doc_id", 7, 2), tokenizer_path(MODEL), head=3).filter("held_out").collect()
+        return found[0].score
+
+    assert abs(score(1) - score(2)) < 1
