@@ -228,6 +228,43 @@ def _(t):
     return marts.events_with_evidence(events, evidence).select("source_name", "event_title", "api_run_id", "evidence_document_id")
 
 
+cte("fx_raw_all", """
+SELECT api_run_id, CASE source_name WHEN 'gdelt' THEN '{"articles":[' WHEN 'nws' THEN '{"type":"FeatureCollection","features":[' WHEN 'cisa' THEN '{"vulnerabilities":[' WHEN 'cpsc' THEN '[' ELSE '{"rows":[' END
+  || string_agg(item, ',' ORDER BY event_id) || CASE source_name WHEN 'cpsc' THEN ']' ELSE ']}' END AS raw_payload_json
+FROM (SELECT source_name, source_name || '_run_' || payload_no AS api_run_id, event_id, CASE source_name
+  WHEN 'gdelt' THEN '{"url":"https://example.org/e/' || event_id || '","title":"' || title || '","seendate":"' || strftime(ts, '%Y%m%dT%H%M%SZ') || '","domain":"example.org","language":"English","sourcecountry":"' || country || '"}'
+  WHEN 'nws' THEN '{"id":"w' || event_id || '","properties":{"event":"' || event_type || '","severity":"' || CASE sev_word WHEN 'extreme' THEN 'Extreme' WHEN 'moderate' THEN ' moderate' WHEN 'advisory' THEN 'Advisory' ELSE sev_word END
+    || '","areaDesc":"' || region || '","headline":"' || title || '","description":"' || title || '","onset":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","senderName":"station"}}'
+  WHEN 'cisa' THEN '{"cveID":"CVE-' || event_id || '","vulnerabilityName":"' || title || '","dateAdded":"' || strftime(ts, '%Y-%m-%d') || '","shortDescription":"' || title
+    || '","knownRansomwareCampaignUse":"' || CASE WHEN value >= 50 THEN 'Known' ELSE 'Unknown' END || '"}'
+  WHEN 'cpsc' THEN '{"RecallNumber":"R' || event_id || '","RecallDate":"' || strftime(ts, '%Y-%m-%d') || '","Title":"' || title || '","Description":"' || title || '","URL":"https://example.org/r/' || event_id || '"}'
+  ELSE '{"n":' || event_id || '}' END AS item FROM dm_ok_items)
+GROUP BY source_name, api_run_id
+""")
+
+
+def _all_events(t):
+    raw = _raw(t)
+    return E.parse_events(raw).unionByName(E.snapshot_events(raw))
+
+
+@query("split_evidence_all", "M05 P21", """
+SELECT api_run_id, sha256(api_run_id || '||' || sha256(raw_payload_json)) AS evidence_document_id, substr(raw_payload_json, 1, 200) AS raw_payload_preview, length(raw_payload_json) AS raw_payload_size_chars
+FROM fx_raw_all
+""")
+def _(t):
+    _, evidence = silver.split_evidence(_all_events(t))
+    return tidy(evidence.select("api_run_id", "evidence_document_id", "raw_payload_preview", "raw_payload_size_chars"))
+
+
+@query("events_view_all", "M13", """
+SELECT source_name, event_title, api_run_id, sha256(api_run_id || '||' || sha256(raw_payload_json)) AS evidence_document_id FROM dm_normal_events JOIN fx_raw_all USING (api_run_id)
+""")
+def _(t):
+    events, evidence = silver.split_evidence(_all_events(t))
+    return marts.events_with_evidence(events, evidence).select("source_name", "event_title", "api_run_id", "evidence_document_id")
+
+
 # ---- crosswalk ----------------------------------------------------------------------------------
 
 
