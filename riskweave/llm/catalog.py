@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskweave.llm.collocations import OP13_SQL, op13_collocations
 from riskweave.llm.dedup import OP3_SQL, op3_exact_dedup
 from riskweave.llm.lm import op8_lattice_lm
 from riskweave.llm.mixing import OP2_SQL, op2_mix_sources
@@ -24,5 +25,12 @@ QUERIES = {
     "op8_lattice_lm": op8_lattice_lm,
     "op9_remove_repeats": op9_remove_repeats,
     "op10_pack_mixture": op10_pack_mixture,
+    "op13_collocations": op13_collocations,
+}
+SQL = {
+    "op2_mix_sources": OP2_SQL,
+    "op3_exact_dedup": OP3_SQL,
+    "op4_top_k": OP4_SQL,
+    "op9_remove_repeats": OP9_SQL,
+    "op13_collocations": OP13_SQL,
 }
-SQL = {"op2_mix_sources": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op4_top_k": OP4_SQL, "op9_remove_repeats": OP9_SQL}
