@@ -11,8 +11,9 @@ from riskweave.llm.passages import OP9_SQL, op9_remove_repeats
 from riskweave.llm.sharding import op1_shard_minimax
 from riskweave.llm.simhash import op5_simhash_components
 from riskweave.llm.tokens import op7_count_tokens
-from riskweave.llm.toxicity import op6_toxicity
 from riskweave.llm.topk import OP4_SQL, op4_top_k
+from riskweave.llm.toxicity import op6_toxicity
+from riskweave.llm.whitening import op12_whiten
 
 QUERIES = {
     "op1_shard_minimax": op1_shard_minimax,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_lattice_lm": op8_lattice_lm,
     "op9_remove_repeats": op9_remove_repeats,
     "op10_pack_mixture": op10_pack_mixture,
+    "op12_whiten": op12_whiten,
     "op13_collocations": op13_collocations,
 }
 SQL = {
@@ -32,5 +34,6 @@ SQL = {
     "op3_exact_dedup": OP3_SQL,
     "op4_top_k": OP4_SQL,
     "op9_remove_repeats": OP9_SQL,
+    "op12_whiten": op12_whiten,
     "op13_collocations": OP13_SQL,
 }

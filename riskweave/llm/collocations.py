@@ -27,6 +27,7 @@ KEEP = 2_000
 NO_GROUP = "und"
 BITS_A_PAIR = 16
 LEAST_BITS, FILTER_BITS = 1 << 16, 1 << 26
+SALTS = 64  # a group's total goes to so many places, as one group may hold most candidates
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -110,8 +111,10 @@ def _parts(phrase: str, first: Column, words: Column) -> Column:
 def scored_candidates(counts: DataFrame) -> DataFrame:
     """``(grp, words, phrase, a, l, r, n, score)`` of each phrase of two or more words in ``counts``, by the
     cut with the lowest ``floor(1000 * a * n / (l * r))``, ties to the shortest first part."""
-    totals = counts.filter(F.col("words") == 0).select("grp", F.col("f").alias("n"))
-    candidates = counts.filter(F.col("words") >= 2).withColumnRenamed("f", "a")
+    totals = counts.filter(F.col("words") == 0).select("grp", F.col("f").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    candidates = counts.filter(F.col("words") >= 2).select(
+        "grp", "words", "phrase", F.col("f").alias("a"), F.pmod(F.hash("phrase"), F.lit(SALTS)).alias("salt")
+    )
     k = F.col("k")
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).select(
         "*", _parts("phrase", F.lit(1), k).alias("first"), _parts("phrase", k + 1, F.col("words") - k).alias("rest")
@@ -119,7 +122,7 @@ def scored_candidates(counts: DataFrame) -> DataFrame:
     known = counts.filter(F.col("words") >= 1)
     lefts = known.select("grp", F.col("phrase").alias("first"), F.col("f").alias("l"))
     rights = known.select("grp", F.col("phrase").alias("rest"), F.col("f").alias("r"))
-    joined = cuts.join(lefts, ["grp", "first"]).join(rights, ["grp", "rest"]).join(totals, "grp")
+    joined = cuts.join(lefts, ["grp", "first"]).join(rights, ["grp", "rest"]).join(totals, ["grp", "salt"])
     #: 38 digits hold every product: counts stay below 10^17.
     wide = lambda c: F.col(c).cast("decimal(17,0)")
     over = (F.lit(1000).cast("decimal(4,0)") * wide("a") * wide("n")).alias("over")
