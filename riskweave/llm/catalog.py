@@ -6,6 +6,7 @@ from riskweave.llm.collocations import OP13_SQL, op13_collocations
 from riskweave.llm.dedup import OP3_SQL, op3_exact_dedup
 from riskweave.llm.lm import op8_lattice_lm
 from riskweave.llm.mixing import OP2_SQL, op2_mix_sources
+from riskweave.llm.notices import op11_notices
 from riskweave.llm.packing import op10_pack_mixture
 from riskweave.llm.passages import OP9_SQL, op9_remove_repeats
 from riskweave.llm.sharding import op1_shard_minimax
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_lattice_lm": op8_lattice_lm,
     "op9_remove_repeats": op9_remove_repeats,
     "op10_pack_mixture": op10_pack_mixture,
+    "op11_notices": op11_notices,
     "op12_whiten": op12_whiten,
     "op13_collocations": op13_collocations,
 }
@@ -34,6 +36,7 @@ SQL = {
     "op3_exact_dedup": OP3_SQL,
     "op4_top_k": OP4_SQL,
     "op9_remove_repeats": OP9_SQL,
+    "op11_notices": op11_notices,
     "op12_whiten": op12_whiten,
     "op13_collocations": OP13_SQL,
 }
