@@ -64,11 +64,11 @@ class Matched:
     def __init__(self, t):
         self.events = I.external_events(t)
         suppliers, routes = I.suppliers(t), cut_lineage(I.routes(t), "routes")
-        direct, hits = M.match_texts(self.events, I.aliases(t), suppliers, cut_lineage)
+        direct, hits = M.match_texts(self.events, I.aliases(t), suppliers)
         self.direct = cut_lineage(direct, "direct")
         # Everything but the text pass needs only the short columns, so texts are not read again.
         brief = cut_lineage(self.events.drop("event_summary"), "events")
-        self.groups = cut_lineage(M.event_groups(M.event_scopes(brief, suppliers, routes, hits, cut_lineage)), "event_groups")
+        self.groups = cut_lineage(M.event_groups(M.event_scopes(brief, suppliers, routes, hits)), "event_groups")
         self.members = cut_lineage(M.group_suppliers(self.groups, M.supplier_scopes(suppliers, routes)), "members")
         self.routes, self.brief = routes, brief
 
@@ -79,12 +79,12 @@ class Matched:
 
 @query("match_alias", "M28 J10", "SELECT * FROM mt_alias")
 def _(t):
-    return tidy(M.match_alias(I.external_events(t), I.aliases(t), keep=cut_lineage))
+    return tidy(M.match_alias(I.external_events(t), I.aliases(t)))
 
 
 @query("match_name", "M29 J10", "SELECT * FROM mt_name")
 def _(t):
-    return tidy(M.match_name(I.external_events(t), I.suppliers(t), keep=cut_lineage))
+    return tidy(M.match_name(I.external_events(t), I.suppliers(t)))
 
 
 def _scope_sql(block: str, members: str) -> str:
@@ -109,7 +109,7 @@ def _(t):
 
 @query("match_category", "M32 J10", _scope_sql("mt_category", ""))
 def _(t):
-    return _sized(M.match_category(I.external_events(t), I.suppliers(t), keep=cut_lineage), t)
+    return _sized(M.match_category(I.external_events(t), I.suppliers(t)), t)
 
 
 @query("match_fuel", "M33 J13", _scope_sql("mt_fuel", ""))
@@ -122,7 +122,7 @@ SELECT external_event_id, supplier_id, match_type, match_value, match_confidence
 FROM (SELECT * FROM mt_alias UNION ALL SELECT * FROM mt_name)) WHERE r = 1
 """)
 def _(t):
-    return M.match_texts(I.external_events(t), I.aliases(t), I.suppliers(t), cut_lineage)[0]
+    return M.match_texts(I.external_events(t), I.aliases(t), I.suppliers(t))[0]
 
 
 cte("mt_mart", """

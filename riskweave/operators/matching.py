@@ -11,12 +11,14 @@ rules are only produced where a caller asks for them with ``expand_pairs``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.risk import severity_points
-from riskweave.functions.text import char_grams, plain, tokens, word_runs
+from riskweave.functions.text import plain
+from riskweave.operators.filters import may_hold
 from riskweave.operators.relational import top_k_per, union_all
 
 # Confidence of each rule, and the sources each group rule applies to.
@@ -29,73 +31,87 @@ FUEL_SOURCES = ("eia",)
 FUEL_MODES = ("ocean", "truck")
 FUEL_SCOPE = "ocean_or_truck_route"
 
-Keep = Callable[[DataFrame, str], DataFrame]
 
-KEY_WORDS = 3
-KEY_CHARS = 4
 
+class Units(NamedTuple):
+    """What texts and phrases are made of, and how many units a key has."""
 
-def _same(df: DataFrame, label: str = "") -> DataFrame:
-    return df
+    norm: Callable[[Column], Column]
+    joiner: str
+    run: int
 
 
-def match_phrases(texts: DataFrame, phrases: DataFrame, keep: Keep = _same) -> DataFrame:
+WORDS = Units(plain, " ", 3)
+CHARS = Units(F.lower, "", 4)
+
+
+def match_phrases(texts: DataFrame, phrases: DataFrame) -> DataFrame:
     """Which phrases occur in which texts, on word boundaries.
 
-    ``texts`` has (text_id, text); ``phrases`` has (phrase). Returns distinct
-    (text_id, phrase). Phrases of up to three words are decided by the equi join alone.
-    ``keep`` may store the dictionary, whose size then tells Spark whether to broadcast it, and
-    the narrow candidate rows, which two branches read.
+    ``texts`` has (text_id, text); ``phrases`` has (phrase). Returns distinct (text_id, phrase).
     """
-    words = tokens(F.col("phrase"))
-    keys = (
-        phrases.select("phrase")
-        .distinct()
-        .withColumn("_w", words)
-        .filter(F.size("_w") > 0)
-        .select(
-            "phrase",
-            F.array_join(F.slice("_w", 1, KEY_WORDS), " ").alias("_key"),
-            F.when(F.size("_w") > KEY_WORDS, F.array_join("_w", " ")).alias("_rest"),
-        )
-    )
-    grams = F.array_distinct(F.concat(*[word_runs(F.col("_w"), n) for n in range(1, KEY_WORDS + 1)]))
-    keyed = texts.withColumn("_w", tokens(F.col("text"))).select("text_id", F.explode(grams).alias("_key"))
-    return _verified(keyed, keys, texts, plain, " ", keep)
+    return _occurrences(texts, phrases, WORDS)
 
 
-def match_substrings(texts: DataFrame, phrases: DataFrame, keep: Keep = _same) -> DataFrame:
+def match_substrings(texts: DataFrame, phrases: DataFrame) -> DataFrame:
     """As ``match_phrases``, but any substring counts, ignoring case only."""
-    low = F.lower(F.col("phrase"))
-    keys = (
-        phrases.select("phrase")
-        .distinct()
-        .filter(F.length("phrase") > 0)
-        .select(
-            "phrase",
-            F.substring(low, 1, KEY_CHARS).alias("_key"),
-            F.when(F.length(low) > KEY_CHARS, low).alias("_rest"),
-        )
-    )
-    low_text = F.lower(F.col("text"))
-    grams = F.array_distinct(F.concat(*[char_grams(low_text, n) for n in range(1, KEY_CHARS + 1)]))
-    keyed = texts.select("text_id", F.explode(grams).alias("_key"))
-    return _verified(keyed, keys, texts, F.lower, "", keep)
+    return _occurrences(texts, phrases, CHARS)
 
 
-def _verified(
-    keyed: DataFrame, keys: DataFrame, texts: DataFrame, norm: Callable[[Column], Column], edge: str, keep: Keep
-) -> DataFrame:
-    hits = keep(keyed.join(keep(keys, "phrase_keys"), "_key").select("text_id", "phrase", "_rest"), "phrase_hits")
-    done = hits.filter(F.col("_rest").isNull()).select("text_id", "phrase")
-    around = lambda c: F.concat(F.lit(edge), c, F.lit(edge))
-    checked = (
-        hits.filter(F.col("_rest").isNotNull())
-        .join(texts.select("text_id", norm(F.col("text")).alias("_text")), "text_id")
-        .filter(around(F.col("_text")).contains(around(F.col("_rest"))))
-        .select("text_id", "phrase")
+def _names(size: int) -> list[str]:
+    return [f"_u{k}" for k in range(1, size + 1)]
+
+
+def _first(size: int, names: list[str]) -> list[Column]:
+    """The first ``size`` units of a run, null from there on, so that a shorter run hashes as itself."""
+    return [F.col(c) if k < size else F.lit(None).cast("string") for k, c in enumerate(names)]
+
+
+def _occurrences(texts: DataFrame, phrases: DataFrame, units: Units) -> DataFrame:
+    """A phrase of at most ``units.run`` units is its own key and needs no more than the equi join. A
+    longer one is keyed by that of its runs which stands in the fewest places of the texts, and is then
+    verified against the whole text. Places that no phrase can need are stopped by a filter of keys
+    before any shuffle.
+
+    The narrow texts are dealt anew by id first, so that the work on their many runs is even however the
+    files were split; the branches of the plan share that exchange.
+    """
+    names, run = _names(units.run), units.run
+    as_key = F.concat_ws(units.joiner, *names)
+    parts = phrases.select("phrase").distinct().select("phrase", units.norm(F.col("phrase")).alias("_n")).filter(F.col("_n") != "")
+    parts = parts.select("phrase", "_n", F.split("_n", units.joiner).alias("_u")).withColumn("_more", F.size("_u") - run)
+    starts = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("_more"))), lambda i: F.struct(*[F.get("_u", i + k).alias(c) for k, c in enumerate(names)])
     )
-    return done.unionByName(checked).distinct()
+    runs = parts.select("phrase", "_n", "_more", F.inline(F.array_distinct(starts)))  # a short phrase has one
+    hashed = lambda size: F.xxhash64(*_first(size, names))
+    wanted = runs.select(hashed(run).alias("h"))
+
+    dealt = texts.select("text_id", "text").repartition("text_id")
+    normal = dealt.select("text_id", units.norm(F.col("text")).alias("_t")).filter(F.col("_t") != "")
+    split = normal.select("text_id", F.split("_t", units.joiner).alias("_u"))
+    leads = [F.slice("_u", k, F.size("_u")) for k in range(2, run + 1)]
+    places = split.select("text_id", F.inline(F.arrays_zip("_u", *leads))).toDF("text_id", *names)
+    sizes = range(1, run + 1)
+    real = F.col("_size") <= F.size(F.array_compact(F.array(*names)))
+    met = places.filter(may_hold(wanted, *[hashed(k) for k in sizes]))
+    met = met.select("text_id", *names, F.explode(F.lit(list(sizes))).alias("_size")).filter(real)
+    cut = [F.when(F.col("_size") >= k, F.col(c)) for k, c in enumerate(names, 1)]
+    hits = met.select("text_id", F.concat_ws(units.joiner, *cut).alias("_key"), "_size")
+
+    seen = hits.filter(F.col("_size") == run).groupBy("_key").agg(F.count(F.lit(1)).alias("_seen"))
+    longer = runs.filter("_more > 0").select("phrase", "_n", as_key.alias("_key")).join(seen, "_key", "left")
+    # a phrase with a run that no text has cannot occur
+    rarest = longer.groupBy("phrase", "_n").agg(
+        F.min_by("_key", F.struct("_seen", "_key")).alias("_key"), F.bool_and(F.col("_seen").isNotNull()).alias("_all")
+    )
+    short = runs.filter("_more <= 0").select("phrase", F.lit(None).cast("string").alias("_n"), as_key.alias("_key"), (F.col("_more") + run).alias("_size"))
+    keys = short.unionByName(rarest.filter("_all").select("phrase", "_n", "_key", F.lit(run).alias("_size")))
+
+    found = hits.join(keys, ["_key", "_size"]).select("text_id", "phrase", "_n").distinct()
+    edged = lambda c: F.concat(F.lit(units.joiner), F.col(c), F.lit(units.joiner))
+    checked = found.filter("_n IS NOT NULL").join(normal, "text_id").filter(edged("_t").contains(edged("_n")))
+    return found.filter("_n IS NULL").select("text_id", "phrase").unionByName(checked.select("text_id", "phrase"))
 
 
 def event_texts(events: DataFrame) -> DataFrame:
@@ -106,10 +122,10 @@ def event_texts(events: DataFrame) -> DataFrame:
     )
 
 
-def phrase_hits(events: DataFrame, phrases: DataFrame, mode: str = "word", keep: Keep = _same) -> DataFrame:
+def phrase_hits(events: DataFrame, phrases: DataFrame, mode: str = "word") -> DataFrame:
     """Distinct (external_event_id, phrase) for any dictionary of phrases."""
     match = {"word": match_phrases, "substring": match_substrings}[mode]
-    hits = match(event_texts(events).select("text_id", "text"), phrases, keep)
+    hits = match(event_texts(events).select("text_id", "text"), phrases)
     return hits.select(F.col("text_id.external_event_id").alias("external_event_id"), "phrase").distinct()
 
 
@@ -146,16 +162,16 @@ def resolve_hits(hits: DataFrame, phrases: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def match_alias(events: DataFrame, aliases: DataFrame, mode: str = "word", keep: Keep = _same) -> DataFrame:
+def match_alias(events: DataFrame, aliases: DataFrame, mode: str = "word") -> DataFrame:
     """Events that mention an alias; the confidence is the alias's own."""
     phrases = alias_phrases(aliases)
-    return resolve_hits(phrase_hits(events, phrases, mode, keep), phrases)
+    return resolve_hits(phrase_hits(events, phrases, mode), phrases)
 
 
-def match_name(events: DataFrame, suppliers: DataFrame, mode: str = "word", keep: Keep = _same) -> DataFrame:
+def match_name(events: DataFrame, suppliers: DataFrame, mode: str = "word") -> DataFrame:
     """Events that mention a supplier's name or its first two words."""
     phrases = name_phrases(suppliers)
-    return resolve_hits(phrase_hits(events, phrases, mode, keep), phrases)
+    return resolve_hits(phrase_hits(events, phrases, mode), phrases)
 
 
 def best_order() -> list[Column]:
@@ -261,7 +277,6 @@ def match_category(
     suppliers: DataFrame,
     hits: DataFrame | None = None,
     names: DataFrame | None = None,
-    keep: Keep = _same,
 ) -> DataFrame:
     """Recalls whose text names a supplier category, or whose risk category is part of one.
 
@@ -270,7 +285,7 @@ def match_category(
     categories = category_phrases(suppliers)
     recalls = events.filter(F.lower("source_name").isin(*CATEGORY_SOURCES))
     if hits is None:
-        hits = phrase_hits(recalls, categories, keep=keep)
+        hits = phrase_hits(recalls, categories)
     else:
         hits = hits.join(categories, "phrase", "left_semi").join(
             recalls.select("external_event_id"), "external_event_id", "left_semi"
@@ -283,25 +298,25 @@ def match_category(
 
 
 def match_texts(
-    events: DataFrame, aliases: DataFrame, suppliers: DataFrame, keep: Keep = _same
+    events: DataFrame, aliases: DataFrame, suppliers: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """Alias and name matches plus category hits from one pass over the event texts."""
     phrases = alias_phrases(aliases).unionByName(name_phrases(suppliers))
     categories = category_phrases(suppliers)
-    hits = phrase_hits(events, phrases.select("phrase").unionByName(categories), keep=keep)
+    hits = phrase_hits(events, phrases.select("phrase").unionByName(categories))
     return best_matches(resolve_hits(hits, phrases)), hits
 
 
 def event_scopes(
-    events: DataFrame, suppliers: DataFrame, routes: DataFrame, hits: DataFrame | None = None, keep: Keep = _same
+    events: DataFrame, suppliers: DataFrame, routes: DataFrame, hits: DataFrame | None = None
 ) -> DataFrame:
     """All group scopes of each event."""
-    names = keep(event_names(events), "event_names")
+    names = event_names(events)
     return union_all(
         [
             _exploded(events, [_country_scope(), _fuel_scope()]),
             match_region(events, routes, names),
-            match_category(events, suppliers, hits, names, keep),
+            match_category(events, suppliers, hits, names),
         ]
     )
 

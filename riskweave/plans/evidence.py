@@ -293,7 +293,7 @@ def resolve_entity(questions: DataFrame, suppliers: DataFrame, common_df: int =
         .groupBy("sn", "confidence", "resolution_method")
         .agg(F.min("supplier_id").alias("supplier_id"))
     )
-    hits = match_phrases(q.select(F.col("question_id").alias("text_id"), F.col("qn").alias("text")), phrases.select(F.col("sn").alias("phrase")), keep)
+    hits = match_phrases(q.select(F.col("question_id").alias("text_id"), F.col("qn").alias("text")), phrases.select(F.col("sn").alias("phrase")))
     by_name = hits.join(phrases, hits.phrase == phrases.sn).select(F.col("text_id").alias("question_id"), "supplier_id", "confidence", "resolution_method")
 
     words = lambda c: F.filter(F.array_distinct(F.split(c, " ")), lambda w: w != "")
