@@ -32,7 +32,7 @@ class Scored:
         self.explained = S.explanation_log(self.scores, S.top_supplier_events(*self.m.parts, I.EVENTS_AS_OF))
 
     def top_events(self, k):
-        return top_events_per_supplier(S.recent_points(self.m.brief, I.EVENTS_AS_OF), self.m.direct, self.m.groups, self.m.members, S.event_order(), k)
+        return top_events_per_supplier(S.recent_points(self.m.links, I.EVENTS_AS_OF), self.m.classes, S.event_order(), k)
 
 
 @query("supplier_dashboard", "V01", """
@@ -88,7 +88,7 @@ SELECT supplier_id, string_agg(external_event_id || ':' || match_type, ',' ORDER
 @query("active_events", "V05", "SELECT * REPLACE (strftime(latest_external_event_date, '%Y-%m-%d') AS latest_external_event_date) FROM cx_events")
 def _(t):
     m = Matched(t)
-    top = top_events_per_supplier(S.recent_points(m.brief, I.EVENTS_AS_OF), m.direct, m.groups, m.members, S.event_order(), 10)
+    top = top_events_per_supplier(S.recent_points(m.links, I.EVENTS_AS_OF), m.classes, S.event_order(), 10)
     x = C.active_events(top, S.active_event_totals(*m.parts, I.EVENTS_AS_OF))
     text = F.array_join(F.transform("active_external_events", lambda e: F.concat_ws(":", e["external_event_id"], e["match_type"])), ",")
     return tidy(x.select("supplier_id", text.alias("events"), "active_external_event_count", "high_severity_event_count", "latest_external_event_date"))

@@ -13,7 +13,6 @@ from riskweave.catalog.shape import tidy
 from riskweave.operators import matching as M
 from riskweave.plans import inputs as I
 from riskweave.plans import scoring as S
-from riskweave.session import cut_lineage
 
 
 def plain_sql(x: str) -> str:
@@ -56,25 +55,17 @@ FROM (SELECT * FROM mt_alias UNION ALL SELECT * FROM mt_name UNION ALL SELECT *
 
 
 class Matched:
-    """Events with direct matches, groups and group members, shared by several queries.
-
-    The three narrow results are written once, as each is read several times downstream.
-    """
+    """Events with their links to suppliers, and supplier classes. Nothing runs here; branches of a
+    query share what they have in common."""
 
     def __init__(self, t):
-        self.events = I.external_events(t)
-        suppliers, routes = I.suppliers(t), cut_lineage(I.routes(t), "routes")
-        direct, hits = M.match_texts(self.events, I.aliases(t), suppliers)
-        self.direct = cut_lineage(direct, "direct")
-        # Everything but the text pass needs only the short columns, so texts are not read again.
-        brief = cut_lineage(self.events.drop("event_summary"), "events")
-        self.groups = cut_lineage(M.event_groups(M.event_scopes(brief, suppliers, routes, hits)), "event_groups")
-        self.members = cut_lineage(M.group_suppliers(self.groups, M.supplier_scopes(suppliers, routes)), "members")
-        self.routes, self.brief = routes, brief
+        suppliers, routes = I.suppliers(t), I.routes(t)
+        self.links = M.event_links(I.external_events(t), I.aliases(t), suppliers, routes)
+        self.classes = M.supplier_classes(M.supplier_scopes(suppliers, routes))
 
     @property
     def parts(self):
-        return self.brief, self.direct, self.groups, self.members
+        return self.links, self.classes
 
 
 @query("match_alias", "M28 J10", "SELECT * FROM mt_alias")
@@ -122,7 +113,7 @@ SELECT external_event_id, supplier_id, match_type, match_value, match_confidence
 FROM (SELECT * FROM mt_alias UNION ALL SELECT * FROM mt_name)) WHERE r = 1
 """)
 def _(t):
-    return M.match_texts(I.external_events(t), I.aliases(t), I.suppliers(t))[0]
+    return M.match_texts(I.external_events(t), I.aliases(t), I.suppliers(t))
 
 
 cte("mt_mart", """
@@ -139,7 +130,7 @@ def mart(t, matched=None):
     m = matched or Matched(t)
     skus = t.lineitem.select("l_suppkey", "l_partkey").distinct().groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("matched_sku_count"))
     skus = skus.select(F.concat(F.lit("SUP_"), F.col("l_suppkey").cast("string")).alias("supplier_id"), "matched_sku_count")
-    return M.event_mart(m.events, m.direct, m.groups, m.members, skus, I.evidence_documents(t))
+    return M.event_mart(m.links, m.classes, skus, I.evidence_documents(t))
 
 
 @query("event_mart", "M35", """

@@ -1,11 +1,11 @@
 """Matching of events to suppliers.
 
-Text rules never pair every event with every phrase. A phrase is looked up by its leading word
-run (or characters), which is an equi join, and only longer phrases are verified against the
-text. Rules that apply to a whole group of suppliers (country, region, category, fuel) are kept
-at group grain: events fall into groups with the same scopes, suppliers belong to scopes, and
-totals are aggregated per group before suppliers are joined. Event x supplier pairs of such
-rules are only produced where a caller asks for them with ``expand_pairs``.
+Text rules never pair every event with every phrase. A phrase is looked up by its rarest run of words
+(or characters), which is an equi join, and only longer phrases are verified against the text. Rules
+that apply to many suppliers (country, region, category, fuel) are kept at the grain of scope sets:
+events with the same scopes are a group, suppliers with the same scopes a class. Totals are aggregated
+per group and class before suppliers are joined. Event x supplier pairs of such rules are only
+produced where a caller names the events or suppliers, with ``expand_pairs``. All is lazy.
 """
 
 from __future__ import annotations
@@ -87,8 +87,9 @@ def _occurrences(texts: DataFrame, phrases: DataFrame, units: Units) -> DataFram
     hashed = lambda size: F.xxhash64(*_first(size, names))
     wanted = runs.select(hashed(run).alias("h"))
 
-    dealt = texts.select("text_id", "text").repartition("text_id")
-    normal = dealt.select("text_id", units.norm(F.col("text")).alias("_t")).filter(F.col("_t") != "")
+    # no filter on the normal text: it would be computed before the exchange, by the few tasks of the scan
+    dealt = texts.select("text_id", "text").filter("text_id IS NOT NULL").repartition("text_id")
+    normal = dealt.select("text_id", units.norm(F.col("text")).alias("_t"))
     split = normal.select("text_id", F.split("_t", units.joiner).alias("_u"))
     leads = [F.slice("_u", k, F.size("_u")) for k in range(2, run + 1)]
     places = split.select("text_id", F.inline(F.arrays_zip("_u", *leads))).toDF("text_id", *names)
@@ -237,22 +238,29 @@ def event_names(events: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _substrings(name: Column) -> Column:
+    """All substrings of a short name."""
+    length = F.length(name)
+    starts = F.sequence(F.lit(1), length)
+    return F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), length - i + 1), lambda n: F.substr(name, i, n))))
+
+
+def names_within(names: DataFrame, parts: DataFrame) -> DataFrame:
+    """(name, part): which of the distinct ``parts`` are substrings of which distinct ``names``. For
+    dictionaries of short names: every substring of a name is looked up, an equi join."""
+    known = names.select("name").filter(F.length("name") > 0).distinct()
+    looked_up = known.select("name", F.explode(F.array_distinct(_substrings(F.col("name")))).alias("part"))
+    return looked_up.join(parts.select("part").distinct(), "part").select("name", "part")
+
+
 def region_pairs(names: DataFrame, routes: DataFrame) -> DataFrame:
     """Event region names with the route regions they overlap: either text holds the other.
     Decided once per distinct pair of names, so it does not grow with events or routes."""
-    ours = routes.select(F.lower("risk_region").alias("name")).filter("name IS NOT NULL").distinct()
-    theirs = names.filter(F.col("source").isin(*REGION_SOURCES) & F.col("region").isNotNull()).select(F.col("region").alias("name")).distinct()
-
-    # One pass serves both directions: every name is text and phrase, sides are told apart after.
-    both = ours.withColumn("side", F.lit("route")).unionByName(theirs.withColumn("side", F.lit("event")))
-    hits = match_substrings(both.select(F.struct("side", "name").alias("text_id"), F.col("name").alias("text")), both.select(F.col("name").alias("phrase")))
-    hits = hits.select(F.col("text_id.side").alias("side"), F.col("text_id.name").alias("name"), "phrase")
-    in_event = hits.filter("side = 'event'").select(F.col("name").alias("_event"), F.col("phrase").alias("_route"))
-    in_route = hits.filter("side = 'route'").select(F.col("phrase").alias("_event"), F.col("name").alias("_route"))
-    pairs = in_event.unionByName(in_route).distinct()
-    return pairs.join(ours.select(F.col("name").alias("_route")), "_route", "left_semi").join(
-        theirs.select(F.col("name").alias("_event")), "_event", "left_semi"
-    )
+    ours = routes.select(F.lower("risk_region").alias("name")).distinct()
+    theirs = names.filter(F.col("source").isin(*REGION_SOURCES)).select(F.col("region").alias("name")).distinct()
+    in_event = names_within(theirs, ours.withColumnRenamed("name", "part")).toDF("_event", "_route")
+    in_route = names_within(ours, theirs.withColumnRenamed("name", "part")).toDF("_route", "_event")
+    return in_event.unionByName(in_route).distinct()
 
 
 def match_region(events: DataFrame, routes: DataFrame, names: DataFrame | None = None) -> DataFrame:
@@ -261,63 +269,68 @@ def match_region(events: DataFrame, routes: DataFrame, names: DataFrame | None =
     return _scope(hit.join(pairs, F.lower(hit.event_region) == pairs._event), "external_event_id", "region", F.col("_route"))
 
 
-def _risk_in_category(events: DataFrame, categories: DataFrame, names: DataFrame) -> DataFrame:
-    """Recalls whose risk category is part of a supplier category (distinct names only)."""
-    recalls = events.filter(F.lower("source_name").isin(*CATEGORY_SOURCES))
-    risks = names.filter(F.col("source").isin(*CATEGORY_SOURCES) & F.col("risk").isNotNull()).select(F.col("risk").alias("phrase")).distinct()
-    pairs = match_substrings(categories.select(F.col("phrase").alias("text_id"), F.col("phrase").alias("text")), risks).select(
-        F.col("phrase").alias("_risk"), F.col("text_id").alias("_category")
-    )
-    joined = recalls.join(pairs, F.lower(recalls.risk_category) == pairs._risk)
-    return _scope(joined, "external_event_id", "category", F.col("_category"))
-
+def risk_pairs(names: DataFrame, categories: DataFrame) -> DataFrame:
+    """Risk categories of recalls with the supplier categories they are part of (distinct names only)."""
+    risks = names.filter(F.col("source").isin(*CATEGORY_SOURCES)).select(F.col("risk").alias("part"))
+    return names_within(categories.withColumnRenamed("phrase", "name"), risks).toDF("_category", "_risk")
 
-def match_category(
-    events: DataFrame,
-    suppliers: DataFrame,
-    hits: DataFrame | None = None,
-    names: DataFrame | None = None,
-) -> DataFrame:
-    """Recalls whose text names a supplier category, or whose risk category is part of one.
 
-    ``hits`` may hold phrase hits of a shared text pass; they are cut to recalls and categories.
-    """
+def match_category(events: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """Recalls whose text names a supplier category, or whose risk category is part of one."""
     categories = category_phrases(suppliers)
     recalls = events.filter(F.lower("source_name").isin(*CATEGORY_SOURCES))
-    if hits is None:
-        hits = phrase_hits(recalls, categories)
-    else:
-        hits = hits.join(categories, "phrase", "left_semi").join(
-            recalls.select("external_event_id"), "external_event_id", "left_semi"
-        )
-    return (
-        _scope(hits, "external_event_id", "category", F.col("phrase"))
-        .unionByName(_risk_in_category(events, categories, names if names is not None else event_names(events)))
-        .distinct()
-    )
+    by_text = _scope(phrase_hits(recalls, categories), "external_event_id", "category", F.col("phrase"))
+    pairs = risk_pairs(event_names(events), categories)
+    by_risk = recalls.join(pairs, F.lower(recalls.risk_category) == pairs._risk)
+    return by_text.unionByName(_scope(by_risk, "external_event_id", "category", F.col("_category"))).distinct()
 
 
-def match_texts(
-    events: DataFrame, aliases: DataFrame, suppliers: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Alias and name matches plus category hits from one pass over the event texts."""
+def match_texts(events: DataFrame, aliases: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """Best alias or name match per event and supplier from one pass over the event texts."""
     phrases = alias_phrases(aliases).unionByName(name_phrases(suppliers))
-    categories = category_phrases(suppliers)
-    hits = phrase_hits(events, phrases.select("phrase").unionByName(categories))
-    return best_matches(resolve_hits(hits, phrases)), hits
+    return best_matches(resolve_hits(phrase_hits(events, phrases), phrases))
+
 
+def event_links(events: DataFrame, aliases: DataFrame, suppliers: DataFrame, routes: DataFrame) -> DataFrame:
+    """Events with all that links them to suppliers, one row each.
+
+    ``direct`` lists the suppliers named in the texts with their best match; ``scopes`` the countries,
+    regions, categories and fuel rule that apply, sorted; events with the same scopes share a
+    ``match_group_id``. Both lists are short: an event names few suppliers and has few scopes.
+    """
+    none = F.lit(None).cast("string")
+    phrases = alias_phrases(aliases).unionByName(name_phrases(suppliers)).withColumn("scope_value", none)
+    categories = category_phrases(suppliers).select(
+        "phrase", none.alias("match_type"), none.alias("supplier_id"), none.alias("match_value"), F.lit(None).cast("double").alias("match_confidence"), F.col("phrase").alias("scope_value")
+    )
+    named = phrases.unionByName(categories)
+    best = F.min(F.struct((-F.col("match_confidence")).alias("c"), "match_type", "match_value")).alias("_b")
+    found = phrase_hits(events, named).join(named, "phrase").groupBy("external_event_id", "supplier_id", "scope_value").agg(best)
+    match = F.struct("supplier_id", F.col("_b.match_type").alias("match_type"), F.col("_b.match_value").alias("match_value"), (-F.col("_b.c")).alias("match_confidence"))
+    per_event = found.groupBy("external_event_id").agg(
+        F.collect_list(F.when(F.col("supplier_id").isNotNull(), match)).alias("direct"), F.collect_set("scope_value").alias("_named")
+    )
 
-def event_scopes(
-    events: DataFrame, suppliers: DataFrame, routes: DataFrame, hits: DataFrame | None = None
-) -> DataFrame:
-    """All group scopes of each event."""
     names = event_names(events)
-    return union_all(
-        [
-            _exploded(events, [_country_scope(), _fuel_scope()]),
-            match_region(events, routes, names),
-            match_category(events, suppliers, hits, names),
-        ]
+    regions = region_pairs(names, routes).groupBy(F.col("_event").alias("_region")).agg(F.collect_set("_route").alias("_regions"))
+    risks = risk_pairs(names, category_phrases(suppliers)).groupBy("_risk").agg(F.collect_set("_category").alias("_risks"))
+    source = F.lower("source_name")
+    empty = F.array().cast("array<string>")
+    of_source = lambda kind, sources, values: F.transform(
+        F.when(source.isin(*sources), values).otherwise(empty), lambda v: _scope_struct(kind, v)
+    )
+    scopes = F.concat(
+        F.array_compact(F.array(_country_scope(), _fuel_scope())),
+        of_source("region", REGION_SOURCES, F.coalesce("_regions", empty)),
+        of_source("category", CATEGORY_SOURCES, F.array_union(F.coalesce("_named", empty), F.coalesce("_risks", empty))),
+    )
+    no_match = F.array().cast("array<struct<supplier_id:string,match_type:string,match_value:string,match_confidence:double>>")
+    return (
+        events.join(per_event, "external_event_id", "left")
+        .join(regions, F.lower("event_region") == F.col("_region"), "left")
+        .join(risks, F.lower("risk_category") == F.col("_risk"), "left")
+        .select(*[events[c] for c in events.columns], F.coalesce("direct", no_match).alias("direct"), F.array_sort(F.array_distinct(scopes)).alias("scopes"))
+        .withColumn("match_group_id", F.when(F.size("scopes") > 0, F.sha2(F.to_json("scopes"), 256)))
     )
 
 
@@ -329,142 +342,141 @@ def scope_confidence(scope_type: Column) -> Column:
     return out
 
 
-def event_groups(scopes: DataFrame) -> DataFrame:
-    """Events with the same set of scopes share a group. An event has few scopes, so the
-    collected set is small however many events there are."""
-    return (
-        scopes.groupBy("external_event_id")
-        .agg(F.array_sort(F.collect_set(F.struct("scope_type", "scope_value"))).alias("scopes"))
-        .withColumn("match_group_id", F.sha2(F.to_json("scopes"), 256))
+def best_scope(scopes: Column) -> Column:
+    """The most confident scope of a list as (negative confidence c, t, v); null for an empty one."""
+    keyed = F.transform(
+        scopes,
+        lambda s: F.struct((-scope_confidence(s["scope_type"])).alias("c"), s["scope_type"].alias("t"), s["scope_value"].alias("v")),
     )
+    return F.array_min(keyed)
 
 
-def group_suppliers(groups: DataFrame, memberships: DataFrame) -> DataFrame:
-    """Best scope of each supplier in each group. Groups are distinct scope sets, so their
-    number follows the dictionaries (countries, regions, categories), not the events."""
-    distinct = groups.groupBy("match_group_id").agg(F.first("scopes").alias("scopes"))
-    exploded = distinct.select("match_group_id", F.explode("scopes").alias("s")).select("match_group_id", "s.*")
-    rows = exploded.join(memberships, ["scope_type", "scope_value"]).select(
-        "match_group_id",
-        "supplier_id",
-        F.col("scope_type").alias("match_type"),
-        F.col("scope_value").alias("match_value"),
-        scope_confidence(F.col("scope_type")).alias("match_confidence"),
-    )
-    return top_k_per(rows, ["match_group_id", "supplier_id"], best_order(), 1)
+class Classes(NamedTuple):
+    """Suppliers that share all their scopes are one class."""
 
+    suppliers: DataFrame  # supplier_id, class_id, own (their scopes)
+    scopes: DataFrame  # class_id, class_size, own, scope_type, scope_value
 
-def direct_pairs(direct: DataFrame, groups: DataFrame, members: DataFrame) -> DataFrame:
-    """Alias and name matches, each against the scope that covers the same pair (if any).
 
-    ``covered`` tells that the pair is also counted through its group.
-    """
-    scoped = members.select(
-        "match_group_id",
-        "supplier_id",
-        F.col("match_type").alias("_t"),
-        F.col("match_value").alias("_v"),
-        F.col("match_confidence").alias("_c"),
-    )
-    joined = direct.join(groups.select("external_event_id", "match_group_id"), "external_event_id", "left").join(
-        scoped, ["match_group_id", "supplier_id"], "left"
-    )
-    scope_wins = F.coalesce(F.col("_c") > F.col("match_confidence"), F.lit(False))
-    return joined.select(
-        "external_event_id",
-        "supplier_id",
-        F.when(scope_wins, F.col("_t")).otherwise(F.col("match_type")).alias("match_type"),
-        F.when(scope_wins, F.col("_v")).otherwise(F.col("match_value")).alias("match_value"),
-        F.when(scope_wins, F.col("_c")).otherwise(F.col("match_confidence")).alias("match_confidence"),
-        F.col("_c").isNotNull().alias("covered"),
+def supplier_classes(memberships: DataFrame) -> Classes:
+    """A supplier has few scopes, so its collected set is small however many suppliers there are."""
+    signed = (
+        memberships.groupBy("supplier_id")
+        .agg(F.array_sort(F.collect_set(F.struct("scope_type", "scope_value"))).alias("own"))
+        .withColumn("class_id", F.sha2(F.to_json("own"), 256))
     )
+    sized = signed.groupBy("class_id").agg(F.first("own").alias("own"), F.count(F.lit(1)).alias("class_size"))
+    return Classes(signed.select("supplier_id", "class_id", "own"), sized.select("*", F.inline("own")))
 
 
-def expand_pairs(direct: DataFrame, groups: DataFrame, members: DataFrame) -> DataFrame:
-    """Every event x supplier pair with its best match, for a selection of events or suppliers.
+MATCH = ("match_type", "match_value", "match_confidence")
 
-    Group rules make this as large as events times group size: filter an input first.
+
+def _matched_by(best: Column) -> list[Column]:
+    return [best["t"].alias("match_type"), best["v"].alias("match_value"), (-best["c"]).alias("match_confidence")]
+
+
+def _with_classes(rows: DataFrame, keys: list[str], classes: Classes) -> DataFrame:
+    """``rows`` with ``scopes``, each with every class it shares a scope with, through the best of them.
+
+    Rows are groups, or few events of a group; groups and classes are distinct scope sets, whose number
+    follows the dictionaries (countries, regions, categories), not events or suppliers.
     """
-    through_group = groups.select("external_event_id", "match_group_id").join(members, "match_group_id").drop("match_group_id")
-    return best_matches(direct, through_group)
+    met = rows.select("*", F.inline("scopes")).join(classes.scopes, ["scope_type", "scope_value"]).drop("scope_type", "scope_value")
+    return met.dropDuplicates([*keys, "class_id"]).withColumn("_b", best_scope(F.array_intersect("scopes", "own")))
+
+
+def group_classes(links: DataFrame, classes: Classes) -> DataFrame:
+    """Which groups reach which classes, and how."""
+    groups = links.filter("match_group_id IS NOT NULL").groupBy("match_group_id").agg(F.first("scopes").alias("scopes"))
+    return _with_classes(groups, ["match_group_id"], classes).select("match_group_id", "class_id", "class_size", *_matched_by(F.col("_b")))
+
 
+def suppliers_of_groups(links: DataFrame, classes: Classes) -> DataFrame:
+    """The suppliers of each group, with the scope that reaches them."""
+    return group_classes(links, classes).join(classes.suppliers, "class_id").select("match_group_id", "supplier_id", *MATCH)
 
-def supplier_totals(
-    events: DataFrame, direct: DataFrame, groups: DataFrame, members: DataFrame, measures: dict[str, Column]
-) -> DataFrame:
+
+def direct_pairs(links: DataFrame, classes: Classes) -> DataFrame:
+    """A row per event and supplier named in its texts, with the columns of ``links``. Where a scope of
+    both is more confident than the name, the match is that scope."""
+    named = links.select(*[c for c in links.columns if c != "direct"], F.inline("direct"))
+    best = best_scope(F.array_intersect("scopes", "own"))
+    known = named.join(classes.suppliers.drop("class_id"), "supplier_id", "left").withColumn("_b", best)
+    scope_wins = F.coalesce(-F.col("_b.c") > F.col("match_confidence"), F.lit(False))
+    by_scope = _matched_by(F.col("_b"))
+    return known.withColumns({m: F.when(scope_wins, by_scope[i]).otherwise(F.col(m)) for i, m in enumerate(MATCH)}).drop("_b", "own")
+
+
+def expand_pairs(links: DataFrame, classes: Classes, events: DataFrame | None = None, suppliers: DataFrame | None = None) -> DataFrame:
+    """Event x supplier pairs with their best match, for the events (external_event_id) or the suppliers
+    (supplier_id) of a selection. Over all of both it would be as large as events times suppliers, so
+    one selection is required; it is applied before any pair is made.
+    """
+    if events is None and suppliers is None:
+        raise ValueError("name the events or the suppliers whose pairs are wanted")
+    if events is not None:
+        links = links.join(events.select("external_event_id").distinct(), "external_event_id", "left_semi")
+    direct = direct_pairs(links, classes).select("external_event_id", "supplier_id", *MATCH)
+    if suppliers is not None:
+        wanted = suppliers.select("supplier_id").distinct()
+        direct = direct.join(wanted, "supplier_id", "left_semi")
+        classes = Classes(classes.suppliers.join(wanted, "supplier_id", "left_semi"), classes.scopes)
+    through_group = links.select("external_event_id", "match_group_id").join(suppliers_of_groups(links, classes), "match_group_id")
+    return best_matches(direct, through_group.drop("match_group_id"))
+
+
+def supplier_totals(links: DataFrame, classes: Classes, measures: dict[str, Column]) -> DataFrame:
     """Sums of per-event measures over all matched events of each supplier, each pair once.
 
-    Group totals are formed before the supplier join; a direct pair adds its own values only
-    where no group covers it.
+    Events are summed to groups and groups to classes; only these totals meet the suppliers. A supplier
+    named in the texts adds an event's own values only where none of its scopes covers the event.
     """
     sums = [F.sum(F.col(m)).alias(m) for m in measures]
-    values = events.select("external_event_id", *[c.alias(m) for m, c in measures.items()])
-    per_group = (
-        groups.select("external_event_id", "match_group_id")
-        .join(values, "external_event_id")
-        .groupBy("match_group_id")
-        .agg(*sums)
-    )
-    by_group = members.select("match_group_id", "supplier_id").join(per_group, "match_group_id").drop("match_group_id")
-    uncovered = (
-        direct_pairs(direct, groups, members)
-        .filter(~F.col("covered"))
-        .select("external_event_id", "supplier_id")
-        .join(values, "external_event_id")
-        .drop("external_event_id")
-    )
-    return by_group.unionByName(uncovered).groupBy("supplier_id").agg(*sums)
-
+    #: each event once for its group (no supplier) and once for every supplier it names
+    for_whom = F.explode(F.concat(F.array(F.lit(None).cast("string")), F.transform("direct", lambda d: d["supplier_id"]))).alias("supplier_id")
+    values = links.select("match_group_id", "scopes", *[c.alias(m) for m, c in measures.items()], for_whom)
+    summed = values.groupBy("match_group_id", "supplier_id").agg(F.first("scopes").alias("scopes"), *sums)
+    groups = summed.filter("supplier_id IS NULL AND match_group_id IS NOT NULL").drop("supplier_id")
+    per_class = _with_classes(groups, ["match_group_id"], classes).groupBy("class_id").agg(*sums)
+    by_class = classes.suppliers.join(per_class, "class_id").select("supplier_id", *measures)
+    named = summed.filter("supplier_id IS NOT NULL").join(classes.suppliers.drop("class_id"), "supplier_id", "left")
+    uncovered = named.filter(~F.coalesce(F.arrays_overlap("scopes", "own"), F.lit(False))).select("supplier_id", *measures)
+    return by_class.unionByName(uncovered).groupBy("supplier_id").agg(*sums)
+
+
+def top_events_per_supplier(links: DataFrame, classes: Classes, order: list[Column], k: int) -> DataFrame:
+    """The first ``k`` matched events of each supplier, with the columns of ``links``.
+
+    Only the first ``k`` events of each group, and of those the first ``k`` of each class, can be among
+    them, so both are cut before suppliers are joined; the result equals ranking all pairs.
+    """
+    kept = [c for c in links.columns if c not in ("direct", "scopes")]
+    head = top_k_per(links.filter("match_group_id IS NOT NULL").drop("direct"), ["match_group_id"], order, k)
+    of_class = top_k_per(_with_classes(head, ["external_event_id"], classes), ["class_id"], order, k)
+    found = of_class.drop("own").join(classes.suppliers.drop("own"), "class_id").select(*kept, "supplier_id", *_matched_by(F.col("_b")))
+    pairs = found.unionByName(direct_pairs(links, classes).select(*found.columns))
+    best = top_k_per(pairs, ["external_event_id", "supplier_id"], best_order(), 1)
+    return top_k_per(best, ["supplier_id"], order, k, rank_col="event_rank")
 
-def top_events_per_supplier(
-    events: DataFrame, direct: DataFrame, groups: DataFrame, members: DataFrame, order: list[Column], k: int
-) -> DataFrame:
-    """The first ``k`` matched events of each supplier.
 
-    Only the first ``k`` events of each group can be among them, so groups are cut to ``k``
-    before suppliers are joined; the result equals ranking all pairs.
-    """
-    in_groups = groups.select("external_event_id", "match_group_id").join(events, "external_event_id")
-    head = top_k_per(in_groups, ["match_group_id"], order, k).select("external_event_id", "match_group_id")
-    from_groups = head.join(members, "match_group_id").select(
-        "external_event_id", "supplier_id", "match_type", "match_value", "match_confidence"
-    )
-    own = direct_pairs(direct, groups, members).drop("covered").join(
-        events.select("external_event_id"), "external_event_id", "left_semi"
-    )
-    pairs = best_matches(from_groups, own)
-    return top_k_per(pairs.join(events, "external_event_id"), ["supplier_id"], order, k, rank_col="event_rank")
-
-
-def event_mart(
-    events: DataFrame,
-    direct: DataFrame,
-    groups: DataFrame,
-    members: DataFrame,
-    sku_counts: DataFrame,
-    evidence: DataFrame,
-) -> DataFrame:
+def event_mart(links: DataFrame, classes: Classes, sku_counts: DataFrame, evidence: DataFrame) -> DataFrame:
     """Events with their matches; unmatched events stay.
 
     One row per directly matched supplier, else one row for the event. ``match_group_id`` and
     ``group_supplier_count`` describe the suppliers reached through country, region, category
     or fuel. Points are given only to matched events.
     """
-    group_size = members.groupBy("match_group_id").agg(F.count(F.lit(1)).alias("group_supplier_count"))
-    best_scope = members.groupBy("match_group_id").agg(
+    reached = group_classes(links, classes).groupBy("match_group_id").agg(
+        F.sum("class_size").alias("group_supplier_count"),
         F.max_by("match_type", F.struct("match_confidence", "match_type", "match_value")).alias("_gt"),
         F.max("match_confidence").alias("_gc"),
     )
-    sized = (
-        groups.select("external_event_id", "match_group_id")
-        .join(group_size, "match_group_id")
-        .join(best_scope, "match_group_id")
-    )
-    pairs = direct_pairs(direct, groups, members).drop("covered")
-    matched = F.col("supplier_id").isNotNull() | F.col("match_group_id").isNotNull()
+    nobody = links.filter(F.size("direct") == 0).drop("direct")
+    pairs = direct_pairs(links, classes).unionByName(nobody, allowMissingColumns=True)
+    matched = F.col("supplier_id").isNotNull() | F.col("group_supplier_count").isNotNull()
     joined = (
-        events.join(pairs, "external_event_id", "left")
-        .join(sized, "external_event_id", "left")
+        pairs.join(reached, "match_group_id", "left")
         .join(sku_counts, "supplier_id", "left")
         .join(
             evidence.select(
@@ -494,7 +506,7 @@ def event_mart(
         F.coalesce("match_type", "_gt", F.lit("none")).alias("match_type"),
         "match_value",
         F.coalesce("match_confidence", "_gc").alias("match_confidence"),
-        "match_group_id",
+        F.when(F.col("group_supplier_count").isNotNull(), F.col("match_group_id")).alias("match_group_id"),
         F.coalesce("group_supplier_count", F.lit(0)).alias("group_supplier_count"),
         F.coalesce("matched_sku_count", F.lit(0)).alias("matched_sku_count"),
         F.when(matched, severity_points(F.col("severity"))).alias("score_contribution"),

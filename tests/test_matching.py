@@ -94,20 +94,18 @@ def brute(events, sup, routes, aliases):
 
 def parts(world):
     events, sup, routes, aliases = world[0]
-    direct, hits = M.match_texts(events, aliases, sup)
-    groups = M.event_groups(M.event_scopes(events, sup, routes, hits))
-    return events, direct, groups, M.group_suppliers(groups, M.supplier_scopes(sup, routes))
+    return M.event_links(events, aliases, sup, routes), M.supplier_classes(M.supplier_scopes(sup, routes))
 
 
 def test_expanded_pairs_equal_brute_force(world):
-    events, direct, groups, members = parts(world)
-    got = {(r.external_event_id, r.supplier_id): (r.match_type, r.match_value, r.match_confidence) for r in M.expand_pairs(direct, groups, members).collect()}
+    links, classes = parts(world)
+    got = {(r.external_event_id, r.supplier_id): (r.match_type, r.match_value, r.match_confidence) for r in M.expand_pairs(links, classes, events=links).collect()}
     assert got == world[1]
 
 
 def test_supplier_totals_count_each_pair_once(world):
-    events, direct, groups, members = parts(world)
-    got = {r.supplier_id: r.n for r in M.supplier_totals(events, direct, groups, members, {"n": F.lit(1)}).collect()}
+    links, classes = parts(world)
+    got = {r.supplier_id: r.n for r in M.supplier_totals(links, classes, {"n": F.lit(1)}).collect()}
     want = {}
     for _, s in world[1]:
         want[s] = want.get(s, 0) + 1
@@ -115,9 +113,9 @@ def test_supplier_totals_count_each_pair_once(world):
 
 
 def test_top_events_equal_brute_force(world):
-    events, direct, groups, members = parts(world)
-    scored = S.recent_points(events, "2024-01-30")
-    top = M.top_events_per_supplier(scored, direct, groups, members, S.event_order(), 3)
+    links, classes = parts(world)
+    scored = S.recent_points(links, "2024-01-30")
+    top = M.top_events_per_supplier(scored, classes, S.event_order(), 3)
     got = {}
     for r in top.orderBy("supplier_id", "event_rank").collect():
         got.setdefault(r.supplier_id, []).append((r.external_event_id, r.match_type))
@@ -130,11 +128,11 @@ def test_top_events_equal_brute_force(world):
 
 
 def test_event_mart_keeps_unmatched_events(spark, world):
-    events, direct, groups, members = parts(world)
-    full = events.withColumns({c: F.lit(None).cast("string") for c in ("event_type", "source_url", "language", "event_timestamp", "api_run_id", "source_payload_hash")})
+    links, classes = parts(world)
+    full = links.withColumns({c: F.lit(None).cast("string") for c in ("event_type", "source_url", "language", "event_timestamp", "api_run_id", "source_payload_hash")})
     skus = spark.createDataFrame([("S1", 4)], "supplier_id string, matched_sku_count int")
     evidence = spark.createDataFrame([], "api_run_id string, payload_hash string, evidence_document_id string")
-    mart = M.event_mart(full, direct, groups, members, skus, evidence)
+    mart = M.event_mart(full, classes, skus, evidence)
     matched = {e for e, _ in world[1]}
     got = {r.external_event_id: r for r in mart.collect()}
     assert set(got) == {e[0] for e in world[2]}
