@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskweave.catalog import scoring as CS
-from riskweave.catalog.matching import Matched, mart
+from riskweave.catalog.matching import Matched
 from riskweave.catalog.registry import cte, query
 from riskweave.catalog.shape import tidy
 from riskweave.operators.maintenance import upsert
+from riskweave.operators.matching import events_with_suppliers
 from riskweave.plans import alerts as A
 from riskweave.plans import inputs as I
 from riskweave.session import cut_lineage
@@ -71,9 +72,9 @@ SELECT 'supplier_risk' AS alert_type, 'supplier_risk' AS risk_category, 'high' A
 FROM sc_labelled WHERE overall_risk_score >= 40
 """)
 cte("al_event", """
-SELECT 'external_event' AS alert_type, risk_category, severity, CASE severity WHEN 'critical' THEN 4 ELSE 3 END AS severity_rank, matched_supplier_id AS supplier_id, NULL::VARCHAR AS sku_id, CASE severity WHEN 'critical' THEN 4.0 ELSE 3.0 END AS trigger_metric_value,
-  'Event: ' || event_title AS alert_title, concat_ws('|', 'external_event', external_event_id, matched_supplier_id) AS dedupe_key
-FROM mt_mart WHERE severity IN ('critical', 'high')
+SELECT 'external_event' AS alert_type, risk_category, severity, CASE severity WHEN 'critical' THEN 4 ELSE 3 END AS severity_rank, supplier_id, NULL::VARCHAR AS sku_id, CASE severity WHEN 'critical' THEN 4.0 ELSE 3.0 END AS trigger_metric_value,
+  'Event: ' || event_title AS alert_title, concat_ws('|', 'external_event', external_event_id, supplier_id) AS dedupe_key
+FROM fx_external_events LEFT JOIN mt_best USING (external_event_id) WHERE severity IN ('critical', 'high')
 """)
 cte("al_all", """
 SELECT *, 'alert_' || substr(sha256(dedupe_key), 1, 24) AS alert_id FROM (SELECT * FROM al_sku UNION ALL SELECT * FROM al_supplier UNION ALL SELECT * FROM al_event)
@@ -98,9 +99,15 @@ def _(t):
     return tidy(A.threshold_alerts(CS.S.label_scores(CS.composite(t)), SUPPLIER_40, I.EVENTS_AS_OF, RUN).select(SHOWN))
 
 
+def alert_events(t, matched=None):
+    """Severe events with every supplier they match, by name or by scope."""
+    m = matched or Matched(t)
+    return events_with_suppliers(m.links.filter(F.col("severity").isin("critical", "high")), m.classes)
+
+
 @query("event_alerts", "L05 L07", _shown("al_event"))
 def _(t):
-    return tidy(A.event_alerts(mart(t), I.EVENTS_AS_OF, RUN).select(SHOWN))
+    return tidy(A.event_alerts(alert_events(t), I.EVENTS_AS_OF, RUN).select(SHOWN))
 
 
 @query("health_alerts", "L06", """
@@ -119,7 +126,7 @@ def generated(t):
     return [
         A.threshold_alerts(sku, A.SKU_ALERTS, I.EVENTS_AS_OF, RUN),
         A.threshold_alerts(sup, SUPPLIER_40, I.EVENTS_AS_OF, RUN),
-        A.event_alerts(mart(t, matched), I.EVENTS_AS_OF, RUN),
+        A.event_alerts(alert_events(t, matched), I.EVENTS_AS_OF, RUN),
     ]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskweave.catalog import alerts as CA
 from riskweave.catalog import scoring as CS
 from riskweave.catalog import silver as SV
-from riskweave.catalog.matching import Matched, mart
+from riskweave.catalog.matching import Matched
 from riskweave.catalog.registry import cte, query
 from riskweave.catalog.shape import tidy
 from riskweave.operators.matching import top_events_per_supplier
@@ -114,7 +114,7 @@ def snapshot(t):
         [
             A.threshold_alerts(sku, A.SKU_ALERTS, I.EVENTS_AS_OF, CA.RUN),
             A.threshold_alerts(x.scores, CA.SUPPLIER_40, I.EVENTS_AS_OF, CA.RUN),
-            A.event_alerts(mart(t, x.m), I.EVENTS_AS_OF, CA.RUN),
+            A.event_alerts(CA.alert_events(t, x.m), I.EVENTS_AS_OF, CA.RUN),
         ],
     )
     return x, C.context_snapshot(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskweave.catalog.registry import cte, query
 from riskweave.catalog.shape import tidy
+from riskweave.functions.risk import severity_points
 from riskweave.operators import matching as M
 from riskweave.plans import inputs as I
 from riskweave.plans import scoring as S
@@ -175,3 +176,26 @@ def _(t):
     return tidy(
         top.select("supplier_id", F.array_join("top_events_list", "\n").alias("top_events"), F.array_join("evidence_ids", ",").alias("evidence_ids"), "evidence_count")
     )
+
+
+cte("mt_worst_events", "SELECT external_event_id FROM fx_external_events ORDER BY points DESC, event_date DESC, external_event_id LIMIT 20")
+
+
+@query("event_suppliers", "M35 M34", "SELECT external_event_id, supplier_id, match_type, match_value, match_confidence FROM mt_best WHERE external_event_id IN (SELECT external_event_id FROM mt_worst_events)")
+def _(t):
+    """All suppliers of the 20 worst events, named or reached through a scope."""
+    m = Matched(t)
+    ranked = m.links.withColumn("points", severity_points(F.col("severity"))).orderBy(F.desc("points"), F.desc("event_date"), "external_event_id")
+    rows = M.events_with_suppliers(ranked.limit(20), m.classes).filter("supplier_id IS NOT NULL")
+    return tidy(rows.select("external_event_id", "supplier_id", *M.MATCH))
+
+
+@query("supplier_events", "M35 M34", """
+SELECT external_event_id, supplier_id, match_type, match_value, match_confidence FROM mt_best
+WHERE supplier_id IN (SELECT supplier_id FROM fx_suppliers ORDER BY annual_spend DESC, supplier_id LIMIT 5)
+""")
+def _(t):
+    """All events of the five suppliers with the largest spend."""
+    m = Matched(t)
+    largest = I.suppliers(t).orderBy(F.desc("annual_spend"), "supplier_id").limit(5)
+    return tidy(M.expand_pairs(m.links, m.classes, suppliers=largest))

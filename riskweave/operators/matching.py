@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.risk import severity_points
@@ -397,10 +397,11 @@ def suppliers_of_groups(links: DataFrame, classes: Classes) -> DataFrame:
     return group_classes(links, classes).join(classes.suppliers, "class_id").select("match_group_id", "supplier_id", *MATCH)
 
 
-def direct_pairs(links: DataFrame, classes: Classes) -> DataFrame:
-    """A row per event and supplier named in its texts, with the columns of ``links``. Where a scope of
-    both is more confident than the name, the match is that scope."""
-    named = links.select(*[c for c in links.columns if c != "direct"], F.inline("direct"))
+def direct_pairs(links: DataFrame, classes: Classes, outer: bool = False) -> DataFrame:
+    """A row per event and supplier named in its texts, with the columns of ``links``; with ``outer`` also
+    one row without supplier per event that names none. Where a scope of both is more confident than
+    the name, the match is that scope."""
+    named = links.select(*[c for c in links.columns if c != "direct"], (F.inline_outer if outer else F.inline)("direct"))
     best = best_scope(F.array_intersect("scopes", "own"))
     known = named.join(classes.suppliers.drop("class_id"), "supplier_id", "left").withColumn("_b", best)
     scope_wins = F.coalesce(-F.col("_b.c") > F.col("match_confidence"), F.lit(False))
@@ -426,6 +427,19 @@ def expand_pairs(links: DataFrame, classes: Classes, events: DataFrame | None =
     return best_matches(direct, through_group.drop("match_group_id"))
 
 
+def events_with_suppliers(chosen: DataFrame, classes: Classes) -> DataFrame:
+    """A row per event of ``chosen``, rows of the links, and supplier it matches directly or by scope,
+    with the best match; an event without any supplier keeps one row. As large as the pairs of the
+    chosen events, so choose first, as by severity."""
+    direct = direct_pairs(chosen, classes, outer=True).drop("scopes")
+    by_scope = _with_classes(chosen.drop("direct"), ["external_event_id"], classes).drop("own", "scopes")
+    through = by_scope.join(classes.suppliers.drop("own"), "class_id").select("*", *_matched_by(F.col("_b")))
+    pairs = direct.unionByName(through.select(*direct.columns))
+    best = top_k_per(pairs, ["external_event_id", "supplier_id"], best_order(), 1)
+    matched = F.max(F.col("supplier_id").isNotNull()).over(Window.partitionBy("external_event_id"))
+    return best.withColumn("_m", matched).filter("supplier_id IS NOT NULL OR NOT _m").drop("_m")
+
+
 def supplier_totals(links: DataFrame, classes: Classes, measures: dict[str, Column]) -> DataFrame:
     """Sums of per-event measures over all matched events of each supplier, each pair once.
 
@@ -472,8 +486,7 @@ def event_mart(links: DataFrame, classes: Classes, sku_counts: DataFrame, eviden
         F.max_by("match_type", F.struct("match_confidence", "match_type", "match_value")).alias("_gt"),
         F.max("match_confidence").alias("_gc"),
     )
-    nobody = links.filter(F.size("direct") == 0).drop("direct")
-    pairs = direct_pairs(links, classes).unionByName(nobody, allowMissingColumns=True)
+    pairs = direct_pairs(links, classes, outer=True)
     matched = F.col("supplier_id").isNotNull() | F.col("group_supplier_count").isNotNull()
     joined = (
         pairs.join(reached, "match_group_id", "left")
