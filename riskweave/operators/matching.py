@@ -386,6 +386,38 @@ def _with_classes(rows: DataFrame, keys: list[str], classes: Classes) -> DataFra
     return met.dropDuplicates([*keys, "class_id"]).withColumn("_b", best_scope(F.array_intersect("scopes", "own")))
 
 
+#: Kind of the scope that stands for a supplier named in a text.
+NAMED = "named"
+
+
+def _reached(rows: DataFrame, keys: list[str], classes: Classes) -> DataFrame:
+    """``rows`` with who they reach: ``who`` is a class, by a shared scope, or the supplier ``named``.
+
+    Both ways go through one join, so that ``rows``, the costly side, stand in the plan once. ``_b`` is
+    the best scope that the row and the class or supplier share, null if there is none.
+    """
+    of_name = F.array(_scope_struct(NAMED, F.col("named")))
+    asked = rows.select("*", F.inline(F.when(F.col("named").isNull(), F.col("scopes")).otherwise(of_name)))
+    shared = classes.scopes.select("scope_type", "scope_value", F.col("class_id").alias("who"), "own")
+    single = classes.suppliers.select(F.lit(NAMED).alias("scope_type"), F.col("supplier_id").alias("scope_value"), F.col("supplier_id").alias("who"), "own")
+    known = shared.unionByName(single)
+    met = asked.join(known, ["scope_type", "scope_value"], "left").withColumn("who", F.coalesce("who", "named"))
+    once = met.filter("who IS NOT NULL").drop("scope_type", "scope_value").dropDuplicates([*keys, "who"])
+    return once.withColumn("_b", best_scope(F.array_intersect("scopes", "own"))).drop("own")
+
+
+def _members(classes: Classes) -> DataFrame:
+    """Suppliers of each class, and every supplier of itself."""
+    own = classes.suppliers.select(F.col("supplier_id").alias("who"), "supplier_id")
+    return classes.suppliers.select(F.col("class_id").alias("who"), "supplier_id").unionByName(own)
+
+
+def _to_suppliers(reached: DataFrame, classes: Classes) -> DataFrame:
+    """``supplier_id`` in place of ``who``; a supplier without any scope is in no class and keeps its name."""
+    joined = reached.join(_members(classes), "who", "left")
+    return joined.withColumn("supplier_id", F.coalesce("supplier_id", "named")).drop("who", "named").filter("supplier_id IS NOT NULL")
+
+
 def group_classes(links: DataFrame, classes: Classes) -> DataFrame:
     """Which groups reach which classes, and how."""
     groups = links.filter("match_group_id IS NOT NULL").groupBy("match_group_id").agg(F.first("scopes").alias("scopes"))
@@ -427,6 +459,20 @@ def expand_pairs(links: DataFrame, classes: Classes, events: DataFrame | None =
     return best_matches(direct, through_group.drop("match_group_id"))
 
 
+def _each_way(links: DataFrame) -> DataFrame:
+    """Every event once for its scopes, where ``named`` is null, and once for each supplier it names."""
+    nobody = F.lit(None).cast("struct<supplier_id:string,match_type:string,match_value:string,match_confidence:double>")
+    ways = F.explode(F.concat(F.array(nobody), "direct")).alias("_d")
+    return links.select(*[c for c in links.columns if c != "direct"], ways).select("*", F.col("_d.supplier_id").alias("named"))
+
+
+def _match_of(rows: DataFrame) -> DataFrame:
+    """The match columns from the named match ``_d`` or, where it is more confident, the shared scope."""
+    name, scope = [F.col(f"_d.{m}") for m in MATCH], _matched_by(F.col("_b"))
+    scope_wins = F.col("named").isNull() | F.coalesce(-F.col("_b.c") > name[2], F.lit(False))
+    return rows.withColumns({m: F.when(scope_wins, scope[i]).otherwise(name[i]) for i, m in enumerate(MATCH)}).drop("_d", "_b")
+
+
 def events_with_suppliers(chosen: DataFrame, classes: Classes) -> DataFrame:
     """A row per event of ``chosen``, rows of the links, and supplier it matches directly or by scope,
     with the best match; an event without any supplier keeps one row. As large as the pairs of the
@@ -447,29 +493,23 @@ def supplier_totals(links: DataFrame, classes: Classes, measures: dict[str, Colu
     named in the texts adds an event's own values only where none of its scopes covers the event.
     """
     sums = [F.sum(F.col(m)).alias(m) for m in measures]
-    #: each event once for its group (no supplier) and once for every supplier it names
-    for_whom = F.explode(F.concat(F.array(F.lit(None).cast("string")), F.transform("direct", lambda d: d["supplier_id"]))).alias("supplier_id")
-    values = links.select("match_group_id", "scopes", *[c.alias(m) for m, c in measures.items()], for_whom)
-    summed = values.groupBy("match_group_id", "supplier_id").agg(F.first("scopes").alias("scopes"), *sums)
-    groups = summed.filter("supplier_id IS NULL AND match_group_id IS NOT NULL").drop("supplier_id")
-    per_class = _with_classes(groups, ["match_group_id"], classes).groupBy("class_id").agg(*sums)
-    by_class = classes.suppliers.join(per_class, "class_id").select("supplier_id", *measures)
-    named = summed.filter("supplier_id IS NOT NULL").join(classes.suppliers.drop("class_id"), "supplier_id", "left")
-    uncovered = named.filter(~F.coalesce(F.arrays_overlap("scopes", "own"), F.lit(False))).select("supplier_id", *measures)
-    return by_class.unionByName(uncovered).groupBy("supplier_id").agg(*sums)
+    values = _each_way(links).select("match_group_id", "scopes", "named", *[c.alias(m) for m, c in measures.items()])
+    summed = values.groupBy("match_group_id", "named").agg(F.first("scopes").alias("scopes"), *sums)
+    reached = _reached(summed, ["match_group_id", "named"], classes)
+    counted = reached.filter("named IS NULL OR _b IS NULL").groupBy("who", "named").agg(*sums)
+    return _to_suppliers(counted, classes).groupBy("supplier_id").agg(*sums)
 
 
 def top_events_per_supplier(links: DataFrame, classes: Classes, order: list[Column], k: int) -> DataFrame:
     """The first ``k`` matched events of each supplier, with the columns of ``links``.
 
     Only the first ``k`` events of each group, and of those the first ``k`` of each class, can be among
-    them, so both are cut before suppliers are joined; the result equals ranking all pairs.
+    them, as can only the first ``k`` that name a supplier; all are cut before suppliers are joined. The
+    result equals ranking all pairs.
     """
-    kept = [c for c in links.columns if c not in ("direct", "scopes")]
-    head = top_k_per(links.filter("match_group_id IS NOT NULL").drop("direct"), ["match_group_id"], order, k)
-    of_class = top_k_per(_with_classes(head, ["external_event_id"], classes), ["class_id"], order, k)
-    found = of_class.drop("own").join(classes.suppliers.drop("own"), "class_id").select(*kept, "supplier_id", *_matched_by(F.col("_b")))
-    pairs = found.unionByName(direct_pairs(links, classes).select(*found.columns))
+    heads = top_k_per(_each_way(links), ["match_group_id", "named"], order, k)
+    reached = top_k_per(_reached(heads, ["external_event_id", "named"], classes), ["who", "named"], order, k)
+    pairs = _to_suppliers(_match_of(reached).drop("scopes"), classes)
     best = top_k_per(pairs, ["external_event_id", "supplier_id"], best_order(), 1)
     return top_k_per(best, ["supplier_id"], order, k, rank_col="event_rank")
 
