@@ -7,16 +7,14 @@ let a row through that has no key, the more the more keys there are, and never s
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONGS = 1 << 16
 
 
-def may_hold(keys: DataFrame, *tested: Column) -> Column:
-    """Whether any of ``tested`` may be among the keys in the only column of ``keys``; all are longs."""
+def may_hold(keys: DataFrame, key: Column) -> Column:
+    """Whether ``key`` may be among those in the only column of ``keys``; all are longs."""
     bits = LONGS * 64
     at = F.pmod(F.col(keys.columns[0]), F.lit(bits))
     held = (
@@ -26,9 +24,5 @@ def may_hold(keys: DataFrame, *tested: Column) -> Column:
     )
     every = keys.sparkSession.range(LONGS).join(held, "id", "left").select(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits")).alias("s"))
     table = every.agg(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["bits"]).alias("held")).scalar()
-
-    def test(key: Column) -> Column:
-        own = F.pmod(key, F.lit(bits))
-        return F.getbit(F.get(table, F.shiftright(own, 6).cast("int")), (own % 64).cast("int")) == 1
-
-    return reduce(lambda a, b: a | b, map(test, tested))
+    own = F.pmod(key, F.lit(bits))
+    return F.getbit(F.get(table, F.shiftright(own, 6).cast("int")), (own % 64).cast("int")) == 1

@@ -11,6 +11,7 @@ produced where a caller names the events or suppliers, with ``expand_pairs``. Al
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,11 +63,6 @@ def _names(size: int) -> list[str]:
     return [f"_u{k}" for k in range(1, size + 1)]
 
 
-def _first(size: int, names: list[str]) -> list[Column]:
-    """The first ``size`` units of a run, null from there on, so that a shorter run hashes as itself."""
-    return [F.col(c) if k < size else F.lit(None).cast("string") for k, c in enumerate(names)]
-
-
 def _occurrences(texts: DataFrame, phrases: DataFrame, units: Units) -> DataFrame:
     """A phrase of at most ``units.run`` units is its own key and needs no more than the equi join. A
     longer one is keyed by that of its runs which stands in the fewest places of the texts, and is then
@@ -84,8 +80,7 @@ def _occurrences(texts: DataFrame, phrases: DataFrame, units: Units) -> DataFram
         F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("_more"))), lambda i: F.struct(*[F.get("_u", i + k).alias(c) for k, c in enumerate(names)])
     )
     runs = parts.select("phrase", "_n", "_more", F.inline(F.array_distinct(starts)))  # a short phrase has one
-    hashed = lambda size: F.xxhash64(*_first(size, names))
-    wanted = runs.select(hashed(run).alias("h"))
+    wanted = runs.select(F.xxhash64(*names).alias("h"))
 
     # no filter on the normal text: it would be computed before the exchange, by the few tasks of the scan
     dealt = texts.select("text_id", "text").filter("text_id IS NOT NULL").repartition("text_id")
@@ -93,12 +88,12 @@ def _occurrences(texts: DataFrame, phrases: DataFrame, units: Units) -> DataFram
     split = normal.select("text_id", F.split("_t", units.joiner).alias("_u"))
     leads = [F.slice("_u", k, F.size("_u")) for k in range(2, run + 1)]
     places = split.select("text_id", F.inline(F.arrays_zip("_u", *leads))).toDF("text_id", *names)
-    sizes = range(1, run + 1)
-    real = F.col("_size") <= F.size(F.array_compact(F.array(*names)))
-    met = places.filter(may_hold(wanted, *[hashed(k) for k in sizes]))
-    met = met.select("text_id", *names, F.explode(F.lit(list(sizes))).alias("_size")).filter(real)
-    cut = [F.when(F.col("_size") >= k, F.col(c)) for k, c in enumerate(names, 1)]
-    hits = met.select("text_id", F.concat_ws(units.joiner, *cut).alias("_key"), "_size")
+    sized = places.select("text_id", *names, F.explode(F.array(*[F.lit(k) for k in range(1, run + 1)])).alias("_size"))
+    # units beyond the size are null, which leaves a hash as it is, so a shorter run hashes as itself
+    cut = [F.when(F.col("_size") >= k, F.col(c)).alias(c) for k, c in enumerate(names, 1)]
+    real = reduce(lambda a, b: a & b, [(F.col("_size") < k) | F.col(c).isNotNull() for k, c in enumerate(names, 1)])
+    met = sized.filter(real).select("text_id", "_size", *cut).filter(may_hold(wanted, F.xxhash64(*names)))
+    hits = met.select("text_id", as_key.alias("_key"), "_size")
 
     seen = hits.filter(F.col("_size") == run).groupBy("_key").agg(F.count(F.lit(1)).alias("_seen"))
     longer = runs.filter("_more > 0").select("phrase", "_n", as_key.alias("_key")).join(seen, "_key", "left")
