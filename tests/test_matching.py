@@ -139,3 +139,39 @@ def test_event_mart_keeps_unmatched_events(spark, world):
     assert {e for e, r in got.items() if r.score_contribution is not None} == matched
     assert all(r.match_type == "none" for e, r in got.items() if e not in matched)
     assert rows(M.match_summary(mart))
+
+
+def test_thousands_of_phrases_that_start_alike(spark):
+    phrases = [f"the north steel ring number {i} of port" for i in range(3_000)] + ["the north steel"]
+    texts = [(i, f"we saw the north steel ring number {i * 7} of port today, the north steel ring") for i in range(300)]
+    got = M.match_phrases(spark.createDataFrame(texts, "text_id int, text string"), spark.createDataFrame([(p,) for p in phrases], "phrase string"))
+    want = {(i, f"the north steel ring number {i * 7} of port") for i in range(300)} | {(i, "the north steel") for i in range(300)}
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_names_within(spark):
+    names = spark.createDataFrame([("asia coast",), ("asia",), ("",), (None,)], "name string")
+    parts = spark.createDataFrame([("asia",), ("coast",), ("x",), (None,)], "part string")
+    assert {tuple(r) for r in M.names_within(names, parts).collect()} == {("asia coast", "asia"), ("asia coast", "coast"), ("asia", "asia")}
+
+
+def test_pairs_need_a_selection(world):
+    with pytest.raises(ValueError):
+        M.expand_pairs(*parts(world))
+
+
+def test_nothing_runs_while_plans_are_built(spark, world):
+    spark.sparkContext.setJobGroup("building", "building")
+    links, classes = parts(world)
+    S.event_scores(links, classes, "2024-01-30")
+    S.top_supplier_events(links, classes, "2024-01-30")
+    M.events_with_suppliers(links, classes)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+
+
+def test_events_with_suppliers_equal_brute_force(world):
+    links, classes = parts(world)
+    got = {(r.external_event_id, r.supplier_id): (r.match_type, r.match_value, r.match_confidence) for r in M.events_with_suppliers(links, classes).collect()}
+    alone = {e[0] for e in world[2]} - {e for e, _ in world[1]}
+    assert {k: v for k, v in got.items() if k[1] is not None} == world[1]
+    assert {e for e, s in got if s is None} == alone
