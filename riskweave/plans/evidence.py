@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskweave.functions.cleaning import first_existing, record_id
 from riskweave.functions.predicates import within_last
 from riskweave.functions.risk import freshness, lookup
 from riskweave.functions.text import clean_evidence_text, collapse, question_text
-from riskweave.functions.vectors import cosine_batch
 from riskweave.operators.matching import match_phrases
+from riskweave.operators.nearest import HELD, best_pairs, codes
 from riskweave.operators.relational import top_k_per, union_all
 
 # Chunk limits and retrieval weights.
@@ -155,103 +159,124 @@ def retrieval_index(embedded: DataFrame, as_of: str) -> DataFrame:
     ).drop("embedding")
 
 
-def _scoped(queries: DataFrame, index: DataFrame) -> DataFrame:
-    """Queries against the chunks of their supplier and those without a supplier.
+_TEXT_LAST = ("chunk_text", "source_url", "evidence_doc_id")
 
-    Each query carries both partition values, so this is an equi join; the unmatched partition
-    may be large and is split by AQE or joined to a broadcast of the queries when those are
-    small.
-    """
-    q = queries.withColumn("_scope", F.explode(F.array(F.col("supplier_id"), F.lit(UNMATCHED)))).withColumnsRenamed(
-        {"supplier_id": "query_supplier_id", "sku_id": "query_sku_id", "risk_category": "query_category"}
-    )
-    i = index.withColumn("_scope", F.coalesce("supplier_id", F.lit(UNMATCHED)))
-    return q.join(i, "_scope").drop("_scope")
 
+def _with_texts(ranked: DataFrame, index: DataFrame) -> DataFrame:
+    """Texts are fetched for the winners only."""
+    return ranked.join(index.select("chunk_id", *[c for c in _TEXT_LAST if c in index.columns]), "chunk_id")
 
-def _with_vectors(pairs: DataFrame) -> DataFrame:
-    """Pairs that can be compared. A condition around a Python function would not keep NULL vectors
-    out of its batches, so they are filtered before."""
-    return pairs.filter(F.col("query_embedding").isNotNull() & F.col("embedding").isNotNull())
 
+def _fresh() -> Column:
+    return F.coalesce(F.col("freshness_weight").cast("double"), F.lit(DEFAULT_FRESHNESS))
 
-def _cosine() -> Column:
-    return cosine_batch("query_embedding", "embedding")
 
+def _filters_hold(asked: pa.StructArray, about: pa.StructArray) -> np.ndarray:
+    """Which chunks (columns) pass all filters of which queries (rows); NULL filters are off."""
+    sku, of_sku = codes(asked.field("sku_id"), about.field("sku_id"))
+    ok = (sku == -1)[:, None] | (of_sku == -1) | (sku[:, None] == of_sku)
+    category, of_category = codes(asked.field("risk_category"), about.field("risk_category"))
+    ok &= (category == -1)[:, None] | (category[:, None] == of_category)
+    since, day = (x.cast(pa.int32()) for x in (asked.field("since"), about.field("event_date")))
+    late = day.fill_null(np.iinfo(np.int32).min).to_numpy() >= since.fill_null(0).to_numpy()[:, None]
+    ok &= since.is_null().to_numpy(zero_copy_only=False)[:, None] | (late & day.is_valid().to_numpy(zero_copy_only=False))
+    lists = asked.field("severities")
+    wanted, have = codes(lists.flatten(), about.field("severity"))
+    allowed = np.zeros((len(lists), max(wanted.max(initial=-1), have.max(initial=-1)) + 2), bool)
+    allowed[pc.list_parent_indices(lists).to_numpy(), wanted] = True
+    allowed[:, -1] = False  # NULL is in no list
+    return ok & (lists.is_null().to_numpy(zero_copy_only=False)[:, None] | allowed[:, have])
 
-_TEXT_LAST = ("chunk_text", "source_url", "evidence_doc_id")
 
+def _retrieval(mode: str):
+    def judge(asked: pa.StructArray, about: pa.StructArray, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        fresh = about.field("freshness_weight").to_numpy()
+        score = cosine * (1 + FRESHNESS_BOOST * fresh) if mode == "boost" else BLEND[0] * cosine + BLEND[1] * fresh
+        return score, _filters_hold(asked, about)
 
-def _top(scored: DataFrame, index: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """Rank narrow rows, then fetch the texts of the winners only."""
-    head = top_k_per(scored, ["query_id"], order, k, rank_col="evidence_rank")
-    texts = index.select("chunk_id", *[c for c in _TEXT_LAST if c in index.columns])
-    return head.join(texts, "chunk_id")
+    return judge
 
 
-def retrieve(queries: DataFrame, index: DataFrame, as_of: str, k: int, mode: str = "boost") -> DataFrame:
+def retrieve(queries: DataFrame, index: DataFrame, as_of: str, k: int, mode: str = "boost", salts: int | None = None, held: int = HELD) -> DataFrame:
     """Best ``k`` chunks per query.
 
     ``queries``: query_id, supplier_id, sku_id, risk_category, window_days, severities,
-    query_embedding (NULL filters are off). A query with no chunk under all its filters is
-    widened to its supplier scope. ``mode`` 'boost' scores cosine x (1 + 0.15 x freshness),
-    'blend' 0.85 x cosine + 0.15 x freshness.
+    query_embedding (NULL filters are off). A query sees the chunks of its supplier and those without
+    one; with no chunk under all its filters it is widened to all of these. ``mode`` 'boost' scores
+    cosine x (1 + 0.15 x freshness), 'blend' 0.85 x cosine + 0.15 x freshness. Ties go to the smaller
+    chunk id. Chunks and queries without a whole vector are not ranked, but such a chunk under all
+    filters keeps its query from being widened.
+
+    Scores come from block products (``operators.nearest``), so the index is read once for these and
+    once for the texts of the winners.
     """
-    narrow = index.drop(*_TEXT_LAST)
-    open_or = lambda on, test: F.coalesce(~on | test, F.lit(False))
-    strict = (
-        open_or(F.col("query_sku_id").isNotNull(), F.col("sku_id").isNull() | (F.col("sku_id") == F.col("query_sku_id")))
-        & open_or(F.col("query_category").isNotNull(), F.col("risk_category") == F.col("query_category"))
-        & open_or(F.col("window_days") > 0, F.col("event_date") >= F.date_sub(F.lit(as_of).cast("date"), F.col("window_days")))
-        & open_or(F.col("severities").isNotNull(), F.array_contains(F.col("severities"), F.col("severity")))
+    if mode not in ("boost", "blend"):
+        raise ValueError(f"unknown mode {mode}")
+    since = F.when(F.col("window_days") > 0, F.date_sub(F.lit(as_of).cast("date"), F.col("window_days")))
+    q = queries.select(
+        "query_id",
+        F.array("supplier_id", F.lit(UNMATCHED)).alias("scopes"),
+        F.col("query_embedding").alias("vector"),
+        F.struct(
+            F.col("sku_id").cast("string").alias("sku_id"), F.col("risk_category").cast("string").alias("risk_category"), since.alias("since"),
+            F.col("severities").cast("array<string>").alias("severities"),
+        ).alias("asked"),
+    )
+    i = index.select(
+        F.col("chunk_id").alias("item_id"),
+        F.coalesce("supplier_id", F.lit(UNMATCHED)).alias("scope"),
+        F.col("embedding").alias("vector"),
+        F.struct(
+            F.col("sku_id").cast("string").alias("sku_id"), F.col("risk_category").cast("string").alias("risk_category"),
+            F.col("event_date").cast("date").alias("event_date"), F.col("severity").cast("string").alias("severity"), "source_name", "supplier_id", _fresh().alias("freshness_weight"),
+        ).alias("about"),
     )
-    pairs = _scoped(queries, narrow).withColumn("strict", strict)
-    hit = queries.select("query_id").join(pairs.filter("strict").select("query_id").distinct(), "query_id", "left_semi").withColumn("_any", F.lit(True))
-    kept = pairs.join(hit, "query_id", "left").filter(F.col("strict") | F.col("_any").isNull())
-    fresh = F.coalesce(F.col("freshness_weight").cast("double"), F.lit(DEFAULT_FRESHNESS))
-    scored = _with_vectors(kept).withColumn("semantic_score", _cosine())
-    formula = {
-        "boost": F.col("semantic_score") * (1 + FRESHNESS_BOOST * fresh),
-        "blend": BLEND[0] * F.col("semantic_score") + BLEND[1] * fresh,
-    }[mode]
-    scored = scored.select(
-        "query_id", "chunk_id", "source_name", "risk_category", "event_date", "severity", "supplier_id", "sku_id",
-        fresh.alias("freshness_weight"), "semantic_score", formula.alias("retrieval_score"), (~F.col("strict")).alias("widened"),
+    found = best_pairs(q, i, k, _retrieval(mode), salts=salts, held=held)
+    # An unrankable chunk that passes the filters stands behind all that do and before all that do not.
+    order = [F.desc("strict"), F.col("item_id").isNull().asc(), F.desc("score"), F.asc("item_id")]
+    best = top_k_per(found, ["query_id"], order, k, rank_col="evidence_rank")
+    best = best.withColumn("_strict", F.max("strict").over(W.partitionBy("query_id"))).filter("item_id IS NOT NULL AND strict = _strict")
+    names = ("source_name", "risk_category", "event_date", "severity", "supplier_id", "sku_id", "freshness_weight")
+    ranked = best.select(
+        "query_id", F.col("item_id").alias("chunk_id"), *[F.col(f"about.{n}") for n in names], F.col("cosine").alias("semantic_score"),
+        F.col("score").alias("retrieval_score"), (~F.col("strict")).alias("widened"), "evidence_rank",
     )
-    return _top(scored, index, [F.desc("retrieval_score"), F.asc("chunk_id")], k)
+    return _with_texts(ranked, index)
 
 
-def rerank(queries: DataFrame, index: DataFrame, as_of: str, k: int = 8) -> DataFrame:
+def _reranking(asked: pa.StructArray, about: pa.StructArray, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return RERANK["cosine"] * cosine + about.field("base").to_numpy(), np.ones(cosine.shape, bool)
+
+
+def rerank(queries: DataFrame, index: DataFrame, as_of: str, k: int = 8, salts: int | None = None, held: int = HELD) -> DataFrame:
     """Business re-ranking: all chunks of the query's supplier, scored by similarity, freshness,
-    severity, recency, source and category."""
-    narrow = index.drop(*_TEXT_LAST)
-    q = queries.select("query_id", "supplier_id", "query_embedding")
-    pairs = _with_vectors(q.join(narrow, "supplier_id"))
+    severity, recency, source and category. All but the similarity is a property of the chunk and is
+    computed once per chunk."""
     age = F.datediff(F.lit(as_of).cast("date"), "event_date")
-    scored = pairs.withColumns(
-        {
-            "cosine_similarity": _cosine(),
-            "fresh": F.coalesce(F.col("freshness_weight").cast("double"), F.lit(DEFAULT_FRESHNESS)),
-            "severity_score": lookup(F.lower("severity"), SEVERITY_SCORES, 0.40),
-            "recency_score": F.when(age.isNull(), F.lit(0.35)).when(age <= 30, F.lit(1.0)).when(age <= 90, F.lit(0.85)).when(age <= 365, F.lit(0.65)).otherwise(F.lit(0.25)),
-            "driver_source_score": F.coalesce(F.lower("source_name").isin(*DRIVER_SOURCES).cast("double"), F.lit(0.0)),
-            "driver_category_score": F.coalesce(F.lower("risk_category").isin(*DRIVER_CATEGORIES).cast("double"), F.lit(0.0)),
-        }
-    )
-    total = (
-        RERANK["cosine"] * F.col("cosine_similarity")
-        + RERANK["fresh"] * F.col("fresh")
-        + RERANK["severity"] * F.col("severity_score")
-        + RERANK["recency"] * F.col("recency_score")
-        + RERANK["source"] * F.col("driver_source_score")
-        + RERANK["category"] * F.col("driver_category_score")
+    facts = {
+        "fresh": _fresh(),
+        "severity_score": lookup(F.lower("severity"), SEVERITY_SCORES, 0.40),
+        "recency_score": F.when(age.isNull(), F.lit(0.35)).when(age <= 30, F.lit(1.0)).when(age <= 90, F.lit(0.85)).when(age <= 365, F.lit(0.65)).otherwise(F.lit(0.25)),
+        "driver_source_score": F.coalesce(F.lower("source_name").isin(*DRIVER_SOURCES).cast("double"), F.lit(0.0)),
+        "driver_category_score": F.coalesce(F.lower("risk_category").isin(*DRIVER_CATEGORIES).cast("double"), F.lit(0.0)),
+    }
+    weights = dict(zip(facts, (RERANK[w] for w in ("fresh", "severity", "recency", "source", "category"))))
+    base = reduce(lambda a, b: a + b, [w * F.col(c) for c, w in weights.items()])
+    shown = ("source_name", "risk_category", "event_date", "severity")
+    q = queries.select("query_id", F.array("supplier_id").alias("scopes"), F.col("query_embedding").alias("vector"), F.struct("supplier_id").alias("asked"))
+    i = index.withColumns(facts).select(
+        F.col("chunk_id").alias("item_id"), F.col("supplier_id").alias("scope"), F.col("embedding").alias("vector"),
+        F.struct("supplier_id", *shown, *facts, base.alias("base")).alias("about"),
     )
-    scored = scored.withColumn("business_retrieval_score", total).select(
-        "query_id", "supplier_id", "chunk_id", "source_name", "risk_category", "event_date", "severity", "cosine_similarity", "fresh",
-        "severity_score", "recency_score", "driver_source_score", "driver_category_score", "business_retrieval_score",
+    ties = ["driver_source_score", "severity_score", "recency_score"]
+    found = best_pairs(q, i, k, _reranking, ties, salts, held).filter("item_id IS NOT NULL")
+    order = [F.desc("score"), *[F.desc(f"about.{c}") for c in ties], F.desc("cosine"), F.asc("item_id")]
+    best = top_k_per(found, ["query_id"], order, k, rank_col="evidence_rank")
+    ranked = best.select(
+        "query_id", F.col("about.supplier_id"), F.col("item_id").alias("chunk_id"), *[F.col(f"about.{c}") for c in shown], F.col("cosine").alias("cosine_similarity"),
+        *[F.col(f"about.{c}") for c in facts], F.col("score").alias("business_retrieval_score"), "evidence_rank",
     )
-    order = [F.desc(c) for c in ("business_retrieval_score", "driver_source_score", "severity_score", "recency_score", "cosine_similarity")]
-    return _top(scored, index, [*order, F.asc("chunk_id")], k)
+    return _with_texts(ranked, index)
 
 
 def format_evidence(ranked: DataFrame, max_chars: int | None = None) -> DataFrame:
