@@ -6,14 +6,19 @@ that the group-grain plans lose and double nothing.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
-from riskweave.catalog.registry import cte, query
+from riskweave.catalog import silver as SV
+from riskweave.catalog.registry import block, cte, query
 from riskweave.catalog.shape import tidy
 from riskweave.functions.risk import severity_points
 from riskweave.operators import matching as M
+from riskweave.plans import events as E
 from riskweave.plans import inputs as I
 from riskweave.plans import scoring as S
+from riskweave.plans import silver
 
 
 def plain_sql(x: str) -> str:
@@ -59,9 +64,9 @@ class Matched:
     """Events with their links to suppliers, and supplier classes. Nothing runs here; branches of a
     query share what they have in common."""
 
-    def __init__(self, t):
+    def __init__(self, t, events=None):
         suppliers, routes = I.suppliers(t), I.routes(t)
-        self.links = M.event_links(I.external_events(t), I.aliases(t), suppliers, routes)
+        self.links = M.event_links(I.external_events(t) if events is None else events, I.aliases(t), suppliers, routes)
         self.classes = M.supplier_classes(M.supplier_scopes(suppliers, routes))
 
     @property
@@ -127,11 +132,14 @@ LEFT JOIN (SELECT supplier_id, count(sku_id) AS n FROM fx_sku_map GROUP BY 1) k
 """)
 
 
+def sku_counts(t):
+    skus = t.lineitem.select("l_suppkey", "l_partkey").distinct().groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("matched_sku_count"))
+    return skus.select(F.concat(F.lit("SUP_"), F.col("l_suppkey").cast("string")).alias("supplier_id"), "matched_sku_count")
+
+
 def mart(t, matched=None):
     m = matched or Matched(t)
-    skus = t.lineitem.select("l_suppkey", "l_partkey").distinct().groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("matched_sku_count"))
-    skus = skus.select(F.concat(F.lit("SUP_"), F.col("l_suppkey").cast("string")).alias("supplier_id"), "matched_sku_count")
-    return M.event_mart(m.links, m.classes, skus, I.evidence_documents(t))
+    return M.event_mart(m.links, m.classes, sku_counts(t), I.evidence_documents(t))
 
 
 @query("event_mart", "M35", """
@@ -143,6 +151,43 @@ def _(t):
     )
 
 
+# The same rules over events that come from the payloads: one key per item or payload.
+cte("pm_events", """
+SELECT source_name || '/' || event_id AS external_event_id, CASE source_name WHEN 'gdelt' THEN 'news_disruption' WHEN 'nws' THEN 'weather_logistics' WHEN 'cisa' THEN 'cyber' ELSE 'quality_recall' END AS risk_category, source_name,
+  CASE WHEN source_name = 'cisa' THEN 'CVE-' || event_id || ' - ' || title ELSE title END AS event_title, title AS event_summary, CAST(event_date AS DATE) AS event_date, source_name || '_run_' || payload_no AS api_run_id,
+  CASE source_name WHEN 'nws' THEN CASE sev_word WHEN 'extreme' THEN 'critical' WHEN 'severe' THEN 'high' WHEN 'moderate' THEN 'medium' WHEN 'advisory' THEN 'medium' WHEN 'minor' THEN 'low' ELSE 'unknown' END
+    WHEN 'cisa' THEN CASE WHEN value >= 50 THEN 'high' ELSE 'medium' END ELSE 'medium' END AS severity,
+  CASE WHEN source_name = 'gdelt' THEN country ELSE 'US' END AS event_country, CASE WHEN source_name = 'nws' THEN region END AS event_region
+FROM dm_ok_items WHERE source_name IN ('gdelt', 'nws', 'cisa', 'cpsc')
+UNION ALL SELECT r.api_run_id, CASE source_name WHEN 'ofac' THEN 'sanctions_compliance' WHEN 'eia' THEN 'fuel_logistics_cost' ELSE 'financial_filing' END, source_name,
+  CASE source_name WHEN 'ofac' THEN 'OFAC sanctions file snapshot: ofac_feed' WHEN 'eia' THEN 'EIA fuel price data snapshot' ELSE 'SEC company submissions snapshot: sec_edgar_feed' END,
+  CASE source_name WHEN 'ofac' THEN raw_payload_json WHEN 'eia' THEN 'Fuel price data captured for logistics cost risk signals.' ELSE 'SEC filings metadata captured for sec_edgar_feed.' END,
+  CAST(fetched AS DATE), r.api_run_id, CASE source_name WHEN 'ofac' THEN 'high' ELSE 'medium' END, 'US', NULL
+FROM fx_payload_runs r JOIN fx_raw_all a ON a.api_run_id = r.api_run_id WHERE source_name IN ('ofac', 'eia', 'sec_edgar')
+""")
+_RULES = ("texts", "alias", "name", "country", "region", "category", "fuel", "scope_pairs", "best", "mart")
+for _rule in _RULES:
+    _own = re.sub(rf"\bmt_({'|'.join(_RULES)})\b", r"pm_\1", block(f"mt_{_rule}")).replace("fx_external_events", "pm_events")
+    _own = _own.replace("THEN points END", "THEN CASE severity WHEN 'critical' THEN 20 WHEN 'high' THEN 12 WHEN 'medium' THEN 6 ELSE 2 END END")
+    cte(f"pm_{_rule}", _own)
+
+
+def payload_matched(t):
+    """Landed payloads parsed, normalised and matched, with their evidence documents."""
+    events, evidence = silver.split_evidence(E.normalize_events(SV._all_events(t)))
+    return Matched(t, E.external_events(events)), evidence
+
+
+@query("payload_mart", "M03 M35", """
+SELECT source_name, risk_category, event_title, severity, strftime(event_date, '%Y-%m-%d') AS event_date, matched_supplier_id, match_type, match_value, match_confidence, group_supplier_count, matched_sku_count, CAST(score_contribution AS BIGINT) AS score_contribution,
+  sha256(m.api_run_id || '||' || sha256(raw_payload_json)) AS evidence_doc_id FROM pm_mart m JOIN fx_raw_all a ON a.api_run_id = m.api_run_id
+""")
+def _(t):
+    m, evidence = payload_matched(t)
+    rows = M.event_mart(m.links, m.classes, sku_counts(t), evidence)
+    return tidy(rows.select("source_name", "risk_category", "event_title", "severity", "event_date", "matched_supplier_id", "match_type", "match_value", "match_confidence", "group_supplier_count", "matched_sku_count", "score_contribution", "evidence_doc_id"))
+
+
 @query("match_summary", "V13", "SELECT source_name, match_type, count(*) AS row_count, count(score_contribution) AS matched_count, rnd(avg(score_contribution), 4) AS avg_points FROM mt_mart GROUP BY 1, 2")
 def _(t):
     return tidy(M.match_summary(mart(t)))

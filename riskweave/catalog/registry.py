@@ -31,6 +31,11 @@ def cte(name: str, sql: str) -> None:
     _CTES[name] = sql.strip()
 
 
+def block(name: str) -> str:
+    """The SQL of a building block."""
+    return _CTES[name]
+
+
 def query(name: str, ids: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         if name in _QUERIES:

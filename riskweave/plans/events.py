@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.cleaning import record_id
 from riskweave.functions.predicates import json_shape
-from riskweave.functions.risk import normalize_severity
-from riskweave.operators.relational import top_k_per, union_all
+from riskweave.functions.risk import common_severity, normalize_severity
+from riskweave.operators.relational import top_k_per
 
 EVENT_COLUMNS = (
     "source_name",
@@ -160,61 +160,53 @@ SNAPSHOT_FEEDS = {
 }
 
 
-def _shape(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    exprs = {**exprs, "event_date": F.to_date(exprs["event_timestamp"])}
-    return df.select(
-        *[exprs.get(c, F.lit(None).cast("string")).alias(c) for c in EVENT_COLUMNS],
-    )
+#: What a feed states of each event, with its type; the rest is copied from the payload.
+_STATED = {c: "timestamp" if c == "event_timestamp" else "string" for c in EVENT_COLUMNS if c not in ("source_name", "event_date", "raw_payload_json", "payload_hash", "api_run_id")}
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{c}', CAST({fields.get(c, 'NULL')} AS {kind})" for c, kind in _STATED.items()) + ")"
+
+
+def _items(f: Feed) -> str:
+    """The events of one payload of an item feed as an array."""
+    parsed = f"from_json(raw_payload_json, '{f.schema}')" + (f".{f.items}" if f.items else "")
+    fields = {**f.fields, "risk_category": f"'{f.risk_category}'", "evidence_type": f"'{f.evidence_type}'"}
+    return f"transform(filter({parsed}, x -> x.{f.key} IS NOT NULL), x -> {_struct(fields)})"
+
+
+def _snapshot(spec: dict[str, str]) -> str:
+    """The one event of a snapshot payload as an array."""
+    named = {c: f"'{spec[c]}'" for c in ("risk_category", "evidence_type")}
+    common = {"event_timestamp": "try_to_timestamp(fetched_at)", "source_url": "request_url", "event_country": "'US'", "language": "'en'"}
+    return f"array({_struct({**common, **spec, **named})})"
+
+
+def payload_events(raw: DataFrame, feeds: tuple[Feed, ...] = ITEM_FEEDS, snapshots: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """Events of successful payloads in one scan: one row per item of an item feed that has its key
+    field, one per payload of a snapshot source.
+
+    Each payload is parsed by its own source's layout only, a branch of one expression that gives an array of
+    the common event struct. Payloads of other sources, failed, empty or malformed ones give no row.
+    """
+    snapshots = SNAPSHOT_FEEDS if snapshots is None else snapshots
+    branches = {f.source: _items(f) for f in feeds} | {s: _snapshot(spec) for s, spec in snapshots.items()}
+    events = F.expr("CASE source_name " + " ".join(f"WHEN '{s}' THEN {e}" for s, e in branches.items()) + " END")
+    kept = ("source_name", "raw_payload_json", "payload_hash", "api_run_id")
+    # An outer explode: for a plain one Spark would add a test of the array's size, which parses again.
+    rows = raw.filter(F.col("source_name").isin(*branches) & F.col("response_ok")).select(*kept, F.explode_outer(events).alias("e")).filter("e IS NOT NULL")
+    own = {c: F.col(f"e.{c}") for c in _STATED} | {c: F.col(c) for c in kept} | {"event_date": F.to_date("e.event_timestamp")}
+    return rows.select(*[own[c].alias(c) for c in EVENT_COLUMNS])
 
 
 def parse_events(raw: DataFrame, feeds: tuple[Feed, ...] = ITEM_FEEDS) -> DataFrame:
     """One row per payload item; items without their key field are dropped."""
-    parts = []
-    for f in feeds:
-        items = F.from_json("raw_payload_json", f.schema)
-        items = items.getField(f.items) if f.items else items
-        rows = (
-            raw.filter((F.col("source_name") == f.source) & F.col("response_ok"))
-            .withColumn("x", F.explode_outer(items))
-            .filter(F.col(f"x.{f.key}").isNotNull())
-        )
-        exprs = {n: F.expr(e) for n, e in f.fields.items()}
-        exprs |= {
-            "source_name": F.lit(f.source),
-            "risk_category": F.lit(f.risk_category),
-            "evidence_type": F.lit(f.evidence_type),
-            "raw_payload_json": F.col("raw_payload_json"),
-            "payload_hash": F.col("payload_hash"),
-            "api_run_id": F.col("api_run_id"),
-        }
-        parts.append(_shape(rows, exprs))
-    return union_all(parts)
+    return payload_events(raw, feeds, {})
 
 
 def snapshot_events(raw: DataFrame, feeds: dict[str, dict[str, str]] = SNAPSHOT_FEEDS) -> DataFrame:
     """One row per successful payload of the snapshot sources."""
-    parts = []
-    for source, spec in feeds.items():
-        rows = raw.filter((F.col("source_name") == source) & F.col("response_ok"))
-        exprs = {
-            "source_name": F.lit(source),
-            "risk_category": F.lit(spec["risk_category"]),
-            "event_type": F.expr(spec["event_type"]),
-            "event_timestamp": F.try_to_timestamp("fetched_at"),
-            "event_title": F.expr(spec["event_title"]),
-            "event_summary": F.expr(spec["event_summary"]),
-            "source_url": F.col("request_url"),
-            "source_domain": F.expr(spec["source_domain"]),
-            "event_country": F.lit("US"),
-            "language": F.lit("en"),
-            "severity": F.expr(spec["severity"]),
-            "evidence_type": F.lit(spec["evidence_type"]),
-            "raw_payload_json": F.col("raw_payload_json"),
-            "payload_hash": F.col("payload_hash"),
-            "api_run_id": F.col("api_run_id"),
-        }
-        parts.append(_shape(rows, exprs))
-    return union_all(parts)
+    return payload_events(raw, (), feeds)
 
 
 def normalize_events(df: DataFrame) -> DataFrame:
@@ -251,6 +243,12 @@ def normalize_events(df: DataFrame) -> DataFrame:
     return top_k_per(cleaned, ["external_event_id"], order, 1)
 
 
+def external_events(normalized: DataFrame) -> DataFrame:
+    """Normalised events in the shape that matching, mart and scores take: severity words on the one
+    scale, the payload named as the source's."""
+    return normalized.withColumn("severity", common_severity(F.col("severity"))).withColumnRenamed("payload_hash", "source_payload_hash")
+
+
 def payload_shapes() -> dict[str, Column]:
     """Shape rule of each source's payload."""
     p = F.col("raw_payload_json")
