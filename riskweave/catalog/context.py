@@ -80,12 +80,14 @@ def _(t):
 
 
 cte("cx_events", """
-SELECT supplier_id, string_agg(external_event_id || ':' || match_type, ',' ORDER BY r) FILTER (r <= 10) AS events, count(*) AS active_external_event_count, count(*) FILTER (severity IN ('critical', 'high')) AS high_severity_event_count, max(event_date) FILTER (r <= 10) AS latest_external_event_date FROM (
-  SELECT supplier_id, external_event_id, match_type, severity, event_date, row_number() OVER (PARTITION BY supplier_id ORDER BY points DESC, external_event_id) AS r FROM mt_best JOIN fx_external_events USING (external_event_id) WHERE event_date >= DATE '2024-01-30' - 30) GROUP BY 1
+SELECT supplier_id, string_agg(external_event_id || ':' || match_type, ',' ORDER BY r) FILTER (r <= 10) AS events, count(*) AS active_external_event_count, count(*) FILTER (severity IN ('critical', 'high')) AS high_severity_event_count, max(event_date) FILTER (r <= 10) AS latest_external_event_date,
+  string_agg(event_title || ' (' || severity || ', ' || strftime(event_date, '%Y-%m-%d') || ')', chr(10) || '- ' ORDER BY r) FILTER (r <= 10) AS event_lines,
+  string_agg('[' || r || '] ' || source_name || ' · DOC_' || api_run_id || ' · ' || source_url, chr(10) || '- ' ORDER BY r) FILTER (r <= 10) AS evidence_lines FROM (
+  SELECT supplier_id, external_event_id, match_type, severity, event_date, event_title, source_name, api_run_id, source_url, row_number() OVER (PARTITION BY supplier_id ORDER BY points DESC, external_event_id) AS r FROM mt_best JOIN fx_external_events USING (external_event_id) WHERE event_date >= DATE '2024-01-30' - 30) GROUP BY 1
 """)
 
 
-@query("active_events", "V05", "SELECT * REPLACE (strftime(latest_external_event_date, '%Y-%m-%d') AS latest_external_event_date) FROM cx_events")
+@query("active_events", "V05", "SELECT * EXCLUDE (event_lines, evidence_lines) REPLACE (strftime(latest_external_event_date, '%Y-%m-%d') AS latest_external_event_date) FROM cx_events")
 def _(t):
     m = Matched(t)
     top = top_events_per_supplier(S.recent_points(m.links, I.EVENTS_AS_OF), m.classes, S.event_order(), 10)
@@ -118,12 +120,12 @@ def snapshot(t):
         ],
     )
     return x, C.context_snapshot(
-        x.scores, C.risk_narrative(x.explained), C.top_skus(SV.dependency(t), sku), C.active_events(x.top_events(10), S.active_event_totals(*x.m.parts, I.EVENTS_AS_OF)), C.open_alerts(cut_lineage(alerts, "alerts")), I.EVENTS_AS_OF
+        x.scores, C.risk_narrative(x.explained), C.top_skus(SV.dependency(t), sku), C.active_events(E.with_evidence_documents(x.top_events(10), I.evidence_documents(t)), S.active_event_totals(*x.m.parts, I.EVENTS_AS_OF)), C.open_alerts(cut_lineage(alerts, "alerts")), I.EVENTS_AS_OF
     )
 
 
 cte("cx_snapshot", """
-SELECT l.supplier_id, l.supplier_name, l.risk_band, l.overall_risk_score, l.top_risk_driver, l.recommended_action, coalesce(open_alerts_count, 0) AS open_alerts_count, coalesce(active_external_event_count, 0) AS active_external_event_count, coalesce(top_affected_skus_count, 0) AS top_affected_skus_count, events, skus,
+SELECT l.supplier_id, l.supplier_name, l.risk_band, l.overall_risk_score, l.top_risk_driver, l.recommended_action, coalesce(open_alerts_count, 0) AS open_alerts_count, coalesce(active_external_event_count, 0) AS active_external_event_count, coalesce(top_affected_skus_count, 0) AS top_affected_skus_count, events, skus, event_lines, evidence_lines,
   'Supplier: ' || l.supplier_name || ' (' || l.supplier_id || ')' || chr(10) || chr(10) || 'Overall score now: ' || printf('%.1f', l.overall_risk_score) || ' | Band: ' || l.risk_band || chr(10) || chr(10) || 'Tier: ' || l.criticality_tier || chr(10) || chr(10)
   || 'Top risk driver: ' || l.top_risk_driver || chr(10) || chr(10) || 'Recommended action: ' || l.recommended_action || chr(10) || chr(10) || 'Open alerts: ' || coalesce(open_alerts_count, 0) || ', of these severe: ' || coalesce(critical_or_high_alert_count, 0) || chr(10) || chr(10)
   || 'Events of the last 30 days: ' || coalesce(active_external_event_count, 0) || ', of these severe: ' || coalesce(high_severity_event_count, 0) || ', newest: ' || coalesce(strftime(latest_external_event_date, '%Y-%m-%d'), 'none') || chr(10) || chr(10)
@@ -173,20 +175,22 @@ def _(t):
     return C.snapshot_lookup(ids, s, e)
 
 
-@query("context_packet", "E14", "SELECT supplier_id AS question_id, supplier_id, risk_band, coalesce(top_affected_skus_count, 0) AS json_skus FROM cx_snapshot")
+@query("context_packet", "E14", "SELECT supplier_id AS question_id, supplier_id, risk_band, coalesce(top_affected_skus_count, 0) AS json_skus, event_lines AS json_events, evidence_lines AS json_evidence FROM cx_snapshot")
 def _(t):
     _, s = snapshot(t)
     q = I.suppliers(t).select(F.col("supplier_id").alias("question_id"), "supplier_id")
-    ev = s.select("supplier_id", F.size("active_external_events").alias("evidence_count_listed"))
-    p = E.context_packet(q, s.select("supplier_id", "risk_band", "top_affected_skus_count"), ev)
-    return tidy(p.select("question_id", "supplier_id", "risk_band", F.get_json_object("packet_json", "$.top_affected_skus_count").cast("long").alias("json_skus")))
+    s = cut_lineage(s.select("supplier_id", "risk_band", "top_affected_skus_count", E.event_lines().alias("event_lines"), E.evidence_lines().alias("evidence_lines")), "packets")
+    p = E.context_packet(q, s.drop("event_lines", "evidence_lines"), s.select("supplier_id", "event_lines", "evidence_lines"))
+    listed = lambda c: F.array_join(F.from_json(F.get_json_object("packet_json", f"$.{c}"), "array<string>"), "\n- ")
+    json_skus = F.get_json_object("packet_json", "$.top_affected_skus_count").cast("long")
+    return tidy(p.select("question_id", "supplier_id", "risk_band", json_skus.alias("json_skus"), listed("event_lines").alias("json_events"), listed("evidence_lines").alias("json_evidence")))
 
 
 cte("cx_answers", """
 SELECT supplier_id, risk_band, supplier_name, concat_ws(chr(10), CASE WHEN risk_band NOT IN ('high', 'critical') THEN supplier_name || ' is not classified as high risk; it is classified as ' || risk_band || '.' END,
   supplier_name || ' (' || supplier_id || ') has a risk score of ' || printf('%.1f', overall_risk_score) || ' and is in the ' || risk_band || ' risk band.', 'Top risk driver: ' || top_risk_driver,
   'Active events: ' || active_external_event_count || '; affected SKUs: ' || top_affected_skus_count || '; open alerts: ' || open_alerts_count,
-  CASE WHEN skus IS NOT NULL THEN 'Affected SKUs:' || chr(10) || '- ' || array_to_string(string_split(skus, ','), chr(10) || '- ') END, 'Recommendation: ' || recommended_action) AS final_answer FROM cx_snapshot
+  'Top events:' || chr(10) || '- ' || event_lines, CASE WHEN skus IS NOT NULL THEN 'Affected SKUs:' || chr(10) || '- ' || array_to_string(string_split(skus, ','), chr(10) || '- ') END, 'Evidence:' || chr(10) || '- ' || evidence_lines, 'Recommendation: ' || recommended_action) AS final_answer FROM cx_snapshot
 """)
 
 
@@ -196,9 +200,9 @@ def answers(t):
         F.col("supplier_id").alias("question_id"), "supplier_id", "supplier_name", "risk_band", "overall_risk_score", "top_risk_driver", "recommended_action",
         F.concat(F.lit("Why is "), "supplier_name", F.lit(" high risk?")).alias("question"),
         F.col("active_external_event_count").alias("event_count"), F.col("top_affected_skus_count").alias("sku_count"), F.col("open_alerts_count").alias("alert_count"),
-        F.array().cast("array<string>").alias("event_lines"),
+        E.event_lines().alias("event_lines"),
         F.transform("top_affected_skus", lambda x: x["canonical_sku_id"]).alias("sku_lines"),
-        F.array().cast("array<string>").alias("evidence_lines"),
+        E.evidence_lines().alias("evidence_lines"),
     )
     return E.templated_answer(packets)
 

@@ -361,6 +361,32 @@ def resolve_entity(questions: DataFrame, suppliers: DataFrame, common_df: int =
     )
 
 
+def with_evidence_documents(events: DataFrame, documents: DataFrame) -> DataFrame:
+    """Events with the id of the document that holds their payload."""
+    d = documents.select("api_run_id", F.col("payload_hash").alias("source_payload_hash"), "evidence_document_id")
+    return events.join(d, ["api_run_id", "source_payload_hash"], "left")
+
+
+def event_lines(events: str = "active_external_events") -> Column:
+    """A snapshot's ranked events as lines of text."""
+    said = lambda e, c, other: F.coalesce(e[c].cast("string"), F.lit(other))
+    return F.transform(
+        events, lambda e: F.concat(said(e, "event_title", "Untitled event"), F.lit(" ("), said(e, "severity", "unknown"), F.lit(", "), said(e, "event_date", "undated"), F.lit(")"))
+    )
+
+
+def evidence_lines(events: str = "active_external_events") -> Column:
+    """Where each of a snapshot's ranked events is documented, numbered like the events."""
+    said = lambda e, c, other: F.coalesce(e[c].cast("string"), F.lit(other))
+    return F.transform(
+        events,
+        lambda e: F.concat(
+            F.lit("["), e["event_rank"].cast("string"), F.lit("] "), said(e, "source_name", "unknown source"), F.lit(" · "), said(e, "evidence_document_id", "no document"),
+            F.lit(" · "), said(e, "source_url", "no link"),
+        ),
+    )
+
+
 def context_packet(resolved: DataFrame, snapshot: DataFrame, evidence: DataFrame) -> DataFrame:
     """Question, supplier snapshot and its evidence as one row with a JSON packet."""
     joined = resolved.join(snapshot, "supplier_id", "left").join(evidence, "supplier_id", "left")
