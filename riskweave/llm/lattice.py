@@ -35,6 +35,42 @@ def vocabulary(path: str) -> tuple[dict[str, int], np.ndarray]:
     return pieces, byte_ids
 
 
+class Trie:
+    """Pieces as paths from node 0, walked for many positions at once. ``pieces`` holds their proper
+    prefixes too. A step is looked up by node and character in an open-addressed table."""
+
+    def __init__(self, pieces: dict[str, int]):
+        number = {s: i for i, s in enumerate(sorted(pieces, key=len), 1)}
+        number[""] = 0
+        self.piece = np.array([-1] + [pieces[s] for s in number if s], np.int64)
+        steps = np.array([number[s[:-1]] << 21 | ord(s[-1]) for s in number if s], np.int64)
+        self.bits = max(4, int(len(steps)).bit_length() + 2)  # at most a quarter full
+        self.keys, self.nodes = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int64)
+        left, slot = np.arange(len(steps)), self._slot(steps)
+        while len(left):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = steps[left[free]]  # of those that want one slot the last gets it
+            self.nodes[slot[free]] = left[free] + 1
+            lost = self.keys[slot] != steps[left]
+            left, slot = left[lost], (slot[lost] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, steps: np.ndarray) -> np.ndarray:
+        return ((steps.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The nodes reached by one more character; 0 where no piece goes on like this."""
+        steps = node << 21 | code
+        slot = self._slot(steps)
+        out, left = np.zeros(len(steps), np.int64), np.arange(len(steps))
+        while len(left):
+            held = self.keys[slot]
+            same = held == steps[left]
+            out[left[same]] = self.nodes[slot[same]]
+            on = ~same & (held >= 0)
+            left, slot = left[on], (slot[on] + 1) & (len(self.keys) - 1)
+        return out
+
+
 class Lattice:
     """Marginal probabilities of words for K score sets at once.
 
@@ -48,6 +84,7 @@ class Lattice:
 
     def __init__(self, pieces: dict[str, int], byte_ids: np.ndarray, logp: np.ndarray):
         self.pieces, self.byte_ids, self.logp, self.size = pieces, byte_ids, logp, len(logp)
+        self.trie = Trie(pieces)
         self.spelled: dict[str, int] = {}
         self._room = logp  # holds ``logp`` and rows to spare
 
@@ -67,23 +104,29 @@ class Lattice:
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
         """End, word, start and piece of every edge, by end and word, for words of one length."""
-        get, n, keys, found = self.pieces.get, len(words[0]), [], []
-        for b, w in enumerate(words):
-            for i in range(n):
-                for j in range(i + 1, min(n, i + LONGEST) + 1):
-                    piece = get(w[i:j])
-                    if piece is not None and piece >= 0:
-                        keys.append(j << 40 | b << 16 | i)
-                        found.append(piece)
-                    elif j == i + 1:
-                        keys.append(j << 40 | b << 16 | i)
-                        found.append(self._spell(w[i]))
-                    if piece is None:
-                        break
-        key = np.array(keys, np.int64)
-        order = np.argsort(key)
-        key = key[order]
-        return key >> 40, key >> 16 & 0xFFFFFF, key & 0xFFFF, np.array(found, np.int64)[order]
+        n = len(words[0])
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        start = np.arange(len(codes))  # of the walks that still follow a piece, over all words joined
+        room, node = n - start % n, np.zeros(len(codes), np.int64)
+        starts, ends, found = [], [], []
+        for k in range(1, min(n, LONGEST) + 1):
+            node = self.trie.step(node, codes[start + k - 1])
+            piece = self.trie.piece[node]
+            if k == 1:
+                bare = np.flatnonzero(piece < 0)
+                chars, back = np.unique(codes[bare], return_inverse=True)
+                piece[bare] = np.array([self._spell(chr(c)) for c in chars.tolist()], np.int64)[back]
+            hit = piece >= 0
+            starts.append(start[hit])
+            ends.append(start[hit] + k)
+            found.append(piece[hit])
+            on = (node > 0) & (room > k)
+            start, room, node = start[on], room[on], node[on]
+        start, end, piece = (np.concatenate(x) for x in (starts, ends, found))
+        word = start // n
+        start, end = start - word * n, end - word * n
+        order = np.argsort((end << 40) | (word << 16) | start)
+        return end[order], word[order], start[order], piece[order]
 
     def forward(self, words: list[str]) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
         """alpha[end, word, set]: log of the summed probability of all segmentations up to there, for
