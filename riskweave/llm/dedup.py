@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import read_table, single_spaced, stage, whole_text
+from riskweave.operators.filters import may_hold
 
 PREFIX_BITS = 12
 BUCKET_ROWS = 200_000
@@ -60,12 +61,21 @@ def dedup_exact(
 
 
 def keep_exact_once(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``dedup_exact`` keeps, with the same columns."""
-    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    named = F.struct(F.col(id_col).isNull().alias("late"), F.col(id_col).alias("id"), F.col("__row").alias("row")).alias("id")
-    found, _ = _deduped(rows.select(named, whole_text(text_col).alias("text")), BUCKET_ROWS, PREFIX_BITS)
-    kept = found.filter("kept").select(F.col("id.row").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that ``dedup_exact`` keeps, with the same columns.
+
+    Only keys are counted over all rows. Rows whose key stands alone stay where they are; the
+    others are grouped by key and whole bytes, copies meeting before the shuffle. A filter of the
+    repeated keys tells both apart; what it lets through by chance is a group of its own. Of rows
+    that repeat an id and a text one stays, which of them is not defined. All columns of a row travel
+    as one value, so none can clash.
+    """
+    spaced = single_spaced(whole_text(text_col))
+    key = F.xxhash64(spaced)
+    repeated = docs.select(key.alias("key")).groupBy("key").count().filter("count > 1").select("key")
+    repeated = stage(repeated, "repeated-keys")
+    first = F.min_by("held", F.struct(F.col("id").isNull().alias("late"), "id"))
+    groups = docs.filter(may_hold(repeated, key)).select(F.struct(*docs.columns).alias("held"), F.col(id_col).alias("id"), key.alias("key"), spaced.alias("bytes"))
+    return docs.filter(~may_hold(repeated, key)).union(groups.groupBy("key", "bytes").agg(first.alias("held")).select("held.*"))
 
 
 def _deduped(docs: DataFrame, bucket_rows: int, prefix_bits: int) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ from zlib import crc32
 import numpy as np
 
 SPAN = 12  # words of a window
-STRIDE = 8  # windows start at every 8th word, so neighbours share four words
+STRIDE = 4  # windows start at every 4th word, so neighbours share eight words
 HIDDEN = 8
 WORD_SIZE = 12
 CHAR_SIZE = 12
@@ -206,7 +206,7 @@ class WindowScorer:
             self.at.update(zip(words, range(base, base + len(words))))
 
     def window_logits(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Logits of all overlapping windows of each text."""
+        """Logits of the windows of each text that start at every ``STRIDE``-th word."""
         self._number(texts)
         get = self.at.__getitem__
         ids = [np.fromiter(map(get, t), np.int64, len(t)) for t in texts]

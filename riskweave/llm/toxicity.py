@@ -41,35 +41,59 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
 
+def _batch_scores(scorer: WindowScorer, weights: np.ndarray, texts: list[str | None]) -> list[float]:
+    out, lot, size = [], [], 0
+
+    def flush():
+        out.extend(probability(weights, w) for w in scorer.window_logits(lot))
+        lot.clear()
+
+    for text in texts:
+        lot.append(words_of(text or ""))
+        size += len(lot[-1])
+        if size > LOT_WORDS:
+            flush()
+            size = 0
+    if lot:
+        flush()
+    return out
+
+
 def _scores(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, weights = model.value
         scorer = WindowScorer(reader)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            out, lot, size = [], [], 0
-
-            def flush():
-                out.extend(probability(weights, w) for w in scorer.window_logits(lot))
-                lot.clear()
-
-            for text in texts:
-                lot.append(words_of(text))
-                size += len(lot[-1])
-                if size > LOT_WORDS:
-                    flush()
-                    size = 0
-            if lot:
-                flush()
+            out = _batch_scores(scorer, weights, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["id", "score"])
 
     return run
 
 
+def _clean(model, text_at: int, below: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, weights = model.value
+        scorer = WindowScorer(reader)
+        for batch in batches:
+            out = _batch_scores(scorer, weights, batch.column(text_at).to_pylist())
+            yield batch.filter(pa.array(np.array(out) < below, pa.bool_()))
+
+    return run
+
+
+def keep_clean(docs: DataFrame, model, below: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores under ``below``, whole and with the same columns. They
+    are read once and nothing is shuffled, so no added column can clash with theirs. Null texts are
+    empty, rows that repeat one another are scored one by one, an empty table gives an empty one."""
+    held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
+    return docs.mapInArrow(_clean(held, docs.columns.index(text_col), below), docs.schema)
+
+
 def toxicity_scores(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``score`` in [0, 1].
 
-    Every overlapping window of the whole text is read and the largest logit counts. Null texts are
+    Windows of 12 words that start at every ``reader.STRIDE``-th word cover the whole text, each word
+    in up to three of them, and the largest logit counts. Null texts are
     empty; an empty text has one empty window and its score. Rows that repeat an id are scored one
     by one. Very long texts are read in lots of windows. Other columns are not read.
     """

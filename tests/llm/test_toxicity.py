@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from riskweave.llm import reader
 from riskweave.llm.lm import in_fold
 from riskweave.llm.reader import SPAN, Reader, WindowScorer, fit, probability, windows_of
 from riskweave.llm.toxicity import learn, toxicity_scores
@@ -74,3 +75,36 @@ def test_query_columns_and_odd_rows(spark):
     assert toxicity_scores(docs.limit(0), model).count() == 0
     untaught = learn(docs, labels.limit(0))
     assert toxicity_scores(docs, untaught).count() == len(rows)
+
+
+def test_text_score_equals_a_plain_loop_over_windows():
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(40)]
+    model = reader.Reader({w: i for i, w in enumerate(words[:30])})
+    p = model.p
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(xs, d):
+        h, out, n = np.zeros(reader.HIDDEN), [], reader.HIDDEN
+        for x in xs:
+            g, s = x @ p[f"w{d}"] + p[f"c{d}"], h @ p[f"u{d}"]
+            z, r = sigmoid(g[:n] + s[:n]), sigmoid(g[n : 2 * n] + s[n : 2 * n])
+            new = np.tanh(g[2 * n :] + r * s[2 * n :])
+            h = (1 - z) * new + z * h
+            out.append(h)
+        return out
+
+    def logit(window):
+        if not window:
+            return float(p["bias"][0])
+        xs = [model.embed(model.lookup([w]))[0].astype(float) for w in window]
+        hidden = np.hstack([states(xs, "f"), states(xs[::-1], "b")[::-1]])
+        e = np.tanh(hidden @ p["at"] + p["ab"]) @ p["av"]
+        weight = np.exp(e - e.max())
+        return float((weight / weight.sum()) @ hidden @ p["out"] + p["bias"][0])
+
+    texts = [[], *[list(rng.choice(words, n)) for n in (1, 5, 11, 12, 13, 16, 17, 40, 200)]]
+    for text, found in zip(texts, reader.WindowScorer(model).window_logits(texts)):
+        starts, ends = range(0, max(1, len(text)), reader.STRIDE), len(text)
+        windows = [text[a : a + reader.SPAN] for a in starts if a == 0 or a + reader.SPAN - reader.STRIDE < ends]
+        assert np.allclose(found, [logit(w) for w in windows], atol=1e-4)
