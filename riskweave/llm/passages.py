@@ -65,7 +65,7 @@ def _long(data: bytes, count: int) -> np.ndarray:
 
 
 SENT = "shard int, base long, count int, docs binary, sizes binary, keys binary, own binary"
-MARKS = "bucket int, docs binary, keys binary, refs binary"
+MARKS = "bucket int, marks binary"
 
 
 def _send_windows(shards: int, width: int, bits: int, lot: int):
@@ -96,7 +96,7 @@ def _send_windows(shards: int, width: int, bits: int, lot: int):
                 rows: tuple[list, ...] = tuple([] for _ in range(7))
                 for lo, hi in zip(cuts, np.append(cuts[1:], len(shard))):
                     who, size = np.unique(owner[lo:hi], return_counts=True)
-                    values = (int(shard[lo]), int(docs[who[0]]), len(who), _short(docs[who] - docs[who[0]]), _short(size), distinct[lo:hi].view(np.uint8).reshape(-1, 8)[:, :7].tobytes(), own if lo == 0 else b"")
+                    values = (int(shard[lo]), int(docs[who[0]]), len(who), _short(docs[who] - docs[who[0]]), _short(size), _seven(distinct[lo:hi]), own if lo == 0 else b"")
                     for column, value in zip(rows, values):
                         column.append(value)
                 kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
@@ -105,8 +105,36 @@ def _send_windows(shards: int, width: int, bits: int, lot: int):
     return run
 
 
+def _seven(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def _from_seven(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 7, 8), np.uint8)
+    wide[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+    return wide.view("<u8").ravel()
+
+
 def _marks(docs: np.ndarray, keys: np.ndarray, refs: np.ndarray) -> bytes:
-    return docs.astype("<i8").tobytes() + keys.astype("<u8").tobytes() + refs.astype("<i8").tobytes()
+    """Windows of documents with the references that hold them: each document once with the number
+    of its windows, seven bytes a key, ids as distances from the smallest."""
+    if not len(docs):
+        return b""
+    order = np.argsort(docs, kind="stable")
+    who, sizes = np.unique(docs, return_counts=True)
+    base = min(who[0], refs.min())
+    parts = [_short(who - base), _short(sizes), _short(refs[order] - base), _seven(keys[order])]
+    head = np.array([base, len(who), len(docs), *map(len, parts[:3])], "<i8")
+    return head.tobytes() + b"".join(parts)
+
+
+def _from_marks(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``docs``, ``keys`` and ``refs`` that ``_marks`` packed."""
+    base, count, total, *cuts = np.frombuffer(data, "<i8", 6).tolist()
+    ends = np.cumsum([48, *cuts]).tolist()
+    who, sizes, refs = (data[a:b] for a, b in zip(ends, ends[1:]))
+    docs = np.repeat(base + _long(who, count), _long(sizes, count))
+    return docs, _from_seven(data[ends[-1] :]), base + _long(refs, total)
 
 
 def _bucket(docs: np.ndarray, buckets: int) -> np.ndarray:
@@ -122,12 +150,11 @@ def _marked(table: pa.Table, buckets: int) -> pa.Table:
     documents."""
     keys, docs, settled = [], [], []
     for base, count, who, sizes, sent, own in zip(*(table[c].to_pylist() for c in ("base", "count", "docs", "sizes", "keys", "own"))):
-        wide = np.zeros((len(sent) // 7, 8), np.uint8)
-        wide[:, :7] = np.frombuffer(sent, np.uint8).reshape(-1, 7)
-        keys.append(wide.view("<u8").ravel())
+        keys.append(_from_seven(sent))
         docs.append(np.repeat(base + _long(who, count), _long(sizes, count)))
         if own:
-            settled.append(np.frombuffer(own, "<i8").reshape(3, -1))
+            mine, windows, refs = _from_marks(own)
+            settled.append(np.stack([mine, windows.view(np.int64), refs]))
     keys, docs = np.concatenate(keys), np.concatenate(docs)
     order = np.argsort(keys, kind="stable")
     keys, docs = keys[order], docs[order]
@@ -144,8 +171,8 @@ def _marked(table: pa.Table, buckets: int) -> pa.Table:
     bucket, doc, window, ref = bucket[order], doc[order], window[order], ref[order]
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(doc) else np.zeros(0, np.int64)
     ends = np.append(cuts[1:], len(doc))
-    packed = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())
-    return pa.table({"bucket": pa.array(bucket[cuts], pa.int32()), "docs": packed(doc), "keys": packed(window), "refs": packed(ref)})
+    packed = [_marks(doc[a:b], window[a:b], ref[a:b]) for a, b in zip(cuts, ends)]
+    return pa.table({"bucket": pa.array(bucket[cuts], pa.int32()), "marks": pa.array(packed, pa.binary())})
 
 
 def _runs(at: np.ndarray, label: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -163,7 +190,8 @@ def _remove(shards: int, width: int, bits: int):
 
     def run(key: tuple, batch: pa.Table, marks: pa.Table) -> pa.Table:
         keys_of = WindowKeys(shards, width, bits)
-        joined = [np.frombuffer(b"".join(marks[c].to_pylist()), k) for c, k in (("docs", "<i8"), ("keys", "<u8"), ("refs", "<i8"))]
+        none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        joined = [np.concatenate(x) for x in zip(none, *map(_from_marks, marks["marks"].to_pylist()))]
         order = np.lexsort((joined[2], joined[1], joined[0]))
         owner, marked, named = (x[order] for x in joined)
         counts, removed, shas, asked, given, known = [], [], [], [], [], set()
