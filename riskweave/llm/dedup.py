@@ -1,4 +1,4 @@
-"""Exact dedup over an extendible-hash index held in shared files (operator 3)."""
+"""Exact dedup by keys and whole bytes; chains laid out by an extendible-hash directory (operator 3)."""
 
 from __future__ import annotations
 
@@ -47,10 +47,10 @@ def dedup_exact(
     """One row per input row: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Two texts are equal when their bytes agree after every run of white space becomes one space.
-    The index is a set of files in the shared folder: entries (hash key, bytes, row) and, per
-    directory bucket, the chain of distinct texts under each key. Keys are 64-bit hashes; the owner
-    of a key compares whole bytes, so colliding keys chain and stay apart. Copies meet in the
-    map-side combine before the shuffle: a group of copies sends one row per task.
+    A group-by of 64-bit key and whole bytes decides, so colliding keys stay apart, and a join on key
+    and SHA-256 carries the decision to every row. The directory only lays out the files of the
+    chains (distinct texts under each key, by bucket); no row is looked up through it. Copies meet
+    in the map-side combine before the shuffle: a group of copies sends one row per task.
 
     Null texts count as empty. A null id sorts last. Rows that repeat an id and a text count one by
     one and exactly one of them is kept. An empty table gives an empty result. Other columns of
