@@ -84,18 +84,20 @@ def mix_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     max_repeats: int = MAX_REPEATS, cycle: tuple[int, ...] = WEIGHT_CYCLE,
 ) -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as ``plan_mix`` says, same columns."""
+    """The mixed corpus: every row of ``docs`` as often as ``plan_mix`` says, same columns. All columns
+    of a row travel as one value, so none can clash with a rate or a coin."""
     size = F.regexp_count(whole_text(text_col), F.lit(WORD_CLASS)).cast("long")
     sized = docs.select(F.col(source_col).cast("string").alias("source"), size.alias("size"))
-    rates = stage(source_rates(sized, max_repeats, cycle), "rates").select(F.col("source").alias("__of"), F.col("rate").alias("__rate"))
-    whole = F.floor("__rate")
-    copies = (whole + (coin(id_col) < F.col("__rate") - whole).cast("long")).cast("int")
+    rates = stage(source_rates(sized, max_repeats, cycle), "rates").select(F.col("source").alias("of"), "rate")
+    whole = F.floor("rate")
+    copies = (whole + (F.col("coin") < F.col("rate") - whole).cast("long")).cast("int")
+    rows = docs.select(F.struct("*").alias("held"), F.col(source_col).cast("string").alias("source"), coin(id_col).alias("coin"))
     return (
-        docs.join(rates, F.col(source_col).cast("string").eqNullSafe(F.col("__of")), "left")
-        .withColumn("__copies", copies)
-        .filter("__copies > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*docs.columns)
+        rows.join(rates, F.col("source").eqNullSafe(F.col("of")), "left")
+        .withColumn("copies", copies)
+        .filter("copies > 0")
+        .select("held", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select("held.*")
     )
 
 

@@ -156,3 +156,13 @@ def test_sharding(spark, shards):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(shards))
     assert all(len(s) == 1 for s in of.values())
     assert shard_minimax(docs.limit(0), shards).count() == 0
+
+
+def test_mixed_rows_keep_columns_of_any_name(spark):
+    rows = [(i, "a b c" if i % 3 else None, f"s{i % 2}" if i % 5 else None, i, -i, 0.5) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __rate long, held long, `rate` double")
+    taken = {r.doc_id: r.copies for r in plan_mix(docs).collect()}
+    mixed = mix_documents(docs)
+    assert mixed.columns == docs.columns
+    assert sorted(map(str, map(tuple, mixed.collect()))) == sorted(str(r) for r in rows for _ in range(taken[r[0]]))
+    assert mix_documents(docs.limit(0)).count() == 0
