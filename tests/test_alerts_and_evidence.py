@@ -95,3 +95,26 @@ def test_a_cluster_must_name_its_shared_folder(spark):
         with pytest.raises(ValueError, match="checkpoint"):
             shared_folder(Elsewhere())
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_rules_of_any_set_of_dimensions_match(spark):
+    alerts = spark.createDataFrame(
+        [("a1", "x", "c", 3, "S1", None), ("a2", "x", None, 3, None, "K"), ("a3", "*", "c", 4, "S2", "K")],
+        "alert_id string, alert_type string, risk_category string, severity_rank int, supplier_id string, sku_id string",
+    )
+    values = [(t, c, s, k) for t in ("x", "*", None) for c in ("c", "*") for s in ("S1", "S2", "*") for k in ("K", "*")]
+    made = [(f"r{i}", i, t, c, 3, s, k) for i, (t, c, s, k) in enumerate(values)]
+    rules = spark.createDataFrame(made, "routing_rule_id string, rule_priority int, alert_type string, risk_category string, minimum_severity_rank int, supplier_id string, sku_id string")
+    full = rules.selectExpr("*", "'g' AS recipient_group", "1 AS escalation_minutes", "'e' AS recipient_email", "'m' AS channel", "true AS send_enabled", "true AS is_active")
+    fits = lambda rule, own: rule in (None, "*") or rule == own
+    want = sorted((a[0], r[0]) for a in [("a1", "x", "c", "S1", None), ("a2", "x", None, None, "K"), ("a3", "*", "c", "S2", "K")] for r in made if all(fits(v, o) for v, o in zip((r[2], r[3], r[5], r[6]), a[1:])))
+    matched = A.match_rules(alerts, full)
+    assert rows(matched.select("alert_id", "routing_rule_id")) == want
+    asked = A.match_rules(alerts, full.filter("routing_rule_id = 'r23'"))  # 16 lookups of an alert before, one for one set
+    assert "concat(array(*)" not in asked._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_that_stand_for_several_alerts_count_for_them(spark):
+    alerts = spark.createDataFrame([("e", "high", "new", 5), ("e", "critical", "new", 2)], "alert_type string, severity string, alert_status string, alert_count long")
+    assert ("alert_type", "e", 7) in rows(A.alert_breakdown(alerts))
+    assert rows(A.alert_summary(alerts, ["alert_type"])) == [("e", 7)]

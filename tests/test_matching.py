@@ -175,3 +175,21 @@ def test_events_with_suppliers_equal_brute_force(world):
     alone = {e[0] for e in world[2]} - {e for e, _ in world[1]}
     assert {k: v for k, v in got.items() if k[1] is not None} == world[1]
     assert {e for e, s in got if s is None} == alone
+
+
+def test_counted_events_equal_pairs(spark, world):
+    links, classes = parts(world)
+    copies = links.unionByName(links.limit(30))  # equal rows count once; rows of one id that differ as their pairs do
+    mixed = copies.unionByName(links.filter("external_event_id = 'e001'").withColumns({"scopes": F.expr("slice(scopes, 1, 0)"), "match_group_id": F.lit(None).cast("string")}))
+    shown = mixed.select("external_event_id", "severity", "match_group_id", "scopes", "direct")
+    want = rows(M.events_with_suppliers(shown, classes).groupBy("external_event_id").count())
+    got = rows(M.events_with_counts(shown, classes).groupBy("external_event_id").agg(F.sum("alert_count").alias("count")))
+    assert got == want
+    assert M.events_with_counts(links.select(*shown.columns), classes).count() == links.count()
+
+
+def test_filter_with_two_marks_stops_most_of_other_keys(spark):
+    ids = lambda a, b: spark.range(a, b).select(F.xxhash64("id").alias("h"))
+    passes = M.may_hold(ids(0, 300_000), F.col("h"), M.FILTER_LONGS, 2)
+    assert ids(0, 20_000).filter(passes).count() == 20_000
+    assert ids(1_000_000, 1_020_000).filter(passes).count() < 200  # about 1,380 with one bit in the smaller table
