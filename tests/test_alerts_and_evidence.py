@@ -118,3 +118,22 @@ def test_rows_that_stand_for_several_alerts_count_for_them(spark):
     alerts = spark.createDataFrame([("e", "high", "new", 5), ("e", "critical", "new", 2)], "alert_type string, severity string, alert_status string, alert_count long")
     assert ("alert_type", "e", 7) in rows(A.alert_breakdown(alerts))
     assert rows(A.alert_summary(alerts, ["alert_type"])) == [("e", 7)]
+
+
+def test_alerts_with_keys_of_their_own_merge_as_all_others(spark):
+    shape = "dedupe_key string, alert_id string, alert_status string, created_at string, severity string, severity_rank int, trigger_metric_value double, alert_message string, recommended_action string, alert_run_id string"
+    row = lambda key, status, rank: (key, f"a{key}", status, status, "high", rank, float(rank), "m", "r", "run")
+    known = spark.createDataFrame([row("x1", "seen", 1), row("e1", "seen", 1), row("e9", "seen", 1)], shape)
+    new = spark.createDataFrame([row("x1", "new", 2), row("x1", "new", 3), row("x2", "new", 3)], shape)
+    own = spark.createDataFrame([row("e1", "new", 4), row("e2", "new", 4)], shape)
+    got = {r.dedupe_key: (r.alert_status, r.severity_rank) for r in A.merge_alerts(known, [new], own).collect()}
+    assert got == {"x1": ("seen", 3), "x2": ("new", 3), "e1": ("seen", 4), "e2": ("new", 4), "e9": ("seen", 1)}
+    assert rows(A.merge_alerts(known, [new], own)) == rows(A.merge_alerts(known, [new, own]))
+    assert rows(A.merge_alerts(None, [new], own)) == rows(A.merge_alerts(None, [new, own]))
+
+
+def test_alerts_beyond_the_list_are_counted(spark):
+    alerts = spark.range(12).selectExpr("concat('a', id) AS alert_id", "'t' AS alert_type", "IF(id < 10, 'high', 'low') AS severity", "'x' AS alert_title", "'new' AS alert_status", "IF(id < 11, 'S1', 'S2') AS supplier_id", "'2024' AS created_at")
+    more = spark.createDataFrame([("S1", 90), ("S3", 0)], "supplier_id string, unlisted_count long")
+    got = {r.supplier_id: (r.open_alerts_count, r.critical_or_high_alert_count, len(r.open_alerts)) for r in C.open_alerts(alerts, 10, more).collect()}
+    assert got == {"S1": (101, 100, 10), "S2": (1, 0, 1)}

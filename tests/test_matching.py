@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import matching as M
 from riskweave.plans import scoring as S
+from riskweave.session import cut_lineage
 
 WORDS = "acme steel north port of the big ring co ltd x9".split()
 
@@ -193,3 +194,41 @@ def test_filter_with_two_marks_stops_most_of_other_keys(spark):
     passes = M.may_hold(ids(0, 300_000), F.col("h"), M.FILTER_LONGS, 2)
     assert ids(0, 20_000).filter(passes).count() == 20_000
     assert ids(1_000_000, 1_020_000).filter(passes).count() < 200  # about 1,380 with one bit in the smaller table
+
+
+def written(world):
+    links, classes = parts(world)
+    return cut_lineage(links.drop("event_summary")), M.Classes(*[cut_lineage(x) for x in classes])
+
+
+def test_first_pairs_by_digest_equal_all_pairs(spark, world):
+    links, classes = written(world)
+    mixed = links.unionByName(links.limit(30)).unionByName(
+        links.filter("external_event_id = 'e001'").withColumns({"scopes": F.expr("slice(scopes, 1, 0)"), "match_group_id": F.lit(None).cast("string")})
+    )
+    shown = mixed.select("external_event_id", "severity", "match_group_id", "scopes", "direct")
+    rank, ranks = F.length("external_event_id") - 2 + F.pmod(F.crc32("external_event_id"), F.lit(2)).cast("int"), (3, 2)
+    digest = F.sha2(F.concat_ws("|", "external_event_id", "supplier_id"), 256)
+    pairs = M.events_with_suppliers(shown, classes).filter("supplier_id IS NOT NULL").select("supplier_id", "external_event_id", rank.alias("r"), digest.alias("d")).collect()
+    assert {p.r for p in pairs} == set(ranks)
+    by = {s: [sum(p.supplier_id == s and p.r == r for p in pairs) for r in ranks] for s in {p.supplier_id for p in pairs}}
+    counts = M.pairs_per_supplier(shown, classes, rank, ranks)
+    assert {r.supplier_id: r.pairs for r in counts.collect()} == by and max(map(max, by.values())) > 8
+
+    def first(k):
+        return sorted((s, p.external_event_id) for s in by for p in sorted((p for p in pairs if p.supplier_id == s), key=lambda p: (-p.r, p.d))[:k])
+
+    for k in (1, 4):
+        got = M.first_pairs_by_digest(shown, classes, counts, rank, ranks, digest, k)
+        assert sorted((r.supplier_id, r.external_event_id) for r in got.collect()) == first(k)
+    some = M.first_pairs_by_digest(shown, classes, counts, rank, ranks, digest, 4, 2).collect()  # a bound may leave out the last, never the first
+    found = {s: sorted((r.external_event_id for r in some if r.supplier_id == s)) for s in by}
+    ranked = {s: [e for t, e in first(10**6) if t == s] for s in by}
+    assert any(len(found[s]) < min(4, sum(by[s])) for s in by) and all(set(found[s]) <= set(ranked[s]) for s in by)
+
+
+def test_pairs_are_not_shuffled(world):
+    """Nothing but a projection and the union stands above the join that makes the pairs of a group."""
+    plan = M.events_with_suppliers(*written(world))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = [line for line in plan if "Join Inner" in line and "array_contains" in line]
+    assert len(made) == 1 and made[0].index("Join") < 12
