@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import read_table, stage, whole_text
+from riskweave.llm.common import lean, read_table, stage, whole_text
 from riskweave.llm.tokens import LATIN_END, pretokens, tokenizer_path
 
 WINDOW = 2048
@@ -208,7 +208,7 @@ def pack_by_mixture(
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     tokenised = stage(
         docs.select(F.col(id_col).alias("id"), key.alias("source"), whole_text(text_col).alias("text")).mapInArrow(
-            _tokenised(path, end_id, dtype), f"id {id_type}, source string, block int, at long, n long, ids binary"
+            lean(_tokenised(path, end_id, dtype)), f"id {id_type}, source string, block int, at long, n long, ids binary"
         ),
         "ids",
     )
@@ -235,7 +235,7 @@ def pack_by_mixture(
     return (
         tokenised.join(stage(starts, "starts"), ["block", "source"])
         .select("id", "queue", (F.col("begin") + F.col("at")).alias("at"), "n", "ids")
-        .mapInArrow(_cut(schedule, dtype), f"id {id_type}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+        .mapInArrow(lean(_cut(schedule, dtype)), f"id {id_type}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
         .withColumnRenamed("id", id_col)
     )
 

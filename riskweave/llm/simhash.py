@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import read_table, stage, whole_text
+from riskweave.llm.common import lean, read_table, stage, whole_text
 from riskweave.llm.components import label_components
 
 BITS = 64
@@ -31,11 +31,16 @@ def fingerprint(text: str, width: int = SHINGLE) -> int:
     if not words:
         return 0
     shingles = [b" ".join(w) for w in zip(*(words[i:] for i in range(width)))] or [b" ".join(words)]
+    return majority(np.fromiter((xxh64_intdigest(s, SEED) for s in shingles), np.uint64, len(shingles)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the 64-bit ``hashes``, as a signed long."""
     ones = np.zeros(BITS, np.int64)
-    for at in range(0, len(shingles), 65_536):
-        h = np.array([xxh64_intdigest(s, SEED) for s in shingles[at : at + 65_536]], "<u8")
+    for at in range(0, len(hashes), 65_536):
+        h = hashes[at : at + 65_536].astype("<u8")
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(shingles), bitorder="little").view("<i8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
 def _fingerprints(width: int):
@@ -219,7 +224,7 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Da
         .select("part", "value", "fp", "probe", "pair.low", "pair.high")
     )
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(shards, "part", "value", "low", "high").mapInArrow(_verify(radius), "u long, v long")
+    return dealt.repartition(shards, "part", "value", "low", "high").mapInArrow(lean(_verify(radius)), "u long, v long")
 
 
 def near_classes(

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import read_table, whole_text
+from riskweave.llm.common import lean, read_table, whole_text
 from riskweave.llm.lm import in_fold, words_of
 from riskweave.llm.reader import WindowScorer, fit, probability
 
@@ -31,7 +31,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     toxic = named.filter("y = 1").orderBy(*order).limit(most_toxic)
     clean = named.filter("y = 0").orderBy(*order).limit(most_clean)
     rows = texts.join(F.broadcast(toxic.union(clean)), "id").select("text", "y").distinct()  # bounded by the limits
-    fitted = rows.repartition(1).mapInArrow(_fit, "model binary").collect()  # one task holds the bounded sample
+    fitted = rows.repartition(1).mapInArrow(lean(_fit), "model binary").collect()  # one task holds the bounded sample
     return pickle.loads(fitted[0]["model"]) if fitted else fit([], np.zeros(0, np.int64))
 
 
@@ -86,7 +86,7 @@ def keep_clean(docs: DataFrame, model, below: float = 0.5, text_col: str = "text
     are read once and nothing is shuffled, so no added column can clash with theirs. Null texts are
     empty, rows that repeat one another are scored one by one, an empty table gives an empty one."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
-    return docs.mapInArrow(_clean(held, docs.columns.index(text_col), below), docs.schema)
+    return docs.mapInArrow(lean(_clean(held, docs.columns.index(text_col), below)), docs.schema)
 
 
 def toxicity_scores(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,7 +101,7 @@ def toxicity_scores(docs: DataFrame, model, id_col: str = "doc_id", text_col: st
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     return (
         docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-        .mapInArrow(_scores(held), f"id {id_type}, score double")
+        .mapInArrow(lean(_scores(held)), f"id {id_type}, score double")
         .withColumnRenamed("id", id_col)
     )
 
