@@ -56,3 +56,37 @@ def test_a_worker_gives_back_what_a_task_left():
     batch = pa.RecordBatch.from_arrays([pa.array([1])], ["a"])
     assert [b.num_rows for b in lean(run)(iter([batch, batch]))] == [1, 1]
     assert held() - before < 60_000
+
+
+def test_members_of_a_band_are_compared_within_tasks(spark):
+    """Blocks, keys of equal members and labels lose no link, and links stay fewer than members."""
+    rng = np.random.default_rng(6)
+    texts = []
+    for i in range(60):  # one family, most of it 0.5 to 0.9 alike
+        words = list(WORDS[:120])
+        for at in rng.choice(120, int(rng.integers(0, 9)), replace=False):
+            words[at] = f"x{i}-{at}"
+        texts.append(" ".join(words))
+    sets = [similar.shingle_set(t) for t in texts]
+    near = lambda a, b: len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+
+    def classes(links, labels):
+        root = list(labels)
+        for u, v in links:
+            root = [root[v] if r == root[u] else r for r in root]
+        return [root.index(r) for r in root]
+
+    labels = [i if i % 3 else 0 for i in range(60)]
+    every = [(i, j) for i in range(60) for j in range(i) if near(sets[i], sets[j])]
+    want = classes(every, labels)
+    assert 1 < len(set(want)) < 35
+    links = similar.links_between(sets, np.array(labels), 0.8)
+    assert classes(links, labels) == want and len(links) == len(set(labels)) - len(set(want))
+
+    placed = spark.createDataFrame([(k, i, labels[i]) for k in (1, 2) for i in range(60)] + [(3, 0, 0), (3, 3, 0)], "key long, node long, label long")
+    named = spark.createDataFrame([(i, i) for i in range(60)], "node long, row long")
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    for block in (512, 7):
+        found = [tuple(r) for r in similar.similar_members(placed, named, rows, 0.8, 5, block).collect()]
+        assert classes(found, labels) == want
+        assert block < 60 or len(found) == len(links)  # keys 1 and 2 have the same members
