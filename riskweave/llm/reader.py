@@ -6,6 +6,8 @@ from zlib import crc32
 
 import numpy as np
 
+from riskweave.llm.common import give_back
+
 SPAN = 12  # words of a window
 STRIDE = 4  # windows start at every 4th word, so neighbours share eight words
 HIDDEN = 8
@@ -27,17 +29,19 @@ def char_buckets(words: list[str], buckets: int = BUCKETS) -> list[tuple[np.ndar
     words that have any, and how many each of these has."""
     sizes = np.array([len(w) + 2 for w in words], np.int64)
     codes = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
-    ends = np.repeat(np.cumsum(sizes), sizes)
+    ends = np.repeat(np.cumsum(sizes).astype(np.int32), sizes)
     out = []
     for n in GRAMS:
         h = np.full(max(0, len(codes) - n + 1), n, np.uint64)
         for k in range(n):
             h = (h ^ codes[k : k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-        inside = np.arange(n, n + len(h)) <= ends[: len(h)]
+        h = h[np.arange(n, n + len(h), dtype=np.int32) <= ends[: len(h)]]
+        h >>= np.uint64(11)
+        h %= np.uint64(buckets)
         count = np.maximum(sizes - n + 1, 0)
         some = np.flatnonzero(count)
-        out.append((((h[inside] >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64), some, count[some]))
+        out.append((h.view(np.int64), some, count[some]))
     return out
 
 
@@ -270,7 +274,8 @@ def fit(texts: list[list[str]], toxic: np.ndarray, steps: int = 250, rounds: int
     if len(set(toxic[learn])) < 2:
         learn[:] = True
     guess = [(np.append(s, -1e9)[windows_of(len(t))]).max(1) for t, s in zip(texts, seeds(texts, toxic))]
-    adam, scorer = Adam(reader.p), None
+    give_back()
+    adam = Adam(reader.p)
     for r in range(rounds if len(set(toxic)) > 1 else 0):
         chosen, target = [], []
         for i in np.flatnonzero(learn):
@@ -298,6 +303,8 @@ def fit(texts: list[list[str]], toxic: np.ndarray, steps: int = 250, rounds: int
         guess = []
         for at in range(0, len(texts), 200):
             guess += scorer.window_logits(texts[at : at + 200])
+        del scorer
+        give_back()
     top = np.array([g.max() for g in guess])
     held = ~learn if len(set(toxic[~learn])) == 2 else np.ones(len(texts), bool)
     return reader, calibrate(top[held], toxic[held].astype(float))

@@ -37,7 +37,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = sorted((t, y) for b in batches for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-    model = fit([[intern(w) for w in words_of(t)] for t, _ in rows], np.array([y for _, y in rows], np.int64))
+    toxic = np.array([y for _, y in rows], np.int64)
+    texts = [[intern(w) for w in words_of(rows.pop()[0])] for _ in range(len(rows))][::-1]  # no text is held beside its words
+    model = fit(texts, toxic)
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
 

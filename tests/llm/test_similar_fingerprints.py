@@ -90,3 +90,17 @@ def test_members_of_a_band_are_compared_within_tasks(spark):
         found = [tuple(r) for r in similar.similar_members(placed, named, rows, 0.8, 5, block).collect()]
         assert classes(found, labels) == want
         assert block < 60 or len(found) == len(links)  # keys 1 and 2 have the same members
+
+
+def test_character_buckets_take_few_copies():
+    import tracemalloc
+
+    from riskweave.llm.reader import char_buckets
+
+    words = [f"word{i:08d}" for i in range(100_000)]
+    tracemalloc.start()
+    found = char_buckets(words, 2**18)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [len(x[0]) for x in found] == [12 * len(words), 10 * len(words)]
+    assert peak < 58e6  # of 1.4 million places; 65e6 with two more copies of the hashes
