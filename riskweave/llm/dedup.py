@@ -56,39 +56,44 @@ def dedup_exact(
     one and exactly one of them is kept. An empty table gives an empty result. Other columns of
     ``docs`` are not read.
     """
-    found, _ = _deduped(docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")), bucket_rows, prefix_bits)
+    spaced = docs.select(F.col(id_col).alias("id"), single_spaced(whole_text(text_col)).alias("bytes"))
+    entries = _entries(spaced, F.col("bytes"))
+    found, _ = _deduped(entries, bucket_rows, prefix_bits)
     return found.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", "text_sha256")
 
 
-def keep_exact_once(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_exact_once(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    bucket_rows: int = BUCKET_ROWS,
+    prefix_bits: int = PREFIX_BITS,
+) -> DataFrame:
     """The rows of ``docs`` that ``dedup_exact`` keeps, with the same columns.
 
-    Only keys are counted over all rows. Rows whose key stands alone stay where they are; the
-    others are grouped by key and whole bytes, copies meeting before the shuffle. A filter of the
-    repeated keys tells both apart; what it lets through by chance is a group of its own. Of rows
-    that repeat an id and a text one stays, which of them is not defined. All columns of a row travel
-    as one value, so none can clash.
+    The operator decides on every row; whole rows are written once beside its keys. Rows whose key
+    has no copies stay where they lie. A filter of the keys with copies tells both apart, and what it
+    lets through meets the decisions by row. All columns of a row travel as one value, so none can clash.
     """
-    spaced = single_spaced(whole_text(text_col))
-    key = F.xxhash64(spaced)
-    repeated = docs.select(key.alias("key")).groupBy("key").count().filter("count > 1").select("key")
-    repeated = stage(repeated, "repeated-keys")
-    first = F.min_by("held", F.struct(F.col("id").isNull().alias("late"), "id"))
-    groups = docs.filter(may_hold(repeated, key)).select(F.struct(*docs.columns).alias("held"), F.col(id_col).alias("id"), key.alias("key"), spaced.alias("bytes"))
-    return docs.filter(~may_hold(repeated, key)).union(groups.groupBy("key", "bytes").agg(first.alias("held")).select("held.*"))
-
-
-def _deduped(docs: DataFrame, bucket_rows: int, prefix_bits: int) -> tuple[DataFrame, DataFrame]:
-    """Decisions per row of ``(id, text)``, and the index they come from."""
-    spark = docs.sparkSession
-    text = single_spaced(F.col("text"))
-    entries = stage(
-        docs.select("id", text.alias("bytes"))
-        .withColumn("key", F.xxhash64("bytes"))
-        .withColumn("sha", F.unhex(F.sha2("bytes", 256)))
-        .withColumn("row", F.monotonically_increasing_id()),
-        "entries",
-    )
+    held = docs.select(F.struct(*docs.columns).alias("held"), F.col(id_col).alias("id"))
+    entries = _entries(held, single_spaced(F.coalesce(F.col("held").getField(text_col).cast("string"), F.lit(""))))
+    found, index = _deduped(entries.drop("held"), bucket_rows, prefix_bits)
+    copied = may_hold(index.filter("group_size > 1").select("key"), F.col("key"))
+    dropped = found.filter("NOT kept").select("row")
+    rows = entries.filter(copied).join(dropped, "row", "left_anti").select("held")
+    return entries.filter(~copied).select("held").union(rows).select("held.*")
+
+
+def _entries(docs: DataFrame, spaced: Column) -> DataFrame:
+    """``docs`` with the keys of their ``spaced`` text and a number for each row, written; ``bytes`` is that
+    text, which is not written a second time."""
+    keyed = docs.withColumn("key", F.xxhash64(spaced)).withColumn("sha", F.unhex(F.sha2(spaced, 256)))
+    return stage(keyed.withColumn("row", F.monotonically_increasing_id()), "entries").withColumn("bytes", spaced)
+
+
+def _deduped(entries: DataFrame, bucket_rows: int, prefix_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Decisions per row of ``_entries``, and the index they come from."""
+    spark = entries.sparkSession
     # At most 2^prefix_bits rows reach the driver, whatever the input.
     counted = entries.groupBy(_prefix(F.col("key"), prefix_bits).alias("p")).count().collect()
     buckets = grow_directory({r["p"]: r["count"] for r in counted}, bucket_rows, prefix_bits)
@@ -117,6 +122,7 @@ def _deduped(docs: DataFrame, bucket_rows: int, prefix_bits: int) -> tuple[DataF
         .join(copied, ["key", "sha"], "left")
         .select(
             "id",
+            "row",
             F.when(F.col("keep_row").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
             F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
             F.coalesce(F.col("keep_row") == F.col("row"), F.lit(True)).alias("kept"),

@@ -7,6 +7,7 @@ from zlib import crc32
 import numpy as np
 import pytest
 
+from riskweave.llm import dedup
 from riskweave.llm.dedup import dedup_exact, grow_directory, keep_exact_once
 from riskweave.llm.mixing import mix_documents, plan_mix
 from riskweave.llm.sharding import assign_cells, cut_evenly, shard_minimax, smallest_capacity
@@ -49,6 +50,18 @@ def test_exact_dedup(spark, bucket_rows):
     assert dedup_exact(docs.limit(0)).count() == 0
 
 
+def test_kept_rows_are_what_the_operator_decides(spark, monkeypatch):
+    """Whole rows are kept by the decisions of ``dedup_exact``, its directory and chains included."""
+    grown = []
+    monkeypatch.setattr(dedup, "grow_directory", lambda counts, *a: grown.append(sum(counts.values())) or grow_directory(counts, *a))
+    docs = frame(spark)
+    once = keep_exact_once(docs, bucket_rows=2).collect()
+    assert grown == [docs.count()]
+    kept = [r for r in dedup_exact(docs, bucket_rows=2).collect() if r.kept]
+    assert sorted((str(r.doc_id), hashlib.sha256(spaced(r.text).encode()).hexdigest()) for r in once) == sorted((str(r.doc_id), r.text_sha256) for r in kept)
+    assert keep_exact_once(docs.limit(0)).count() == 0
+
+
 def test_directory_splits_overfull_buckets_only():
     counts = {0: 9, 1: 9, 2: 1, 7: 100}
     buckets = grow_directory(counts, 10, 3)
