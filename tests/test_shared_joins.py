@@ -2,6 +2,7 @@
 
 from datetime import date
 
+from riskweave.catalog import scoring as CS
 from riskweave.catalog import silver as SV
 from riskweave.plans import inputs as I
 from riskweave.sources.tables import Tables
@@ -44,6 +45,20 @@ def test_pairs_are_not_joined_to_themselves(spark, tmp_path):
     assert sorted((r.primary_supplier_id, r.alternate_supplier_id) for r in I.alternates(mapping).collect()) == [("SUP_0", "SUP_1"), ("SUP_0", "SUP_2"), ("SUP_0", "SUP_2")]
 
 
+def test_parts_of_scores_are_written_one_by_one(spark, tmp_path):
+    t = _tables(spark, tmp_path)
+    spark.createDataFrame([(p, f"part {p}", "b", "t", p, 1.0) for p in (1, 2, 3)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert _scans(SV.features(t)) > 0 and _scans(SV.features(t, apart=True)) == 0
+    assert same(SV.features(t, apart=True), SV.features(t)) and SV.features(t).count() == 2  # part 1 is not held in stock
+    trends, named = CS.trends(t), [f(t) for f in (I.suppliers, I.aliases, I.routes)]
+    CS.keep_trends(t)
+    I.keep_named(t)
+    assert _scans(CS.trends(t)) == 0 and _scans(I.routes(t)) == 0
+    assert same(CS.trends(t), trends.select(*CS.trends(t).columns))
+    assert all(same(f(t), old) for f, old in zip((I.suppliers, I.aliases, I.routes), named))
+
+
 def test_kept_dependency_is_the_mart(spark, tmp_path):
     t = _tables(spark, tmp_path)
     whole = SV.dependency(t).select(*SV.SCORED_BY).collect()
