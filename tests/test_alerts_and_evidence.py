@@ -114,6 +114,19 @@ def test_rules_of_any_set_of_dimensions_match(spark):
     assert "concat(array(*)" not in asked._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_alerts_are_routed_where_they_lie(spark):
+    made = spark.createDataFrame([("a1", "x", "c", "S1", None, 3, "new"), ("a2", "x", None, None, "K", 4, "new"), ("a3", "y", "c", "S2", "K", 1, "new"), ("a4", "x", "c", "S1", "K", None, "new")], "alert_id string, alert_type string, risk_category string, supplier_id string, sku_id string, severity_rank int, alert_status string")
+    rule = lambda i, p, kind, sup, sku, to, on=True: (f"r{i}", p, kind, None, 2, f"team{to}", 5, sup, sku, f"t{to}@x", "email", False, on)
+    rules = spark.createDataFrame([rule(1, 20, "*", None, "*", 1), rule(2, 10, "x", "S1", None, 1), rule(3, 10, "x", None, "K", 1), rule(4, 10, "x", "*", "K", 1), rule(5, 1, "x", "S1", "K", 2), rule(6, 1, "*", None, None, 2, False)], A.ROUTE_SCHEMA)
+    routes = A.with_routes(made, rules)
+    assert rows(A.route_alerts(routes).select("alert_id", "routing_rule_id")) == [("a1", "r2"), ("a2", "r3")]
+    assert rows(A.route_alerts(routes)) == rows(A.route_alerts(made, rules))
+    assert rows(A.mark_routed(routes)) == rows(A.mark_routed(made, A.route_alerts(made, rules)).select(*made.columns))
+    for df in (A.route_alerts(routes), A.mark_routed(routes), A.match_rules(made, rules)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "SortMergeJoin" not in plan  # alerts went through both before
+
+
 def test_rows_that_stand_for_several_alerts_count_for_them(spark):
     alerts = spark.createDataFrame([("e", "high", "new", 5), ("e", "critical", "new", 2)], "alert_type string, severity string, alert_status string, alert_count long")
     assert ("alert_type", "e", 7) in rows(A.alert_breakdown(alerts))
